@@ -17,12 +17,13 @@ PICKUP_TEXT = (r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})\s+"
 def parse_pickup(text: Column) -> Column:
     """Validated wall-clock TIMESTAMP_NTZ, NULL for any malformed text.
 
-    Built from the matched parts with ``try_make_timestamp_ntz`` so the
-    session time zone never shifts it and impossible dates (Feb 30,
-    hour 24, second 60) give NULL.
+    One regex match validates the shape, one split yields the six numbers,
+    and ``try_make_timestamp_ntz`` builds the value: the session time zone
+    never shifts it and impossible dates (Feb 30, hour 24, second 60) give
+    NULL.
     """
-    parts = [F.regexp_extract(text, PICKUP_TEXT, i).try_cast("int") for i in range(1, 7)]
-    y, mo, d, h, mi, s = parts
+    p = F.split(text, "[^0-9]+", -1)
+    y, mo, d, h, mi, s = [F.get(p, F.lit(i)).cast("int") for i in range(6)]
     valid = text.rlike(PICKUP_TEXT) & (y >= 1) & (h <= 23) & (mi <= 59) & (s <= 59)
     return F.when(valid, F.try_make_timestamp_ntz(y, mo, d, h, mi, s))
 

@@ -44,12 +44,21 @@ def historical_mean(trip_data: DataFrame) -> DataFrame:
 
 
 def demand_stdev(trip_data: DataFrame) -> DataFrame:
-    """A5: rounded sample standard deviation per cell, 0 for a single value."""
-    return (trip_data.groupBy(*STATS_KEYS)
-            .agg(F.count("num_trips").alias("_n"), F.stddev_samp("num_trips").alias("_sd"))
-            .select(*STATS_KEYS,
-                    F.when(F.col("_n") > 1, F.round("_sd")).otherwise(F.lit(0.0))
-                    .cast("double").alias("stdev")))
+    """A5: rounded sample standard deviation per cell, 0 for a single value.
+
+    The variance comes from exact integer moments, (n*sum(x^2) - sum(x)^2) /
+    (n*(n-1)), so it matches exact rational arithmetic: a true 0.5 stays
+    0.5 and rounds half away from zero to 1. Count and both sums are
+    partial aggregates.
+    """
+    x = F.col("num_trips").cast("long")
+    stats = trip_data.groupBy(*STATS_KEYS).agg(
+        F.count(x).alias("_n"), F.sum(x).alias("_s1"), F.sum(x * x).alias("_s2"))
+    n, s1, s2 = F.col("_n"), F.col("_s1"), F.col("_s2")
+    var = (n * s2 - s1 * s1) / (n * (n - 1))
+    return stats.select(*STATS_KEYS,
+                        F.when(n > 1, F.round(F.sqrt(var))).otherwise(F.lit(0.0))
+                        .cast("double").alias("stdev"))
 
 
 def demand_rounded_mean(trip_data: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ The same transforms serve files (``spark.read.text``) and stream messages
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripdemand.functions.text import field, float_value, is_int_text, tokens
@@ -15,10 +15,6 @@ from tripdemand.operators.joins import zone_lookup_join
 from tripdemand.schemas import BLOCK_MINUTES, MIN_FIELDS, ZONE_FIELD
 
 
-class BadTimestamp(ValueError):
-    pass
-
-
 def with_time_features(df: DataFrame, ts_col: str = "pickup_ts",
                        block_minutes: int = BLOCK_MINUTES) -> DataFrame:
     """``time_block``, ``month`` and ``day`` names from a timestamp column."""
@@ -28,20 +24,37 @@ def with_time_features(df: DataFrame, ts_col: str = "pickup_ts",
             .withColumn("day", day_name(ts)))
 
 
-def _check_timestamps(df: DataFrame, on_bad_timestamp: str) -> DataFrame:
+def _pickup(on_bad_timestamp: str) -> Column:
+    ts = parse_pickup(F.col("_pickup_text"))
     if on_bad_timestamp == "drop":
-        return df.where(F.col("pickup_ts").isNotNull())
+        return ts
     if on_bad_timestamp == "fail":
         # Fail the job on the first otherwise-valid row with a bad timestamp.
-        return df.withColumn(
-            "pickup_ts",
-            F.when(F.col("pickup_ts").isNotNull(), F.col("pickup_ts")).otherwise(
-                F.raise_error(F.concat(F.lit("malformed pickup timestamp: "),
-                                       F.coalesce(F.col("_pickup_text"), F.lit("NULL"))))
-                .cast("timestamp_ntz")))
+        return F.coalesce(ts, F.raise_error(F.concat(
+            F.lit("malformed pickup timestamp: "),
+            F.coalesce(F.col("_pickup_text"), F.lit("NULL")))).cast("timestamp_ntz"))
     raise ValueError(f"on_bad_timestamp must be 'drop' or 'fail', not {on_bad_timestamp!r}")
 
 
+def keep_where(df: DataFrame, valid: str, columns: list[str]) -> DataFrame:
+    """Rows whose boolean column ``valid`` is true, projected to ``columns``.
+
+    Written as a generator (``inline`` of a zero- or one-element array)
+    rather than a filter: a filter would be pushed below the projection
+    that computes its inputs, re-evaluating the tokenizer and the
+    timestamp parse once per predicate. Here each is computed once.
+    """
+    row = F.struct(*[F.col(c) for c in columns])
+    return df.select(F.inline(F.when(F.col(valid), F.array(row))))
+
+
+def _token_fields(lines: DataFrame, value_col: str, picks: dict[str, int]) -> DataFrame:
+    """Split each line once; pick fields by index (NULL past the end)."""
+    toks = lines.select(tokens(F.col(value_col)).alias("_f"))
+    return toks.select(F.size("_f").alias("_n"), field(F.col("_f"), 1).alias("_pickup_text"),
+                       *[field(F.col("_f"), i).alias(n) for n, i in picks.items()])
+
+
 def zone_trip_fields(lines: DataFrame, value_col: str = "value",
                      zone_field: int = ZONE_FIELD,
                      on_bad_timestamp: str = "drop") -> DataFrame:
@@ -51,14 +64,12 @@ def zone_trip_fields(lines: DataFrame, value_col: str = "value",
     with a malformed pickup are dropped (``'drop'``) or fail the job
     (``'fail'``, the original behaviour).
     """
-    toks = tokens(F.col(value_col))
-    raw = lines.select(toks.alias("_f")).select(
-        F.size("_f").alias("_n"),
-        field(F.col("_f"), 1).alias("_pickup_text"),
-        field(F.col("_f"), zone_field).alias("zone_code"))
-    valid = raw.where((F.col("_n") >= MIN_FIELDS) & is_int_text(F.col("zone_code")))
-    parsed = valid.withColumn("pickup_ts", parse_pickup(F.col("_pickup_text")))
-    return _check_timestamps(parsed, on_bad_timestamp).select("pickup_ts", "zone_code")
+    raw = _token_fields(lines, value_col, {"zone_code": zone_field})
+    shaped = (F.col("_n") >= MIN_FIELDS) & is_int_text(F.col("zone_code"))
+    checked = raw.select("zone_code", shaped.alias("_shaped"),
+                         F.when(shaped, _pickup(on_bad_timestamp)).alias("pickup_ts"))
+    checked = checked.withColumn("_ok", F.col("_shaped") & F.col("pickup_ts").isNotNull())
+    return keep_where(checked, "_ok", ["pickup_ts", "zone_code"])
 
 
 def parse_zone_trips(lines: DataFrame, zones: DataFrame, value_col: str = "value",
@@ -78,16 +89,15 @@ def gps_trip_fields(lines: DataFrame, value_col: str = "value",
     Longitude (field 5) and latitude (field 6) must read as floats and be
     non-zero; NaN and infinities pass, as they do for Python's ``float``.
     """
-    toks = tokens(F.col(value_col))
-    raw = lines.select(toks.alias("_f")).select(
-        F.size("_f").alias("_n"),
-        field(F.col("_f"), 1).alias("_pickup_text"),
-        float_value(field(F.col("_f"), 5)).alias("lon"),
-        float_value(field(F.col("_f"), 6)).alias("lat"))
-    valid = raw.where((F.col("_n") >= MIN_FIELDS) & F.col("lon").isNotNull()
-                      & F.col("lat").isNotNull() & (F.col("lon") != 0) & (F.col("lat") != 0))
-    parsed = valid.withColumn("pickup_ts", parse_pickup(F.col("_pickup_text")))
-    return _check_timestamps(parsed, on_bad_timestamp).select("pickup_ts", "lon", "lat")
+    raw = _token_fields(lines, value_col, {"_lon": 5, "_lat": 6})
+    coords = raw.select("_n", "_pickup_text", float_value(F.col("_lon")).alias("lon"),
+                        float_value(F.col("_lat")).alias("lat"))
+    shaped = ((F.col("_n") >= MIN_FIELDS) & F.col("lon").isNotNull() & F.col("lat").isNotNull()
+              & (F.col("lon") != 0) & (F.col("lat") != 0))
+    checked = coords.select("lon", "lat", shaped.alias("_shaped"),
+                            F.when(shaped, _pickup(on_bad_timestamp)).alias("pickup_ts"))
+    checked = checked.withColumn("_ok", F.col("_shaped") & F.col("pickup_ts").isNotNull())
+    return keep_where(checked, "_ok", ["pickup_ts", "lon", "lat"])
 
 
 def parse_gps_trips(lines: DataFrame, index, value_col: str = "value",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tripdemand.functions.time import parse_pickup, rebase_pickup_text
 from tripdemand.operators.joins import broadcast_if_bounded
+from tripdemand.operators.parse import keep_where
 
 MESSAGE_FIELDS = 9
 
@@ -41,11 +42,11 @@ def _whole_ordered(col: str):
 
 def replay_messages(lines: DataFrame, replay_date: str, value_col: str = "value") -> DataFrame:
     """``(key STRING, value STRING)`` messages, ready for a Kafka sink."""
-    text = F.trim(F.regexp_replace(F.col(value_col), r"^\s+|\s+$", ""))
-    f = F.split(text, ",", -1)
-    pickup = F.get(f, F.lit(1))
-    kept = (lines.select(text.alias("_t"), f.alias("_f"), pickup.alias("_p"))
-            .where((F.length("_t") > 0) & parse_pickup(F.col("_p")).isNotNull()))
+    text = F.regexp_replace(F.col(value_col), r"^\s+|\s+$", "")
+    split = lines.select(text.alias("_t")).select("_t", F.split("_t", ",", -1).alias("_f"))
+    fields = split.select("_t", "_f", F.get(F.col("_f"), F.lit(1)).alias("_p"))
+    ok = (F.length("_t") > 0) & parse_pickup(F.col("_p")).isNotNull()
+    kept = keep_where(fields.select("_f", "_p", ok.alias("_ok")), "_ok", ["_f", "_p"])
     new_pickup = rebase_pickup_text(F.col("_p"), F.lit(replay_date))
     rebuilt = F.concat(F.array(F.get(F.col("_f"), F.lit(0)), new_pickup),
                        F.slice("_f", 3, MESSAGE_FIELDS - 2))

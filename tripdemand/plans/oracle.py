@@ -147,7 +147,9 @@ GROUP BY ALL""",
     "historical_mean": _with(*_ZONE_CHAIN, COUNTS, STATS) + "SELECT * FROM stats",
 
     "demand_stdev": _with(*_ZONE_CHAIN, COUNTS) + """SELECT time_block, "day", "month", borough_name,
-       CAST(CASE WHEN count(num_trips) > 1 THEN round(stddev_samp(num_trips)) ELSE 0 END AS DOUBLE) AS stdev
+       CAST(CASE WHEN count(num_trips) > 1 THEN round(sqrt(
+         (count(num_trips) * sum(num_trips * num_trips) - sum(num_trips) * sum(num_trips))
+         / (count(num_trips) * (count(num_trips) - 1)))) ELSE 0 END AS DOUBLE) AS stdev
 FROM counts GROUP BY time_block, "day", "month", borough_name""",
 
     "demand_rounded_mean": _with(*_ZONE_CHAIN, COUNTS) + """SELECT time_block, "day", "month", borough_name,
