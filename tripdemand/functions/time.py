@@ -17,15 +17,15 @@ PICKUP_TEXT = (r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})\s+"
 def parse_pickup(text: Column) -> Column:
     """Validated wall-clock TIMESTAMP_NTZ, NULL for any malformed text.
 
-    One regex match validates the shape, one split yields the six numbers,
-    and ``try_make_timestamp_ntz`` builds the value: the session time zone
-    never shifts it and impossible dates (Feb 30, hour 24, second 60) give
-    NULL.
+    One regex match enforces strptime's shape; the cast to TIMESTAMP_NTZ
+    (zone-free) rejects impossible values (Feb 30, hour 24, second 60).
+    Only if that cast fails is the whitespace between date and time
+    normalised and the cast retried (strptime accepts any run of it).
     """
-    p = F.split(text, "[^0-9]+", -1)
-    y, mo, d, h, mi, s = [F.get(p, F.lit(i)).cast("int") for i in range(6)]
-    valid = text.rlike(PICKUP_TEXT) & (y >= 1) & (h <= 23) & (mi <= 59) & (s <= 59)
-    return F.when(valid, F.try_make_timestamp_ntz(y, mo, d, h, mi, s))
+    shaped = text.rlike(PICKUP_TEXT) & ~text.startswith("0000")
+    return F.when(shaped, F.coalesce(
+        text.try_cast("timestamp_ntz"),
+        F.regexp_replace(text, r"\s+", " ").try_cast("timestamp_ntz")))
 
 
 def time_block(ts: Column, block_minutes: int = BLOCK_MINUTES) -> Column:

@@ -33,7 +33,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripdemand.operators.joins import broadcast_if_bounded
 from tripdemand.schemas import OUTSIDE_BOROUGH
 
 POLY_TYPE = T.StructType([
@@ -41,10 +40,16 @@ POLY_TYPE = T.StructType([
     T.StructField("polygon_id", T.LongType()),
     T.StructField("borough", T.StringType()),
 ])
-DEFAULT_CELLS_PER_SIDE = 512
+# Grid resolution: by default about 8 * sqrt(#edges) cells per side, so an
+# edge cell holds O(1) edges; clamped to [16, 1024] (at most ~1M cells).
+MIN_CELLS_PER_SIDE, MAX_CELLS_PER_SIDE = 16, 1024
 DEFAULT_INDEX_BROADCAST_ROWS = 4_000_000
 
 
+def auto_cells_per_side(n_edges: int) -> int:
+    return int(min(MAX_CELLS_PER_SIDE, max(MIN_CELLS_PER_SIDE, 8 * math.sqrt(max(n_edges, 1)))))
+
+
 def _x_at(e, y: Column) -> Column:
     """x of the edge's line at height y (NULL for a horizontal edge)."""
     return (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
@@ -65,7 +70,7 @@ def _on_segment(e, x: Column, y: Column) -> Column:
 class PolygonIndex:
     """Grid index over borough polygon edges; :meth:`locate` runs the join."""
 
-    def __init__(self, edges: DataFrame, cells_per_side: int = DEFAULT_CELLS_PER_SIDE,
+    def __init__(self, edges: DataFrame, cells_per_side: int | None = None,
                  max_broadcast_rows: int = DEFAULT_INDEX_BROADCAST_ROWS):
         self.max_broadcast_rows = max_broadcast_rows
         e = (edges.select(
@@ -85,12 +90,18 @@ class PolygonIndex:
         else:
             w, h = box["maxx"] - box["minx"], box["maxy"] - box["miny"]
             span = max(w, h) or 1.0
+            cells_per_side = cells_per_side or auto_cells_per_side(box["n"])
+            self.cells_per_side = cells_per_side
             self.delta = span / cells_per_side
             self.gx0 = box["minx"] - 2 * self.delta
             self.gy0 = box["miny"] - 2 * self.delta
             self.ncols = int(math.ceil(w / self.delta)) + 4
             self.nrows = int(math.ceil(h / self.delta)) + 4
         self.cells, self.runs = self._build()
+        # Materialise both (small) tables once and record their sizes: the
+        # broadcast decision in locate() needs no further job.
+        self.n_cells = self.cells.count()
+        self.n_runs = self.runs.count()
 
     # -- index construction (small, bounded by polygons and grid) ----------
     def _cell_of(self, v: Column, origin: float) -> Column:
@@ -178,13 +189,17 @@ class PolygonIndex:
                    & (y >= F.lit(gy0)) & (y < F.lit(gy0 + self.nrows * d)))
         pts = (points.withColumn("_cx", F.when(in_grid, self._cell_of(x, gx0).cast("int")))
                .withColumn("_cy", F.when(in_grid, self._cell_of(y, gy0).cast("int"))))
-        cells = broadcast_if_bounded(
-            self.cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"),
-                              F.col("rs").alias("_rs"), F.col("x_s").alias("_xs"),
-                              F.col("inside").alias("_inside")), self.max_broadcast_rows)
-        runs = broadcast_if_bounded(
-            self.runs.select(F.col("cy").alias("_cy"), F.col("rs").alias("_rs"),
-                             F.col("edges").alias("_edges")), self.max_broadcast_rows)
+        cells = self.cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"),
+                                  F.col("rs").alias("_rs"), F.col("x_s").alias("_xs"),
+                                  F.col("inside").alias("_inside"))
+        runs = self.runs.select(F.col("cy").alias("_cy"), F.col("rs").alias("_rs"),
+                                F.col("edges").alias("_edges"))
+        # Sizes were counted at build time; beyond the bound the planner
+        # shuffles (AQE splits a hot cell's partition if points are skewed).
+        if self.n_cells <= self.max_broadcast_rows:
+            cells = F.broadcast(cells)
+        if self.n_runs <= self.max_broadcast_rows:
+            runs = F.broadcast(runs)
         j = (pts.join(cells, ["_cx", "_cy"], "left")
              .join(runs, ["_cy", "_rs"], "left"))
         xs = F.col("_xs")

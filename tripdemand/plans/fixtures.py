@@ -44,8 +44,15 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_dim_from_frame(n.join(r, n.n_regionkey == r.r_regionkey), "n_nationkey", "r_name")
 
 
+_INDEXES: dict = {}
+
+
 def polygon_index(spark: SparkSession) -> PolygonIndex:
-    return PolygonIndex(geojson_edges(geojson_text_frame(spark, FIXTURE_GEOJSON)))
+    """The fixture polygons' index, built once per session (a cached dimension)."""
+    key = (spark.sparkContext.applicationId, id(spark))
+    if key not in _INDEXES:
+        _INDEXES[key] = PolygonIndex(geojson_edges(geojson_text_frame(spark, FIXTURE_GEOJSON)))
+    return _INDEXES[key]
 
 
 def _text(c: Column) -> Column:

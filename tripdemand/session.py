@@ -30,6 +30,7 @@ def build_session(master: str | None = None, app_name: str = "tripdemand",
     if master:
         builder = builder.master(master)
         builder = builder.config("spark.ui.enabled", "false")
+        builder = builder.config("spark.ui.showConsoleProgress", "false")
         builder = builder.config("spark.driver.memory", "8g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
