@@ -3,7 +3,7 @@
 import __spark_entry__ as E
 from tests.conftest import SF0001
 
-ROWS_ONLY = {"trip_scan", "file_schema_kind", "trip_preview"}
+ROWS_ONLY = {"trip_preview"}
 
 
 def test_entry(spark):

@@ -183,6 +183,22 @@ FROM live_stats WHERE borough_name = 'AMERICA' AND mean IS NOT NULL GROUP BY tim
                    WHERE borough_name = 'AMERICA' AND mean IS NOT NULL GROUP BY time_block) l
   ON h.time_block = l.time_block)""",
 
+    "trip_scan": _with(BASE, ZONE_LINES) + """SELECT f[1] AS VendorID, f[2] AS tpep_pickup_datetime,
+       f[8] AS PULocationID, f[9] AS DOLocationID
+FROM (SELECT string_split(value, ',') AS f FROM zone_lines)""",
+
+    "file_schema_kind": """SELECT 'yellow_tripdata_zone' AS file_name, 'TAXIZONE' AS location_type, count(*) + 1 AS n_lines FROM events
+UNION ALL SELECT 'yellow_tripdata_gps', 'GPS', count(*) + 1 FROM events
+UNION ALL SELECT 'yellow_tripdata_blank', CAST(NULL AS VARCHAR), count(*) + 1 FROM events""",
+
+    "batch_trip_stats": _with(*_ZONE_CHAIN, GPS_LINES, EDGES, GPS_TRIPS) + """SELECT time_block, "month", "day", borough_name,
+       avg(num_trips) AS mean, CAST(trunc(avg(num_trips)) AS INTEGER) AS mean_int
+FROM (SELECT assign_date, time_block, "month", "day", borough_name, count(*) AS num_trips
+      FROM (SELECT CAST(pickup_ts AS DATE) AS assign_date, time_block, "month", "day", borough_name FROM zone_trips
+            UNION ALL SELECT assign_date, time_block, "month", "day", borough_name FROM gps_trips)
+      GROUP BY ALL)
+GROUP BY time_block, "month", "day", borough_name""",
+
     "replay_messages": _with(BASE, ZONE_LINES) + f"""SELECT CAST(row_number() OVER (ORDER BY event_id) - 1 AS VARCHAR) AS key,
        array_to_string(list_concat([f[1], '2024-02-01 ' || string_split(f[2], ' ')[2]], f[3:9]), ',') AS value
 FROM (SELECT event_id, t, string_split(t, ',') AS f

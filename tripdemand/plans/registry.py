@@ -19,6 +19,7 @@ from tripdemand.operators.joins import zone_lookup_join
 from tripdemand.operators.parse import parse_gps_trips, parse_zone_trips, with_time_features
 from tripdemand.operators.replay import replay_messages
 from tripdemand.plans import fixtures as fx
+from tripdemand.plans.batch import run_batch
 from tripdemand.plans.reports import historical_profile, live_profile, overlay_report
 from tripdemand.session import fresh_dir
 from tripdemand.sources.tables import read_table, stats_for_day, write_trip_data, write_trip_stats
@@ -179,9 +180,15 @@ def _write_trip_files(spark, sf) -> str:
 
 
 def q_file_schema_kind(spark, sf):
+    """S2/S3 on a derived folder, plus the line count of each listed file."""
     root = _write_trip_files(spark, sf)
-    return classify_files(spark, root).select(
-        F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1).alias("file_name"), "location_type")
+    kinds = classify_files(spark, root)
+    lines = (spark.read.text([r.file_path for r in kinds.select("file_path").collect()])
+             .groupBy(F.col("_metadata.file_path").alias("_path"))
+             .agg(F.count(F.lit(1)).alias("n_lines")))
+    return (kinds.join(lines, F.col("_path") == F.col("file_path"))
+            .select(F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1).alias("file_name"),
+                    "location_type", "n_lines"))
 
 
 def q_trip_scan(spark, sf):
@@ -191,8 +198,18 @@ def q_trip_scan(spark, sf):
         "VendorID", "tpep_pickup_datetime", "PULocationID", "DOLocationID")
 
 
+def q_batch_trip_stats(spark, sf):
+    """L1 end to end: classify the derived files, parse both kinds, count,
+    write trip_data, read it back, average, write trip_stats; read that."""
+    root = _write_trip_files(spark, sf)
+    wh = fresh_dir(spark, "warehouse")
+    run_batch(spark, root, wh, zones=fx.zones(spark, sf), index=fx.polygon_index(spark))
+    return read_table(spark, wh, "trip_stats")
+
+
 QUERIES: dict[str, Query] = {
     "trip_scan": q_trip_scan,
+    "batch_trip_stats": q_batch_trip_stats,
     "file_schema_kind": q_file_schema_kind,
     "parse_zone_trips": q_parse_zone_trips,
     "parse_gps_trips": q_parse_gps_trips,

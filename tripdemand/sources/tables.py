@@ -52,16 +52,24 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
     return conform(reader.load(), name)
 
 
+# Tables whose rows are aggregates (bounded by dates x blocks x boroughs):
+# clustering them by partition column before the write costs little and
+# gives one file per folder. real_trip is a raw log with one batch_id per
+# write, so it is written as it is partitioned -- clustering it would put a
+# whole micro-batch into a single task.
+CLUSTERED_TABLES = {"trip_data", "trip_stats", "real_trip_stats"}
+
+
 def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
                 dynamic: bool = True) -> None:
-    """Write a table, clustering rows by its partition columns first.
+    """Write a table partitioned by its partition columns.
 
-    The inputs here are aggregates (or one micro-batch), so the extra
-    repartition moves little data and yields one file per partition folder
-    instead of one per task and folder.
+    ``dynamic`` replaces only the partitions present in ``df``.
     """
     parts = PARTITION_COLUMNS[name]
-    out = conform(df, name).repartition(*parts)
+    out = conform(df, name)
+    if name in CLUSTERED_TABLES:
+        out = out.repartition(*parts)
     (out.write.mode(mode)
      .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy(*parts).parquet(table_path(root, name)))

@@ -34,8 +34,10 @@ def list_trip_files(spark: SparkSession, root: str, prefix: str = TRIP_FILE_PREF
 
 def _first_line(spark: SparkSession, path: str):
     # A top-level limit scans the first split only and stops after one line.
-    rows = spark.read.text(path).limit(1).collect()
-    return (path, rows[0][0] if rows else None)
+    # The path is reported as Spark spells it in ``_metadata.file_path``.
+    rows = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("p"))
+            .limit(1).collect())
+    return (rows[0]["p"], rows[0]["value"]) if rows else (path, None)
 
 
 def header_lines(spark: SparkSession, paths: list[str], parallelism: int = 16) -> DataFrame:
