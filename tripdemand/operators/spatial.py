@@ -61,10 +61,11 @@ def _spans(e, y: Column) -> Column:
 
 
 def _on_segment(e, x: Column, y: Column) -> Column:
+    """Inside the edge's box (cheap, checked first) and on its line."""
     cross = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-    return ((cross == 0)
-            & (x >= F.least(e["x1"], e["x2"])) & (x <= F.greatest(e["x1"], e["x2"]))
-            & (y >= F.least(e["y1"], e["y2"])) & (y <= F.greatest(e["y1"], e["y2"])))
+    return ((x >= F.least(e["x1"], e["x2"])) & (x <= F.greatest(e["x1"], e["x2"]))
+            & (y >= F.least(e["y1"], e["y2"])) & (y <= F.greatest(e["y1"], e["y2"]))
+            & (cross == 0))
 
 
 class PolygonIndex:
@@ -203,16 +204,27 @@ class PolygonIndex:
         j = (pts.join(cells, ["_cx", "_cy"], "left")
              .join(runs, ["_cy", "_rs"], "left"))
         xs = F.col("_xs")
-        j = j.withColumn("_cand", F.filter(
-            "_edges", lambda e: _spans(e, y) & (x < _x_at(e, y)) & (_x_at(e, y) < xs)))
-        j = j.withColumn("_odd", F.filter(
-            F.array_distinct(F.transform("_cand", lambda e: e["poly"])),
-            lambda p: F.size(F.filter("_cand", lambda e: e["poly"] == p)) % 2 == 1))
+        # Edges whose y-range spans the point (cheap test first), with the x
+        # where each meets the point's horizontal line; keep crossings
+        # between the point and x_s.
+        spanning = F.filter("_edges", lambda e: _spans(e, y))
+        meets = F.transform(spanning, lambda e: F.struct(e["poly"].alias("poly"),
+                                                          _x_at(e, y).alias("xa")))
+        j = j.withColumn("_cross", F.transform(
+            F.filter(meets, lambda c: (x < c["xa"]) & (c["xa"] < xs)), lambda c: c["poly"]))
+        # Polygons crossed an odd number of times: one pass over the sorted
+        # ids, dropping a pair whenever an id repeats.
+        empty = F.array().cast(T.ArrayType(POLY_TYPE))
+        j = j.withColumn("_odd", F.aggregate(
+            F.array_sort("_cross"), empty,
+            lambda acc, p: F.when(F.try_element_at(acc, F.lit(-1)) == p,
+                                  F.slice(acc, 1, F.size(acc) - 1))
+            .otherwise(F.concat(acc, F.array(p)))))
         j = j.withColumn("_on", F.transform(
             F.filter("_edges", lambda e: _on_segment(e, x, y)), lambda e: e["poly"]))
-        end = F.coalesce(F.col("_inside"), F.array().cast(T.ArrayType(POLY_TYPE)))
+        end = F.coalesce(F.col("_inside"), empty)
         flipped = F.array_union(F.array_except("_odd", end), F.array_except(end, "_odd"))
         inside = F.when(F.col("_edges").isNull(), end).otherwise(F.array_except(flipped, "_on"))
         best = F.array_min(inside)
         return (j.withColumn(out_col, F.coalesce(best["borough"], F.lit(OUTSIDE_BOROUGH)))
-                .drop("_cx", "_cy", "_rs", "_xs", "_inside", "_edges", "_cand", "_odd", "_on"))
+                .drop("_cx", "_cy", "_rs", "_xs", "_inside", "_edges", "_cross", "_odd", "_on"))
