@@ -130,3 +130,49 @@ def test_point_side_does_not_shuffle(spark):
     assert "Range" in spine and "Exchange" not in spine
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def _blob(rng, cx, cy, r, n, jitter):
+    import math
+    pts = []
+    for i in range(n):
+        a = 2 * math.pi * i / n
+        rr = r * (1 + jitter * (rng.random() - 0.5))
+        pts.append([cx + rr * math.cos(a), cy + rr * math.sin(a)])
+    return pts + [pts[0]]
+
+
+def test_jagged_boroughs_with_holes_and_islands(spark):
+    """~1,900 edges, auto grid: every point agrees with the brute force."""
+    import numpy as np
+    rng = random.Random(11)
+    feats = []
+    for code in (1, 2, 3):
+        cx, cy = -74.0 + 0.1 * code, 40.6 + 0.04 * (code % 2)
+        outer = _blob(rng, cx, cy, 0.08, 500, 0.3)
+        hole = _blob(rng, cx, cy, 0.02, 60, 0.2)[::-1]
+        island = _blob(rng, cx + 0.1, cy + 0.03, 0.02, 60, 0.4)
+        feats.append((f"B{code}", code, "MultiPolygon", [[outer, hole], [island]]))
+    edges = geojson_edges(geojson_text_frame(spark, geojson(feats)))
+    index = PolygonIndex(edges)
+    assert index.cells_per_side > 100
+    prng = np.random.default_rng(5)
+    xs, ys = prng.uniform(-74.0, -73.55, 6000), prng.uniform(40.45, 40.8, 6000)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(xs, ys))],
+                               "pid long, x double, y double")
+    got = {r.pid: r.borough_name for r in index.locate(df, "x", "y").collect()}
+    x, y = xs[:, None], ys[:, None]
+    best = np.full(len(xs), "EWR", dtype=object)
+    bestc = np.full(len(xs), 99)
+    for code, name, rings in polygons(feats):
+        segs = [(a, b) for ring in rings for a, b in zip(ring, ring[1:] + ring[:1]) if a != b]
+        x1, y1 = np.array([s[0][0] for s in segs])[None, :], np.array([s[0][1] for s in segs])[None, :]
+        x2, y2 = np.array([s[1][0] for s in segs])[None, :], np.array([s[1][1] for s in segs])[None, :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            hit = ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
+        inside = hit.sum(axis=1) % 2 == 1
+        upd = inside & (code < bestc)
+        bestc[upd], best[upd] = code, name
+    bad = [i for i in range(len(xs)) if got[i] != best[i]]
+    assert not bad, bad[:10]
+    assert len({v for v in got.values()}) == 4
