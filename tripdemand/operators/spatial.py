@@ -86,7 +86,8 @@ class PolygonIndex:
         box = e.agg(F.min(F.least("x1", "x2")).alias("minx"), F.max(F.greatest("x1", "x2")).alias("maxx"),
                     F.min(F.least("y1", "y2")).alias("miny"), F.max(F.greatest("y1", "y2")).alias("maxy"),
                     F.count("*").alias("n")).first()
-        if not box or not box["n"]:
+        if not box or not box["n"]:  # no polygons: every point is outside
+            self.cells_per_side = 0
             self.delta, self.gx0, self.gy0, self.ncols, self.nrows = 1.0, 0.0, 0.0, 0, 0
         else:
             w, h = box["maxx"] - box["minx"], box["maxy"] - box["miny"]
