@@ -69,7 +69,7 @@ def _located(points: str, out: str) -> str:
 
 
 GPS_TRIPS = f"""gps_fields AS (
-  SELECT row_number() OVER () AS pid, string_split(regexp_replace(value, '\\s+$', ''), ',') AS f
+  SELECT event_id AS pid, string_split(regexp_replace(value, '\\s+$', ''), ',') AS f
   FROM gps_lines),
 gps_valid AS (
   SELECT pid, try_strptime(f[2], '%Y-%m-%d %H:%M:%S') AS ts, f[2] AS pt,
