@@ -35,10 +35,11 @@ from pyspark.sql import types as T
 
 from tripdemand.schemas import OUTSIDE_BOROUGH
 
+# A polygon reference inside the index: ordering by it picks the smallest
+# borough code. Names live in a separate (tiny) code -> name table.
 POLY_TYPE = T.StructType([
     T.StructField("borough_code", T.IntegerType()),
     T.StructField("polygon_id", T.LongType()),
-    T.StructField("borough", T.StringType()),
 ])
 # Grid resolution: by default about 8 * sqrt(#edges) cells per side, so an
 # edge cell holds O(1) edges; clamped to [16, 1024] (at most ~1M cells).
@@ -76,12 +77,15 @@ class PolygonIndex:
         self.max_broadcast_rows = max_broadcast_rows
         e = (edges.select(
                 F.struct(F.col("borough_code").cast("int").alias("borough_code"),
-                         F.col("polygon_id").cast("long").alias("polygon_id"),
-                         F.col("borough").cast("string").alias("borough")).alias("poly"),
+                         F.col("polygon_id").cast("long").alias("polygon_id")).alias("poly"),
                 *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")])
              .withColumn("edge_id", F.monotonically_increasing_id())
              .cache())
         self.edges = e
+        # Borough names by code, one row per borough (the edge table already
+        # carries one name per code).
+        self.names = (edges.groupBy(F.col("borough_code").cast("int").alias("_code"))
+                      .agg(F.min("borough").alias("_name")).cache())
         # One aggregate row: the bounding box of every edge.
         box = e.agg(F.min(F.least("x1", "x2")).alias("minx"), F.max(F.greatest("x1", "x2")).alias("maxx"),
                     F.min(F.least("y1", "y2")).alias("miny"), F.max(F.greatest("y1", "y2")).alias("maxy"),
@@ -104,6 +108,7 @@ class PolygonIndex:
         # broadcast decision in locate() needs no further job.
         self.n_cells = self.cells.count()
         self.n_runs = self.runs.count()
+        self.n_names = self.names.count()
 
     # -- index construction (small, bounded by polygons and grid) ----------
     def _cell_of(self, v: Column, origin: float) -> Column:
@@ -226,6 +231,12 @@ class PolygonIndex:
         end = F.coalesce(F.col("_inside"), empty)
         flipped = F.array_union(F.array_except("_odd", end), F.array_except(end, "_odd"))
         inside = F.when(F.col("_edges").isNull(), end).otherwise(F.array_except(flipped, "_on"))
-        best = F.array_min(inside)
-        return (j.withColumn(out_col, F.coalesce(best["borough"], F.lit(OUTSIDE_BOROUGH)))
-                .drop("_cx", "_cy", "_rs", "_xs", "_inside", "_edges", "_cross", "_odd", "_on"))
+        best = F.array_min(inside)["borough_code"]
+        names = self.names
+        if self.n_names <= self.max_broadcast_rows:
+            names = F.broadcast(names)
+        out = (j.withColumn("_code", best)
+               .drop("_cx", "_cy", "_rs", "_xs", "_inside", "_edges", "_cross", "_odd", "_on")
+               .join(names, "_code", "left"))
+        return (out.withColumn(out_col, F.coalesce(F.col("_name"), F.lit(OUTSIDE_BOROUGH)))
+                .drop("_code", "_name"))
