@@ -34,8 +34,17 @@ FIXTURE_GEOJSON = (
 )
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table (read-only input). The lazy DataFrame is reused within a
+    session, so its file listing and footer read happen once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
