@@ -7,7 +7,7 @@ first nine fields are re-joined; each message gets a running number key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripdemand.functions.time import parse_pickup, rebase_pickup_text
@@ -29,14 +29,14 @@ def with_running_index(df: DataFrame, name: str = "idx") -> DataFrame:
     sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = sizes.select(
         "_part",
-        (F.sum("_cnt").over(_whole_ordered("_part")) - F.col("_cnt")).alias("_offset"))
+        (F.sum("_cnt").over(_running("_part")) - F.col("_cnt")).alias("_offset"))
     out = tagged.join(broadcast_if_bounded(offsets, 1_000_000), "_part")
     pos = F.col("_mid") - F.shiftleft(F.col("_part"), 33)
     return out.withColumn(name, F.col("_offset") + pos).drop("_mid", "_part", "_offset")
 
 
-def _whole_ordered(col: str):
-    from pyspark.sql import Window
+def _running(col: str):
+    # No partitioning on purpose: the input is one row per Spark partition.
     return Window.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 

@@ -40,7 +40,7 @@ ZONE_TRIPS = f"""zone_fields AS (
   SELECT string_split(regexp_replace(value, '\\s+$', ''), ',') AS f FROM zone_lines),
 zone_valid AS (
   SELECT try_strptime(f[2], '%Y-%m-%d %H:%M:%S') AS ts, f[2] AS pt, f[8] AS zone_code
-  FROM zone_fields WHERE len(f) >= 7 AND regexp_matches(f[8], '{_INT}')),
+  FROM zone_fields WHERE len(f) >= 7 AND regexp_matches(zone_code, '{_INT}')),
 zone_trips AS (
   SELECT t.ts AS pickup_ts, CAST((hour(t.ts) * 60 + minute(t.ts)) // 10 AS INTEGER) AS time_block,
          monthname(t.ts) AS "month", dayname(t.ts) AS "day", z.borough_name
@@ -120,6 +120,9 @@ ORACLE_SQL: dict[str, str] = {
     "parse_zone_trips": _with(*_ZONE_CHAIN)
     + 'SELECT pickup_ts, time_block, "month", "day", borough_name FROM zone_trips',
 
+    "parse_zone_trips_as_coded": _with(*_ZONE_CHAIN[:3], ZONE_TRIPS.replace("f[8] AS zone_code", "f[6] AS zone_code"))
+    + 'SELECT pickup_ts, time_block, "month", "day", borough_name FROM zone_trips',
+
     "parse_gps_trips": _with(BASE, GPS_LINES, EDGES, GPS_TRIPS) + "SELECT * FROM gps_trips",
 
     "time_features": """SELECT event_id, CAST((hour(ts) * 60 + minute(ts)) // 10 AS INTEGER) AS time_block,

@@ -20,6 +20,7 @@ from tripdemand.operators.parse import parse_gps_trips, parse_zone_trips, with_t
 from tripdemand.operators.replay import replay_messages
 from tripdemand.plans import fixtures as fx
 from tripdemand.plans.batch import run_batch
+from tripdemand.schemas import AS_CODED_ZONE_FIELD
 from tripdemand.plans.reports import historical_profile, live_profile, overlay_report
 from tripdemand.session import fresh_dir
 from tripdemand.sources.tables import read_table, stats_for_day, write_trip_data, write_trip_stats
@@ -72,6 +73,12 @@ def q_parse_zone_trips(spark, sf):
     return _zone_trips(spark, sf)
 
 
+def q_parse_zone_trips_as_coded(spark, sf):
+    """Q1: the zone read from field 5 (RatecodeID), as the original code did."""
+    return parse_zone_trips(fx.zone_lines(_events(spark, sf)), fx.zones(spark, sf),
+                            zone_field=AS_CODED_ZONE_FIELD)
+
+
 def q_parse_gps_trips(spark, sf):
     return _gps_trips(spark, sf)
 
@@ -212,6 +219,7 @@ QUERIES: dict[str, Query] = {
     "batch_trip_stats": q_batch_trip_stats,
     "file_schema_kind": q_file_schema_kind,
     "parse_zone_trips": q_parse_zone_trips,
+    "parse_zone_trips_as_coded": q_parse_zone_trips_as_coded,
     "parse_gps_trips": q_parse_gps_trips,
     "time_features": q_time_features,
     "block_label": q_block_label,
