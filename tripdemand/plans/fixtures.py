@@ -88,12 +88,12 @@ def zone_line(events: DataFrame) -> Column:
     return F.when(eid % SHORT_LINE_MOD == 0, short).otherwise(full)
 
 
-def zone_lines(events: DataFrame) -> DataFrame:
+def zone_lines(events: DataFrame, keep_id: bool = False) -> DataFrame:
     """Zone-coded raw lines ``(value)``; field 1 = pickup, field 7 = zone id."""
-    return events.select(zone_line(events).alias("value"))
+    return events.select(*(["event_id"] if keep_id else []), zone_line(events).alias("value"))
 
 
-def gps_lines(events: DataFrame) -> DataFrame:
+def gps_lines(events: DataFrame, keep_id: bool = False) -> DataFrame:
     """GPS raw lines ``(value)``; field 5 = longitude, field 6 = latitude."""
     eid = F.col("event_id")
     vendor = _text(F.col("user_id") % 2 + 1)
@@ -104,7 +104,8 @@ def gps_lines(events: DataFrame) -> DataFrame:
                        F.lit("1"), F.lit("N"), lon, lat, F.lit("CSH"), F.lit("5.0"),
                        F.lit("0.5"), F.lit("0.5"), F.lit("0.0"), F.lit("0.0"), F.lit("6.0"))
     short = F.concat_ws(",", vendor, pickup, pickup)
-    return events.select(F.when(eid % SHORT_LINE_MOD == 0, short).otherwise(full).alias("value"))
+    return events.select(*(["event_id"] if keep_id else []),
+                         F.when(eid % SHORT_LINE_MOD == 0, short).otherwise(full).alias("value"))
 
 
 def points(events: DataFrame) -> DataFrame:
@@ -123,3 +124,24 @@ def zone_coded_header() -> str:
 def gps_header() -> str:
     from tripdemand.schemas import GPS_COLUMNS
     return ",".join(GPS_COLUMNS)
+
+
+# Fixed value of the fixture: derived trip files hold at most this many lines.
+LINES_PER_FILE = 50_000
+
+
+def write_trip_files(spark: SparkSession, root: str, name: str, header: str,
+                     lines: DataFrame) -> None:
+    """Write ``lines(event_id, value)`` as trip files under ``root/name``.
+
+    Lines go to ``k = ceil(rows / LINES_PER_FILE)`` files by ``event_id % k``
+    (folders ``part=<p>``), each file starting with ``header``. Each file is
+    written by one task, so no task holds more than one file's lines.
+    """
+    n = lines.count()
+    k = max(1, -(-n // LINES_PER_FILE))
+    body = lines.select((F.col("event_id") % k).alias("part"), F.lit(1).alias("_h"), "value")
+    heads = spark.range(k).select(F.col("id").alias("part"), F.lit(0).alias("_h"),
+                                  F.lit(header).alias("value"))
+    (body.unionByName(heads).repartition("part").sortWithinPartitions("part", "_h")
+     .select("part", "value").write.partitionBy("part").text(f"{root}/{name}"))

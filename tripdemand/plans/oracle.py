@@ -190,9 +190,11 @@ FROM live_stats WHERE borough_name = 'AMERICA' AND mean IS NOT NULL GROUP BY tim
        f[8] AS PULocationID, f[9] AS DOLocationID
 FROM (SELECT string_split(value, ',') AS f FROM zone_lines)""",
 
-    "file_schema_kind": """SELECT 'yellow_tripdata_zone' AS file_name, 'TAXIZONE' AS location_type, count(*) + 1 AS n_lines FROM events
-UNION ALL SELECT 'yellow_tripdata_gps', 'GPS', count(*) + 1 FROM events
-UNION ALL SELECT 'yellow_tripdata_blank', CAST(NULL AS VARCHAR), count(*) + 1 FROM events""",
+    "file_schema_kind": """WITH k AS (SELECT greatest(1, CAST(ceil(count(*) / 50000) AS BIGINT)) AS k FROM events),
+per AS (SELECT e.event_id % k.k AS p, count(*) + 1 AS n_lines FROM events e, k GROUP BY 1)
+SELECT 'yellow_tripdata_zone/part=' || p AS file_name, 'TAXIZONE' AS location_type, n_lines FROM per
+UNION ALL SELECT 'yellow_tripdata_gps/part=' || p, 'GPS', n_lines FROM per
+UNION ALL SELECT 'yellow_tripdata_blank/part=' || p, CAST(NULL AS VARCHAR), n_lines FROM per""",
 
     "batch_trip_stats": _with(*_ZONE_CHAIN, GPS_LINES, EDGES, GPS_TRIPS) + """SELECT time_block, "month", "day", borough_name,
        avg(num_trips) AS mean, CAST(trunc(avg(num_trips)) AS INTEGER) AS mean_int

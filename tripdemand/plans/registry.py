@@ -170,19 +170,17 @@ def q_replay_messages(spark, sf):
 
 
 def _write_trip_files(spark, sf) -> str:
-    """A folder of trip files derived from ``events``: a zone-coded file, a GPS
-    file, a file with a blank first line and a non-trip file."""
+    """A folder of trip files derived from ``events``: zone-coded files, GPS
+    files, files whose first line is blank, and non-trip files."""
     root = fresh_dir(spark, "trip-files")
     ev = _events(spark, sf)
-
-    def write(name, header, body):
-        head = spark.createDataFrame([(header,)], "value string")
-        head.unionByName(body).coalesce(1).write.text(f"{root}/{name}")
-
-    write("yellow_tripdata_zone", fx.zone_coded_header(), fx.zone_lines(ev))
-    write("yellow_tripdata_gps", fx.gps_header(), fx.gps_lines(ev))
-    write("yellow_tripdata_blank", "", fx.zone_lines(ev))
-    write("green_tripdata_zone", fx.zone_coded_header(), fx.zone_lines(ev))
+    fx.write_trip_files(spark, root, "yellow_tripdata_zone", fx.zone_coded_header(),
+                        fx.zone_lines(ev, keep_id=True))
+    fx.write_trip_files(spark, root, "yellow_tripdata_gps", fx.gps_header(),
+                        fx.gps_lines(ev, keep_id=True))
+    fx.write_trip_files(spark, root, "yellow_tripdata_blank", "", fx.zone_lines(ev, keep_id=True))
+    fx.write_trip_files(spark, root, "green_tripdata_zone", fx.zone_coded_header(),
+                        fx.zone_lines(ev, keep_id=True))
     return root
 
 
@@ -194,8 +192,8 @@ def q_file_schema_kind(spark, sf):
              .groupBy(F.col("_metadata.file_path").alias("_path"))
              .agg(F.count(F.lit(1)).alias("n_lines")))
     return (kinds.join(lines, F.col("_path") == F.col("file_path"))
-            .select(F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1).alias("file_name"),
-                    "location_type", "n_lines"))
+            .select(F.regexp_extract("file_path", r"([^/]+/part=[0-9]+)/[^/]+$", 1)
+                    .alias("file_name"), "location_type", "n_lines"))
 
 
 def q_trip_scan(spark, sf):
