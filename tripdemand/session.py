@@ -41,10 +41,29 @@ def build_session(master: str | None = None, app_name: str = "tripdemand",
     return spark
 
 
+# Cluster-only defaults (a non-local master), again only where unset: start
+# shuffles wide and let AQE coalesce to ~128 MB partitions, so the partial
+# aggregates of a 100 TB scan never spill into a few huge reducers; read
+# 256 MB splits to halve the task count of the text scans.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+}
+
+
+def _is_set(spark: SparkSession, key: str) -> bool:
+    return spark.conf.get(key, None) not in (None, "") or spark.sparkContext.getConf().contains(key)
+
+
 def apply_defaults(spark: SparkSession) -> None:
     for key, value in SCALE_DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
+    if not spark.sparkContext.master.startswith("local"):
+        for key, value in CLUSTER_DEFAULTS.items():
+            if not _is_set(spark, key):
+                spark.conf.set(key, value)
     # Pin UTC: date_format / hour on timestamps must not shift with the
     # deployer's zone (a DST gap would move trips between blocks).
     spark.conf.set("spark.sql.session.timeZone", "UTC")
