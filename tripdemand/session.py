@@ -14,8 +14,9 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Partition overwrite mode is passed per write (dynamic for trip_data and the
+# live tables), never changed session-wide.
 
 
 def build_session(master: str | None = None, app_name: str = "tripdemand",
@@ -46,23 +47,23 @@ def build_session(master: str | None = None, app_name: str = "tripdemand",
 # aggregates of a 100 TB scan never spill into a few huge reducers; read
 # 256 MB splits to halve the task count of the text scans.
 CLUSTER_DEFAULTS = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
-    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    # key: (values meaning "left at Spark's default", our value)
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": ((None, ""), "4096"),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": (("64MB", "67108864b", "67108864"),
+                                                        str(128 * 1024 * 1024)),
+    "spark.sql.files.maxPartitionBytes": (("128MB", "134217728b", "134217728"),
+                                          str(256 * 1024 * 1024)),
 }
 
 
-def _is_set(spark: SparkSession, key: str) -> bool:
-    return spark.conf.get(key, None) not in (None, "") or spark.sparkContext.getConf().contains(key)
-
-
 def apply_defaults(spark: SparkSession) -> None:
     for key, value in SCALE_DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
     if not spark.sparkContext.master.startswith("local"):
-        for key, value in CLUSTER_DEFAULTS.items():
-            if not _is_set(spark, key):
+        submitted = spark.sparkContext.getConf()
+        for key, (untouched, value) in CLUSTER_DEFAULTS.items():
+            if not submitted.contains(key) and spark.conf.get(key, None) in untouched:
                 spark.conf.set(key, value)
     # Pin UTC: date_format / hour on timestamps must not shift with the
     # deployer's zone (a DST gap would move trips between blocks).
