@@ -82,7 +82,7 @@ def test_replayed_batch_overwrites_itself(spark, setup, tmp_dir):
     wh = f"{tmp_dir}/wh"
     for t in ("trip_stats",):
         read_table(spark, s["wh"], t).write.partitionBy("month", "day").parquet(f"{wh}/{t}")
-    batch = LiveBatch(spark, wh, fx.REFERENCE_DATE)
+    batch = LiveBatch(wh, fx.REFERENCE_DATE)
     trips = s["trips"]
     batch(trips, 7)
     first = sorted(map(tuple, read_table(spark, wh, "real_trip_stats").collect()))
@@ -96,7 +96,7 @@ def test_empty_batch_and_missing_stats(spark, tmp_dir):
     wh = f"{tmp_dir}/wh"
     empty = spark.createDataFrame([], "pickup_ts timestamp_ntz, time_block int, month string, "
                                       "day string, borough_name string")
-    LiveBatch(spark, wh, fx.REFERENCE_DATE)(empty, 0)  # no stats table, no rows: a no-op
+    LiveBatch(wh, fx.REFERENCE_DATE)(empty, 0)  # no stats table, no rows: a no-op
 
 
 def test_reports_on_live_tables(spark, setup):

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripdemand.operators.spatial import PolygonIndex
+from tripdemand.session import session_key
 from tripdemand.sources.boroughs import geojson_edges, geojson_text_frame
 from tripdemand.sources.zones import zone_dim_from_frame
 
@@ -41,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table (read-only input). The lazy DataFrame is reused within a
     session, so its file listing and footer read happen once."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
+    key = session_key(spark) + (path,)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
@@ -58,7 +59,7 @@ _INDEXES: dict = {}
 
 def polygon_index(spark: SparkSession) -> PolygonIndex:
     """The fixture polygons' index, built once per session (a cached dimension)."""
-    key = (spark.sparkContext.applicationId, id(spark))
+    key = session_key(spark)
     if key not in _INDEXES:
         _INDEXES[key] = PolygonIndex(geojson_edges(geojson_text_frame(spark, FIXTURE_GEOJSON)))
     return _INDEXES[key]

@@ -56,12 +56,27 @@ CLUSTER_DEFAULTS = {
 }
 
 
+def context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session (no JVM context)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect: sparkContext is not available
+        return None
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Identifies a live session, for per-session caches of lazy DataFrames."""
+    sc = context(spark)
+    return (sc.applicationId if sc is not None else spark.conf.get("spark.app.id", ""), id(spark))
+
+
 def apply_defaults(spark: SparkSession) -> None:
     for key, value in SCALE_DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
-    if not spark.sparkContext.master.startswith("local"):
-        submitted = spark.sparkContext.getConf()
+    sc = context(spark)
+    if sc is not None and not sc.master.startswith("local"):
+        submitted = sc.getConf()
         for key, (untouched, value) in CLUSTER_DEFAULTS.items():
             if not submitted.contains(key) and spark.conf.get(key, None) in untouched:
                 spark.conf.set(key, value)
@@ -77,15 +92,19 @@ def scratch_root(spark: SparkSession) -> str:
     checkpoint dir). Only when neither is set -- local tests -- a fresh
     local folder is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-            "spark.checkpoint.dir", None)
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current and sc is not None:
+            current = sc.getConf().get("spark.checkpoint.dir", None)
         if not current:
             current = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
+        if sc is not None:
+            sc.setCheckpointDir(current)
+            current = sc.getCheckpointDir() or current
+        else:
+            spark.conf.set("spark.checkpoint.dir", current)
     return current.rstrip("/")
 
 

@@ -51,12 +51,15 @@ def _stats_or_empty(spark: SparkSession, warehouse: str, day: str, month: str,
 
 
 class LiveBatch:
-    """The per-micro-batch work (T2), usable with ``foreachBatch``."""
+    """The per-micro-batch work (T2), usable with ``foreachBatch``.
 
-    def __init__(self, spark: SparkSession, warehouse: str, reference_date,
+    It holds no session (the batch's own one is used), so it also pickles
+    for Spark Connect's server-side ``foreachBatch``.
+    """
+
+    def __init__(self, warehouse: str, reference_date,
                  stats_fmt: str = "parquet", stats_options: dict | None = None,
                  preview: bool = False):
-        self.spark = spark
         self.warehouse = warehouse
         self.day, self.month = day_and_month(reference_date)
         self.stats_fmt, self.stats_options = stats_fmt, stats_options
@@ -94,7 +97,7 @@ def start_live(spark: SparkSession, messages: DataFrame, zones: DataFrame, wareh
     trips = parse_zone_trips(messages, zones, zone_field=zone_field,
                              on_bad_timestamp=on_bad_timestamp, block_minutes=block_minutes)
     writer = (trips.writeStream
-              .foreachBatch(LiveBatch(spark, warehouse, reference_date, stats_fmt, stats_options))
+              .foreachBatch(LiveBatch(warehouse, reference_date, stats_fmt, stats_options))
               .option("checkpointLocation", checkpoint)
               .trigger(**(trigger or {"processingTime": LIVE_INTERVAL})))
     if query_name:
