@@ -116,3 +116,16 @@ def test_reports_on_live_tables(spark, setup):
 def test_text_stream_source(spark, setup):
     df = text_trip_stream(spark, setup["src"] + "/part0", max_files_per_trigger=1)
     assert df.isStreaming and df.columns == ["value"]
+
+
+def test_live_join_plan(spark, setup):
+    import contextlib
+    import io
+    df = LiveBatch(setup["wh"], fx.REFERENCE_DATE).compare(setup["trips"], 0)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
+    assert plan.count("BroadcastHashJoin") >= 2  # zone lookup and the one-day stats
+    assert "PartitionFilters: [isnotnull(month" in plan or "PartitionFilters: [isnotnull(day" in plan
+    assert "Python" not in plan

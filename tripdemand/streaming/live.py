@@ -65,6 +65,19 @@ class LiveBatch:
         self.stats_fmt, self.stats_options = stats_fmt, stats_options
         self.preview = preview
 
+    def compare(self, trips: DataFrame, batch_id: int) -> DataFrame:
+        """J3 + A3: the batch's counts joined with the reference day's means.
+
+        The stats are read inside the batch, so a re-run of the mean job
+        shows up; the one-day read prunes to a single partition folder.
+        """
+        stats = broadcast_if_bounded(
+            _stats_or_empty(trips.sparkSession, self.warehouse, self.day, self.month,
+                            self.stats_fmt, self.stats_options), STATS_BROADCAST_ROWS)
+        return (live_counts(trips)
+                .join(stats, ["borough_name", "time_block"], "inner")
+                .withColumn("batch_id", F.lit(batch_id).cast("long")))
+
     def __call__(self, trips: DataFrame, batch_id: int) -> None:
         trips = trips.persist()
         try:
@@ -72,14 +85,8 @@ class LiveBatch:
                 trips.limit(10).show(truncate=False)  # S15, off by default
             log = trips.withColumn("batch_id", F.lit(batch_id).cast("long"))
             write_table(log, self.warehouse, "real_trip", dynamic=True)
-            # Read the stats inside the batch: a re-run of the mean job shows up.
-            stats = broadcast_if_bounded(
-                _stats_or_empty(trips.sparkSession, self.warehouse, self.day, self.month,
-                                self.stats_fmt, self.stats_options), STATS_BROADCAST_ROWS)
-            joined = (live_counts(trips)
-                      .join(stats, ["borough_name", "time_block"], "inner")
-                      .withColumn("batch_id", F.lit(batch_id).cast("long")))
-            write_table(joined, self.warehouse, "real_trip_stats", dynamic=True)
+            write_table(self.compare(trips, batch_id), self.warehouse, "real_trip_stats",
+                        dynamic=True)
         finally:
             trips.unpersist()
 
