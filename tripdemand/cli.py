@@ -61,6 +61,8 @@ def _parser() -> argparse.ArgumentParser:
     src.add_argument("--kafka", nargs=2, metavar=("SERVERS", "TOPIC"))
     src.add_argument("--text-folder")
     lv.add_argument("--interval", default="60 seconds")
+    lv.add_argument("--max-offsets", type=int,
+                    help="Kafka maxOffsetsPerTrigger: cap a micro-batch after downtime")
 
     r = sub.add_parser("replay", help="historical lines -> live messages")
     r.add_argument("--input", required=True)
@@ -91,7 +93,8 @@ def main(argv=None) -> int:
         write_trip_stats(historical_mean(read_table(spark, args.warehouse, "trip_data")),
                          args.warehouse)
     elif args.command == "live":
-        msgs = (kafka_trip_stream(spark, *args.kafka) if args.kafka
+        opts = {"maxOffsetsPerTrigger": str(args.max_offsets)} if args.max_offsets else None
+        msgs = (kafka_trip_stream(spark, *args.kafka, options=opts) if args.kafka
                 else text_trip_stream(spark, args.text_folder))
         q = start_live(spark, msgs, read_zone_lookup(spark, args.zones), args.warehouse,
                        args.date, args.checkpoint, trigger={"processingTime": args.interval})
