@@ -108,7 +108,10 @@ class PolygonIndex:
         # broadcast decision in locate() needs no further job.
         self.n_cells = self.cells.count()
         self.n_runs = self.runs.count()
-        self.n_names = self.names.count()
+        # Names have at most one row per edge: the edge count bounds them.
+        self.n_names = box["n"] if box else 0
+        for df in self._intermediates:  # the final tables are cached now
+            df.unpersist()
 
     # -- index construction (small, bounded by polygons and grid) ----------
     def _cell_of(self, v: Column, origin: float) -> Column:
@@ -134,16 +137,17 @@ class PolygonIndex:
         xb = F.when(horizontal, F.greatest("x1", "x2")).otherwise(F.greatest(x_at(ylo), x_at(yhi)))
         edge_cells = rows.withColumn("cx", F.explode(F.sequence(
             self._cell_of(xa, gx0) - 1, self._cell_of(xb, gx0) + 1)))
+        # Shared by the run, run-edge and cell tables below: computed once.
         edge_cells = edge_cells.select("edge_id", "poly", "x1", "y1", "x2", "y2",
                                        F.col("cx").cast("int").alias("cx"),
-                                       F.col("cy").cast("int").alias("cy"))
+                                       F.col("cy").cast("int").alias("cy")).cache()
 
         # Maximal runs of consecutive edge cells per row (gaps and islands).
         cells = edge_cells.select("cx", "cy").distinct()
         w = Window.partitionBy("cy").orderBy("cx")
         runs = (cells.withColumn("_g", F.col("cx") - F.row_number().over(w))
                 .groupBy("cy", "_g").agg(F.min("cx").alias("rs"), F.max("cx").alias("re"))
-                .drop("_g"))
+                .drop("_g").cache())
         run_cells = runs.select("cy", "rs", "re", F.explode(F.sequence("rs", "re")).alias("cx"))
 
         # Edges of each run, one entry per edge.
@@ -184,6 +188,7 @@ class PolygonIndex:
                             F.lit(None).cast("double").alias("x_s"), "inside"))
         cell_table = edge_rows.unionByName(interior).cache()
         run_table = run_edges.cache()
+        self._intermediates = (edge_cells, runs)
         return cell_table, run_table
 
     # -- the join -----------------------------------------------------------
