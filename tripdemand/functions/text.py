@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 # Fixed patterns: the text forms accepted by Python's int() and float().
 INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 FLOAT_TEXT = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\s*$"
+SIGNED_NAN_TEXT = r"^\s*[+-](?i:nan)\s*$"
 _TRAILING_SPACE = r"\s+$"
 
 
@@ -42,6 +43,8 @@ def float_value(c: Column) -> Column:
     """The double a Python ``float(c)`` gives, NULL where it would raise.
 
     The regex guard matters: Spark alone also accepts ``1d`` or ``0x1p3``.
-    Spark's cast trims surrounding whitespace itself.
+    Spark's cast trims surrounding whitespace itself but rejects a signed
+    NaN, which Python reads as NaN; only then is the fallback evaluated.
     """
-    return F.when(is_float_text(c), c.try_cast("double"))
+    signed_nan = F.when(c.rlike(SIGNED_NAN_TEXT), F.lit(float("nan")))
+    return F.when(is_float_text(c), F.coalesce(c.try_cast("double"), signed_nan))
