@@ -176,3 +176,38 @@ def test_jagged_boroughs_with_holes_and_islands(spark):
     bad = [i for i in range(len(xs)) if got[i] != best[i]]
     assert not bad, bad[:10]
     assert len({v for v in got.values()}) == 4
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@st.composite
+def lattice_star(draw, cx, cy):
+    """A star-shaped polygon with integer vertices around (cx, cy)."""
+    import math
+    n = draw(st.integers(3, 9))
+    pts = []
+    for i in range(n):
+        a = 2 * math.pi * i / n
+        r = draw(st.integers(1, 6))
+        pts.append([cx + round(r * math.cos(a)), cy + round(r * math.sin(a))])
+    dedup = [p for i, p in enumerate(pts) if p != pts[i - 1]]
+    return dedup if len(dedup) >= 3 else [[cx, cy], [cx + 2, cy], [cx, cy + 2]]
+
+
+@settings(max_examples=4, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow,
+                                 HealthCheck.data_too_large, HealthCheck.large_base_example])
+@given(data=st.data())
+def test_lattice_polygons_property(spark, data):
+    """Vertices on grid lines, points on edges and vertices: grid = exact brute force."""
+    feats = [(f"P{c}", c, "Polygon", [data.draw(lattice_star(cx, cy))])
+             for c, (cx, cy) in enumerate([(0, 0), (3, 1), (9, 4)], start=1)]
+    cells = data.draw(st.integers(3, 40))
+    pts = [(i, x / 2, y / 2) for i, (x, y) in
+           enumerate((x, y) for x in range(-16, 34) for y in range(-16, 24))]
+    got = locate(spark, pts, cells, feats)
+    polys = polygons(feats)
+    bad = [(x, y, got[p]) for p, x, y in pts if got[p] != brute_force(x, y, polys)]
+    assert not bad, (cells, feats, bad[:5])
