@@ -20,8 +20,8 @@ from tripdemand.operators.parse import parse_gps_trips, parse_zone_trips, with_t
 from tripdemand.operators.replay import replay_messages
 from tripdemand.plans import fixtures as fx
 from tripdemand.plans.batch import run_batch
-from tripdemand.schemas import AS_CODED_ZONE_FIELD
 from tripdemand.plans.reports import historical_profile, live_profile, overlay_report
+from tripdemand.schemas import AS_CODED_ZONE_FIELD
 from tripdemand.session import fresh_dir
 from tripdemand.sources.tables import read_table, stats_for_day, write_trip_data, write_trip_stats
 from tripdemand.sources.trip_files import classify_files, paths_by_kind, read_trip_csv
@@ -70,6 +70,7 @@ def _live(spark, sf) -> str:
 
 
 def q_parse_zone_trips(spark, sf):
+    """Zone-coded lines derived from events, parsed."""
     return _zone_trips(spark, sf)
 
 
@@ -80,84 +81,102 @@ def q_parse_zone_trips_as_coded(spark, sf):
 
 
 def q_parse_gps_trips(spark, sf):
+    """GPS lines derived from events, parsed and located."""
     return _gps_trips(spark, sf)
 
 
 def q_time_features(spark, sf):
+    """F1-F3 on every event timestamp."""
     ev = _events(spark, sf).select("event_id", F.col("ts").alias("pickup_ts"))
     return with_time_features(ev).select("event_id", "time_block", "month", "day")
 
 
 def q_block_label(spark, sf):
+    """the label of every block that occurs."""
     blocks = with_time_features(_events(spark, sf).select(F.col("ts").alias("pickup_ts")))
     return (blocks.select("time_block").distinct()
             .select("time_block", block_label(F.col("time_block")).alias("label")))
 
 
 def q_zone_lookup_join(spark, sf):
+    """Every event's zone id (event_id % 30) joined to the zone dimension."""
     ev = _events(spark, sf).select(
         "event_id", (F.col("event_id") % fx.ZONE_MOD).cast("string").alias("zone_code"))
     return zone_lookup_join(ev, fx.zones(spark, sf)).select("event_id", "borough_name")
 
 
 def q_borough_point_join(spark, sf):
+    """Every event's point located in the fixture polygons."""
     pts = fx.points(_events(spark, sf))
     return fx.polygon_index(spark).locate(pts, "x", "y").select("event_id", "borough_name")
 
 
 def q_all_trips_union(spark, sf):
+    """O4 + A1: both line kinds as one dataset, counted once."""
     return trip_counts(union_trips(_zone_trips(spark, sf), _gps_trips(spark, sf)))
 
 
 def q_trip_counts(spark, sf):
+    """Trips per (date, block, month, weekday, borough)."""
     return _counts(spark, sf)
 
 
 def q_trip_preview(spark, sf):
+    """Ten parsed trips (rows-only: which ten is not fixed)."""
     return _zone_trips(spark, sf).limit(10)
 
 
 def q_historical_mean(spark, sf):
+    """A2: mean trips per (block, weekday, month, borough)."""
     return historical_mean(_counts(spark, sf))
 
 
 def q_demand_stdev(spark, sf):
+    """A5: rounded sample standard deviation per cell."""
     return demand_stdev(_counts(spark, sf))
 
 
 def q_demand_rounded_mean(spark, sf):
+    """Rounded mean per cell."""
     return demand_rounded_mean(_counts(spark, sf))
 
 
 def q_stats_for_day(spark, sf):
+    """Stored stats of the reference weekday and month."""
     day, month = day_and_month(fx.REFERENCE_DATE)
     return stats_for_day(spark, _history(spark, sf), day, month)
 
 
 def q_historical_profile(spark, sf):
+    """Historical profile of one borough and day."""
     day, month = day_and_month(fx.REFERENCE_DATE)
     stats = read_table(spark, _history(spark, sf), "trip_stats")
     return historical_profile(stats, day, month, fx.REPORT_BOROUGH)
 
 
 def q_live_trips(spark, sf):
+    """The live log after streaming events through the live job."""
     return read_table(spark, _live(spark, sf), "real_trip")
 
 
 def q_live_counts(spark, sf):
+    """A3, T5: per-batch live counts recomputed from the stored log."""
     log = read_table(spark, _live(spark, sf), "real_trip")
     return live_counts(log, extra_keys=["batch_id"])
 
 
 def q_live_vs_history(spark, sf):
+    """Per-batch counts joined with the day's means."""
     return read_table(spark, _live(spark, sf), "real_trip_stats")
 
 
 def q_live_profile(spark, sf):
+    """Live profile of one borough."""
     return live_profile(read_table(spark, _live(spark, sf), "real_trip_stats"), fx.REPORT_BOROUGH)
 
 
 def q_overlay_report(spark, sf):
+    """Live and historical series on one time axis."""
     wh = _live(spark, sf)
     day, month = day_and_month(fx.REFERENCE_DATE)
     return overlay_report(read_table(spark, wh, "trip_stats"),
@@ -166,6 +185,7 @@ def q_overlay_report(spark, sf):
 
 
 def q_replay_messages(spark, sf):
+    """Historical lines as keyed live messages."""
     return replay_messages(fx.zone_lines(_events(spark, sf)), fx.REPLAY_DATE)
 
 
@@ -197,6 +217,7 @@ def q_file_schema_kind(spark, sf):
 
 
 def q_trip_scan(spark, sf):
+    """Typed CSV scan of the zone-coded files found by S2/S3."""
     root = _write_trip_files(spark, sf)
     kinds = paths_by_kind(classify_files(spark, root))
     return read_trip_csv(spark, kinds["TAXIZONE"], "TAXIZONE").select(
