@@ -211,3 +211,13 @@ def test_lattice_polygons_property(spark, data):
     polys = polygons(feats)
     bad = [(x, y, got[p]) for p, x, y in pts if got[p] != brute_force(x, y, polys)]
     assert not bad, (cells, feats, bad[:5])
+
+
+def test_index_diagnostics(spark):
+    index = PolygonIndex(geojson_edges(geojson_text_frame(spark, geojson())), cells_per_side=29)
+    info = index.summary()
+    assert info["cells_per_side"] == 29 and info["index_cells"] > 0 and info["runs"] > 0
+    pts = spark.range(2000).selectExpr("(id % 40) * 0.75 - 1 as x", "(id % 23) * 0.75 - 1 as y")
+    row = index.edge_cell_share(pts, "x", "y").first()
+    assert row.points == 2000 and 0 < row.in_edge_cells < 2000
+    assert 0 < row.share < 1 and row.mean_candidate_edges >= 1

@@ -191,6 +191,31 @@ class PolygonIndex:
         self._intermediates = (edge_cells, runs)
         return cell_table, run_table
 
+    # -- diagnostics (for choosing cells_per_side) ----------------------------
+    def summary(self) -> dict:
+        """Grid parameters and index sizes (all known after construction)."""
+        return {"cells_per_side": self.cells_per_side, "delta": self.delta,
+                "ncols": self.ncols, "nrows": self.nrows, "index_cells": self.n_cells,
+                "runs": self.n_runs}
+
+    def edge_cell_share(self, points: DataFrame, x_col: str, y_col: str) -> DataFrame:
+        """One row: how many points fall in edge cells (they take the exact test)
+        and the mean number of candidate edges they see. A distributed
+        aggregate over a broadcast join; nothing is collected per point."""
+        d, gx0, gy0 = self.delta, self.gx0, self.gy0
+        cells = F.broadcast(self.cells.where(F.col("rs").isNotNull())
+                            .select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"),
+                                    F.col("rs").alias("_rs")))
+        runs = F.broadcast(self.runs.select(F.col("cy").alias("_cy"), F.col("rs").alias("_rs"),
+                                            F.size("edges").alias("_k")))
+        pts = points.select(self._cell_of(F.col(x_col), gx0).cast("int").alias("_cx"),
+                            self._cell_of(F.col(y_col), gy0).cast("int").alias("_cy"))
+        j = pts.join(cells, ["_cx", "_cy"], "left").join(runs, ["_cy", "_rs"], "left")
+        return j.agg(F.count(F.lit(1)).alias("points"),
+                     F.count("_rs").alias("in_edge_cells"),
+                     (F.count("_rs") / F.count(F.lit(1))).alias("share"),
+                     F.avg("_k").alias("mean_candidate_edges"))
+
     # -- the join -----------------------------------------------------------
     def locate(self, points: DataFrame, x_col: str, y_col: str,
                out_col: str = "borough_name") -> DataFrame:
