@@ -30,16 +30,23 @@ def tree(df) -> str:
         df.explain("formatted")
     text = buf.getvalue().split("\n\n")[0]
     # Cut the cached polygon-index sub-plans: they are built once per session.
-    out, skip_below = [], None
+    # A cached table's own plan is printed right after its InMemoryRelation
+    # line, starting at some column; the main tree resumes at the first line
+    # clearly shallower than that.
+    out, skipping, nested_col = [], False, None
     for line in text.splitlines():
-        depth = line.find("+- ")
-        if skip_below is not None:
-            if depth < 0 or depth > skip_below:
+        marks = [i for i in (line.find("+- "), line.find(":- ")) if i >= 0]
+        col = min(marks) if marks else None
+        if skipping:
+            if nested_col is None:
+                nested_col = col
                 continue
-            skip_below = None
+            if col is None or col >= nested_col - 3 or "Plan ==" in line:
+                continue
+            skipping = False
         if "InMemoryRelation" in line:
             out.append(line + "  [cached index table, built once per session]")
-            skip_below = depth
+            skipping, nested_col = True, None
             continue
         out.append(line)
     return "\n".join(out)

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripdemand.schemas import OUTSIDE_BOROUGH
+from tripdemand.session import scratch_root
 
 # A polygon reference inside the index: ordering by it picks the smallest
 # borough code. Names live in a separate (tiny) code -> name table.
@@ -103,14 +104,22 @@ class PolygonIndex:
             self.gy0 = box["miny"] - 2 * self.delta
             self.ncols = int(math.ceil(w / self.delta)) + 4
             self.nrows = int(math.ceil(h / self.delta)) + 4
-        self.cells, self.runs = self._build()
-        # Materialise both (small) tables once and record their sizes: the
-        # broadcast decision in locate() needs no further job.
+        cells, runs = self._build()
+        # Cut the index's lineage with reliable checkpoints in the shared
+        # checkpoint folder: an executor loss re-reads them instead of
+        # rebuilding, and plans that use the index see a plain scan. Cached
+        # first, so the checkpoint write does not recompute the build.
+        scratch_root(edges.sparkSession)
+        self.cells = cells.checkpoint(eager=True)
+        self.runs = runs.checkpoint(eager=True)
+        names = self.names
+        self.names = names.checkpoint(eager=True)
+        # Sizes for the broadcast decisions in locate(): no further job there.
         self.n_cells = self.cells.count()
         self.n_runs = self.runs.count()
         # Names have at most one row per edge: the edge count bounds them.
         self.n_names = box["n"] if box else 0
-        for df in self._intermediates:  # the final tables are cached now
+        for df in self._intermediates + (cells, runs, names, self.edges):
             df.unpersist()
 
     # -- index construction (small, bounded by polygons and grid) ----------
