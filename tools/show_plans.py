@@ -15,7 +15,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tripdemand.operators.aggregates import live_counts  # noqa: E402
-from tripdemand.plans import fixtures as fx  # noqa: E402
 from tripdemand.plans.registry import QUERIES, _history, _zone_trips  # noqa: E402
 from tripdemand.session import build_session  # noqa: E402
 from tripdemand.sources.tables import stats_for_day  # noqa: E402
