@@ -31,6 +31,11 @@ def test_zone_lookup_csv(spark, tmp_dir):
         f.write(LOOKUP_ROWS)
     got = {r.zone_code: r.borough_name for r in read_zone_lookup(spark, path).collect()}
     assert got == {"1": "EWR", "2": "Brooklyn", "4": "Manhattan", "264": "Unknown"}
+    bare = f"{tmp_dir}/zones_no_header.csv"
+    with open(bare, "w") as f:
+        f.write("\n".join(LOOKUP_ROWS.splitlines()[1:]) + "\n")
+    got = {r.zone_code: r.borough_name for r in read_zone_lookup(spark, bare).collect()}
+    assert got == {"1": "EWR", "2": "Brooklyn", "4": "Manhattan", "264": "Unknown"}
 
 
 def test_classify_headers(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripdemand.functions.text import is_int_text
 from tripdemand.schemas import ZONE_LOOKUP_SCHEMA
 
 
@@ -13,12 +14,14 @@ def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
 
     ``zone_code`` keeps the id text exactly as written: trips match on that
     text, so ``05`` or `` 5`` find no zone, as in the dictionary lookup this
-    replaces. When an id repeats, the later row wins.
+    replaces. When an id repeats, the later row wins. Every line is read
+    (a header line, if any, is not an integer id and drops out), so a file
+    without a header loses no row.
     """
-    raw = (spark.read.schema(ZONE_LOOKUP_SCHEMA).option("header", True)
+    raw = (spark.read.schema(ZONE_LOOKUP_SCHEMA).option("header", False)
            .option("mode", "PERMISSIVE").csv(path)
            .withColumn("_pos", F.monotonically_increasing_id()))
-    return (raw.where(F.col("LocationID").isNotNull())
+    return (raw.where(is_int_text(F.col("LocationID")))
             .groupBy(F.col("LocationID").alias("zone_code"))
             .agg(F.max_by("Borough", "_pos").alias("borough_name")))
 
