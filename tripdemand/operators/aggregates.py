@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripdemand.functions.time import day_name, month_name
 from tripdemand.schemas import COUNT_KEYS, LIVE_KEYS, STATS_KEYS
 
 
@@ -21,9 +22,20 @@ def to_count_rows(trips: DataFrame) -> DataFrame:
 
 
 def trip_counts(trips: DataFrame) -> DataFrame:
-    """A1: trips per (date, block, month, weekday, borough)."""
-    return (to_count_rows(trips).groupBy(*COUNT_KEYS)
-            .agg(F.count(F.lit(1)).alias("num_trips")))
+    """A1: trips per (date, block, month, weekday, borough).
+
+    Month and weekday are functions of the date, so the aggregation keys are
+    the three narrow columns and the names are derived once per group after
+    it: column pruning then drops the per-trip name formatting, and the
+    shuffle carries only partial counts with narrow keys.
+    """
+    if "assign_date" not in trips.columns:
+        trips = trips.withColumn("assign_date", F.to_date("pickup_ts"))
+    counts = (trips.groupBy("assign_date", "time_block", "borough_name")
+              .agg(F.count(F.lit(1)).alias("num_trips")))
+    return counts.select("assign_date", "time_block", month_name(F.col("assign_date")).alias("month"),
+                         day_name(F.col("assign_date")).alias("day"), "borough_name",
+                         "num_trips")
 
 
 def union_trips(*parts: DataFrame) -> DataFrame:
