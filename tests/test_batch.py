@@ -117,3 +117,18 @@ def test_stats_for_day_prunes_partitions(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [isnotnull(month" in plan
     assert df.count() == historical_mean(counts).where(
         (F.col("day") == "Thursday") & (F.col("month") == "January")).count()
+
+
+def test_trip_file_writer_bounds_lines_per_file(spark, tmp_dir, monkeypatch):
+    """Several files per kind, each headed by its own header line."""
+    monkeypatch.setattr(fx, "LINES_PER_FILE", 300)
+    ev = fx.table(spark, SF0001, "events")
+    fx.write_trip_files(spark, tmp_dir, "yellow_z", fx.zone_coded_header(),
+                        fx.zone_lines(ev, keep_id=True))
+    files = (spark.read.text(f"{tmp_dir}/yellow_z")
+             .select(F.col("_metadata.file_path").alias("f"), "value"))
+    per_file = {r.f: r.n for r in files.groupBy("f").agg(F.count("*").alias("n")).collect()}
+    assert len(per_file) == 4 and sum(per_file.values()) == 1000 + 4
+    assert max(per_file.values()) <= 300 + 1
+    kinds = paths_by_kind(classify_files(spark, tmp_dir))
+    assert len(kinds["TAXIZONE"]) == 4 and not kinds["GPS"]
