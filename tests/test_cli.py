@@ -43,3 +43,11 @@ def test_batch_and_report_commands(spark, tmp_dir):
     header = [line for line in r.stdout.splitlines() if "label" in line]
     assert header and "mean" in header[0]
     assert any(line.startswith("|") and ":" in line for line in r.stdout.splitlines()[2:])
+
+    fx.zone_lines(ev).write.text(f"{tmp_dir}/stream")
+    r = run("live", "--warehouse", f"{tmp_dir}/wh", "--zones", f"{tmp_dir}/zones",
+            "--date", "2024-01-04", "--checkpoint", f"{tmp_dir}/ckpt",
+            "--text-folder", f"{tmp_dir}/stream", "--available-now")
+    assert r.returncode == 0, r.stderr[-2000:]
+    r = run("report", "live", "--warehouse", f"{tmp_dir}/wh", "--borough", "AMERICA")
+    assert r.returncode == 0 and "actual_trips" in r.stdout, r.stderr[-2000:]

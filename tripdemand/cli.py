@@ -61,6 +61,8 @@ def _parser() -> argparse.ArgumentParser:
     src.add_argument("--kafka", nargs=2, metavar=("SERVERS", "TOPIC"))
     src.add_argument("--text-folder")
     lv.add_argument("--interval", default="60 seconds")
+    lv.add_argument("--available-now", action="store_true",
+                    help="process what is available, then stop (catch-up runs)")
     lv.add_argument("--max-offsets", type=int,
                     help="Kafka maxOffsetsPerTrigger: cap a micro-batch after downtime")
 
@@ -97,7 +99,9 @@ def main(argv=None) -> int:
         msgs = (kafka_trip_stream(spark, *args.kafka, options=opts) if args.kafka
                 else text_trip_stream(spark, args.text_folder))
         q = start_live(spark, msgs, read_zone_lookup(spark, args.zones), args.warehouse,
-                       args.date, args.checkpoint, trigger={"processingTime": args.interval})
+                       args.date, args.checkpoint,
+                       trigger=({"availableNow": True} if args.available_now
+                                else {"processingTime": args.interval}))
         q.awaitTermination()
     elif args.command == "replay":
         msgs = replay_messages(read_trip_lines(spark, [args.input]), args.date)

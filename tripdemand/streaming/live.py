@@ -25,6 +25,7 @@ from tripdemand.operators.aggregates import live_counts
 from tripdemand.operators.joins import broadcast_if_bounded
 from tripdemand.operators.parse import parse_zone_trips
 from tripdemand.schemas import BLOCK_MINUTES, ZONE_FIELD
+from tripdemand.session import scratch_root
 from tripdemand.sources.tables import TABLE_SCHEMAS, stats_for_day, write_table
 
 LIVE_INTERVAL = "60 seconds"
@@ -101,6 +102,12 @@ def start_live(spark: SparkSession, messages: DataFrame, zones: DataFrame, wareh
     ``trigger`` defaults to a 60-second processing-time trigger (T1); tests
     pass ``{"availableNow": True}``. ``checkpoint`` must be a shared folder.
     """
+    # The zone dimension is the static side of a stream-static join, which
+    # Spark re-evaluates every micro-batch; materialise it once as a
+    # reliable checkpoint (this also removes expressions streaming plans
+    # reject, such as the file-order id used to resolve duplicate ids).
+    scratch_root(spark)
+    zones = zones.checkpoint(eager=True)
     trips = parse_zone_trips(messages, zones, zone_field=zone_field,
                              on_bad_timestamp=on_bad_timestamp, block_minutes=block_minutes)
     writer = (trips.writeStream
