@@ -129,3 +129,18 @@ def test_live_join_plan(spark, setup):
     assert plan.count("BroadcastHashJoin") >= 2  # zone lookup and the one-day stats
     assert "PartitionFilters: [isnotnull(month" in plan or "PartitionFilters: [isnotnull(day" in plan
     assert "Python" not in plan
+
+
+def test_gps_parse_runs_on_a_stream(spark, tmp_dir):
+    from tripdemand.operators.parse import parse_gps_trips
+    ev = fx.table(spark, SF0001, "events")
+    fx.gps_lines(ev).write.text(f"{tmp_dir}/gps")
+    index = fx.polygon_index(spark)
+    stream = spark.readStream.format("text").load(f"{tmp_dir}/gps")
+    q = (parse_gps_trips(stream, index).writeStream.format("memory").queryName("gps_live")
+         .option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert q.exception() is None
+    live = sorted(map(tuple, spark.table("gps_live").collect()))
+    batch = sorted(map(tuple, parse_gps_trips(fx.gps_lines(ev), index).collect()))
+    assert live == batch and len(live) > 900
