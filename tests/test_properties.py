@@ -94,3 +94,36 @@ def test_pickup_agrees_with_strptime(spark, texts):
     rows = df.select("v", parse_pickup(F.col("v")).alias("ts")).collect()
     for r in rows:
         assert r.ts == py_strptime(r.v), repr(r.v)
+
+
+def py_replay(lines, date):
+    """The replay semantics in plain Python, for comparison."""
+    out = []
+    for line in lines:
+        text = line.strip(" \t\n\r\x0b\x0c")
+        if not text:
+            continue
+        f = text.split(",")
+        if len(f) < 2 or py_strptime(f[1]) is None or " " not in f[1]:
+            continue
+        f[1] = date + " " + f[1].split(" ")[1]
+        out.append((str(len(out)), ",".join(f[:9])))
+    return out
+
+
+@st.composite
+def trip_line(draw):
+    n = draw(st.integers(0, 12))
+    fields = [draw(st.text(alphabet="abc019. ", max_size=4)) for _ in range(n)]
+    if n >= 2 and draw(st.booleans()):
+        fields[1] = draw(pickup_text())
+    return draw(WS) + ",".join(fields) + draw(WS)
+
+
+@SETTINGS
+@given(st.lists(trip_line(), min_size=150, max_size=150))
+def test_replay_agrees_with_python(spark, lines):
+    from tripdemand.operators.replay import replay_messages
+    df = spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1)
+    got = [(r.key, r.value) for r in replay_messages(df, "2024-02-01").collect()]
+    assert sorted(got, key=lambda kv: int(kv[0])) == py_replay(lines, "2024-02-01")

@@ -45,7 +45,11 @@ def replay_messages(lines: DataFrame, replay_date: str, value_col: str = "value"
     text = F.regexp_replace(F.col(value_col), r"^\s+|\s+$", "")
     split = lines.select(text.alias("_t")).select("_t", F.split("_t", ",", -1).alias("_f"))
     fields = split.select("_t", "_f", F.get(F.col("_f"), F.lit(1)).alias("_p"))
-    ok = (F.length("_t") > 0) & parse_pickup(F.col("_p")).isNotNull()
+    # The time of day is the text after the first single space; a pickup
+    # whose date and time are separated otherwise (a tab) is skipped here,
+    # where the original producer stopped with an error.
+    ok = ((F.length("_t") > 0) & parse_pickup(F.col("_p")).isNotNull()
+          & (F.size(F.split("_p", " ", -1)) >= 2))
     kept = keep_where(fields.select("_f", "_p", ok.alias("_ok")), "_ok", ["_f", "_p"])
     new_pickup = rebase_pickup_text(F.col("_p"), F.lit(replay_date))
     rebuilt = F.concat(F.array(F.get(F.col("_f"), F.lit(0)), new_pickup),
