@@ -64,3 +64,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         live = materialize(
             live.join(sa, "a").join(sb, "b").where("ua <> ub")
             .select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct(), "cc-edges")
+
+
+def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` (a written table) hinted for broadcast if it has at most ``rows`` rows; else ``df`` itself."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

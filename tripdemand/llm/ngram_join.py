@@ -33,7 +33,6 @@ from tripdemand.llm.text_hash import chunks, mix64, shingle_sets
 
 HEAVY_MAX = 1 << 18      # frequent shingles in the broadcast: 2 MB, whatever the corpus
 BLOOM_BITS = 1 << 26     # filter of the sets to fetch: 8 MB, whatever the corpus
-BITMAP_BITS = 1024
 
 
 def _texts(pdf: pd.DataFrame) -> list[bytes]:
@@ -54,13 +53,24 @@ def set_key(s: np.ndarray) -> int:
     return int(mix64(np.array([x & (1 << 64) - 1], np.uint64)).view(np.int64)[0])
 
 
-def parity_bitmap(s: np.ndarray, bits: int = BITMAP_BITS) -> np.ndarray:
-    """Bit i is the parity of the shingles hashed to i: bitmaps differ in at
-    most as many bits as the sets differ in shingles."""
-    odd = np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+def parity_bitmap(s: np.ndarray) -> np.ndarray:
+    """Bit i is the parity of the shingles whose hash ends in i: bitmaps differ in at most as
+    many bits as the sets differ in shingles. About 4 bits a shingle, a power of two."""
+    bits = max(64, 1 << int(4 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8))
 
 
+def bits_apart(x: bytes, y: bytes) -> int:
+    """Bits two bitmaps differ in; the larger one is folded to the size of the other."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def overlap_needed(na, nb, num: int, den: int):
     """Smallest intersection with den*|A and B| >= num*|A or B|."""
     return -(-num * (na + nb) // (num + den))
@@ -251,8 +261,7 @@ def ngram_jaccard_join(documents: DataFrame, width: int = 3, num: int = 9, den:
         for pdf in batches:
             if not len(pdf):
                 continue
-            x, y = (np.frombuffer(b"".join(pdf[f"bitmap_{p}"]), np.uint64).reshape(len(pdf), -1) for p in "ab")
-            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            differ = np.array([bits_apart(x, y) for x, y in zip(pdf["bitmap_a"], pdf["bitmap_b"])])
             na, nb = pdf["n_a"].to_numpy(), pdf["n_b"].to_numpy()
             fits = na + nb - 2 * overlap_needed(na, nb, num, den) >= differ
             yield pdf.loc[fits, ["a", "b"]]
