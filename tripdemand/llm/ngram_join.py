@@ -9,12 +9,13 @@ ones, and are only probed, by binary search, for what the short lists propose.
 
 On Spark: shingles that are frequent in the whole corpus are put last in every
 set, so the short lists are the head of the (frequency class, hash) order; the
-heads are shuffled by shingle, each list proposes its size- and
-position-compatible pairs, a parity bitmap bounds the symmetric difference
-from below, and the survivors' whole sets are probed. A list longer than
-``list_bound`` (a group of near copies: nothing rare in it) proposes no pairs.
-Its members form a cluster that is searched by DivideSkip itself, over blocks
-of at most ``block`` sets, so no task holds an unbounded group.
+heads are shuffled by shingle and each list proposes its size- and
+position-compatible pairs; a parity bitmap bounds the symmetric difference
+from below and drops nearly all that are not links. A list longer than
+``list_bound`` (a group of near copies: nothing rare in it) proposes no pairs
+but a star. What is proposed falls into clusters, and each is searched by
+DivideSkip over the whole sets, in blocks of at most ``block`` sets, so no task
+holds an unbounded group.
 
 Exact copies of a shingle set are one class from the first shuffle on.
 """
@@ -266,52 +267,33 @@ def ngram_jaccard_join(documents: DataFrame, width: int = 3, num: int = 9, den:
             fits = na + nb - 2 * overlap_needed(na, nb, num, den) >= differ
             yield pdf.loc[fits, ["a", "b"]]
 
-    pairs = materialize(
-        proposed.where("not big").select("a", "b").join(side("a"), "a").join(side("b"), "b")
-        .mapInPandas(bounded, "a long, b long"), "ngram-candidates")
-    clusters = connected_components(proposed.where("big"))
-    blocks = clusters.groupBy("component").agg(F.count("*").alias("m"))
-    members = materialize(clusters.join(blocks, "component").select(
-        "component", F.col("node").alias("key"), F.ceil(F.col("m") / block).cast("int").alias("nb"),
-        F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / block)).cast("int").alias("block")), "ngram-members")
-
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(members.select("key")).distinct()
-    wanted = materialize(wanted, "ngram-wanted")
-    bits = sc.broadcast(_bloom(wanted))
+    pairs = proposed.where("not big").select("a", "b").join(side("a"), "a").join(side("b"), "b") \
+        .mapInPandas(bounded, "a long, b long")
+    clusters = connected_components(pairs.union(proposed.where("big").select("a", "b")))
+    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("nb"))
+    members = materialize(clusters.join(sizes, "component").select(
+        "component", F.col("node").alias("key"), "nb",
+        F.pmod(F.xxhash64("node"), F.col("nb")).cast("int").alias("block")), "ngram-members")
+    bits = sc.broadcast(_bloom(members))
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = bits.value
-        for pdf in batches:
-            for _, sets in _sets(_texts(pdf), width):
-                rows = {}
-                for s in sets:
-                    if len(s):
-                        k = set_key(s)
-                        bit = k & (BLOOM_BITS - 1)
-                        if table[bit >> 3] >> (bit & 7) & 1:
-                            rows[k] = s.view(np.int64)
-                if rows:
-                    yield pd.DataFrame({"key": list(rows), "shingles": list(rows.values())})
-
-    sets = docs.select("text").mapInPandas(fetch, "key long, shingles array<long>") \
-        .join(wanted, "key", "left_semi").dropDuplicates(["key"])
-    sets = materialize(sets, "ngram-sets")
-
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table, sent = bits.value, set()
         for pdf in batches:
-            keep = []
-            for x, y in zip(pdf["sa"], pdf["sb"]):
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                x, y = x.view(np.uint64), y.view(np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                keep.append(int((y[at] == x).sum()) >= overlap_needed(len(x), len(y), num, den))
-            yield pdf.loc[np.array(keep, bool), ["a", "b"]]
-
-    linked = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a") \
-        .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b") \
-        .mapInPandas(probe, "a long, b long")
-    inside = _search_clusters(members, sets, num, den)
-    links = materialize(linked.union(inside), "ngram-links")
+            texts, rows = _texts(pdf), {}
+            for a, sets in _sets(texts, width):
+                for i, s in enumerate(sets, a):
+                    k = set_key(s) if len(s) else None
+                    if k is not None and k not in sent and table[(k & (BLOOM_BITS - 1)) >> 3] >> (k & 7) & 1:
+                        rows[k] = texts[i]
+            if len(sent) < 1 << 20:
+                sent.update(rows)
+            if rows:
+                yield pd.DataFrame({"key": list(rows), "words": list(rows.values())})
+
+    texts = docs.select("text").mapInPandas(fetch, "key long, words binary") \
+        .join(members, "key").dropDuplicates(["key"])
+    inside = _search_clusters(texts, width, num, den)
+    links = materialize(inside, "ngram-links")
     found = connected_components(links).withColumnRenamed("node", "key")
 
     labelled = classes.join(found, "key", "left") \
@@ -335,24 +317,23 @@ def _bloom(keys: DataFrame) -> np.ndarray:
     return table.view(np.uint8)
 
 
-def _search_clusters(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _search_clusters(members: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Links (a, b) that connect what is linked inside each cluster.
 
     A cluster of one block is one search. Of a larger one every pair of blocks
     is a task of its own: each member is sent to the tasks of its block.
     """
-    tasks = members.select(
-        "component", "key", "block",
-        F.explode(F.expr("transform(sequence(0, nb - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))"))
-        .alias("t")).select("component", "t.i", "t.j", "block", "key").distinct()
-    rows = tasks.join(sets, "key").repartition("component", "i", "j") \
-        .sortWithinPartitions("component", "i", "j", "block", "key")
+    rows = members.withColumn("t", F.explode(F.expr(
+        "transform(sequence(0, nb - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))"))) \
+        .select("component", "t.i", "t.j", "block", "key", "words") \
+        .repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "block", "key")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run in _runs(batches, ["component", "i", "j"], 2048):
+        for run in _runs(batches, ["component", "i", "j"], 512):
             for (_, i, j), pdf in run.groupby(["component", "i", "j"], sort=False):
-                keys = pdf["key"].to_numpy()
-                own = [s.view(np.uint64) for s in pdf["shingles"]]
+                keys, texts, own = pdf["key"].to_numpy(), pdf["words"].tolist(), []
+                for a, b in chunks(texts):
+                    own.extend(shingle_sets(texts[a:b], width))
                 cut = int((pdf["block"] == i).sum())
                 union = UnionFind(range(len(own)))
                 if i == j:
@@ -365,4 +346,4 @@ def _search_clusters(members: DataFrame, sets: DataFrame, num: int, den: int) ->
                     a, b = np.array(got).T
                     yield pd.DataFrame({"a": keys[a], "b": keys[b]})
 
-    return rows.select("component", "i", "j", "block", "key", "shingles").mapInPandas(search, "a long, b long")
+    return rows.mapInPandas(search, "a long, b long")
