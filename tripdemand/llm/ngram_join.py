@@ -12,16 +12,17 @@ set, so the short lists are the head of the (frequency class, hash) order; the
 heads are shuffled by shingle and each list proposes its size- and
 position-compatible pairs; a parity bitmap bounds the symmetric difference
 from below and drops nearly all that are not links. A list longer than
-``list_bound`` (a group of near copies: nothing rare in it) proposes no pairs
-but a star. What is proposed falls into clusters, and each is searched by
-DivideSkip over the whole sets, in blocks of at most ``block`` sets, so no task
-holds an unbounded group.
+``list_bound`` (a group of near copies: nothing rare in it) is compared by bitmap
+in blocks of at most ``block`` sets and proposes a spanning forest, never all its pairs.
+What is proposed falls into clusters, and each is searched by DivideSkip over
+the whole sets, again in blocks, so no task holds an unbounded group.
 
 Exact copies of a shingle set are one class from the first shuffle on.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,9 @@ from tripdemand.llm.common import connected_components, materialize
 from tripdemand.llm.text_hash import chunks, mix64, shingle_sets
 
 HEAVY_MAX = 1 << 18      # frequent shingles in the broadcast: 2 MB, whatever the corpus
-BLOOM_BITS = 1 << 26     # filter of the sets to fetch: 8 MB, whatever the corpus
+BLOOM_BITS = 1 << 26     # filter of the texts to fetch: 8 MB, whatever the corpus
+#: The tasks (i <= j) of a member of block ``block`` out of ``nb``.
+BLOCK_PAIRS = "transform(sequence(0, nb - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))"
 
 
 def _texts(pdf: pd.DataFrame) -> list[bytes]:
@@ -56,20 +59,50 @@ def set_key(s: np.ndarray) -> int:
 
 def parity_bitmap(s: np.ndarray) -> np.ndarray:
     """Bit i is the parity of the shingles whose hash ends in i: bitmaps differ in at most as
-    many bits as the sets differ in shingles. About 4 bits a shingle, a power of two."""
-    bits = max(64, 1 << int(4 * len(s) - 1).bit_length())
+    many bits as the sets differ in shingles. About 2 bits a shingle, a power of two."""
+    bits = max(64, 1 << int(2 * len(s) - 1).bit_length())
     odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8))
 
 
+def folded(x: np.ndarray, size: int) -> np.ndarray:
+    """A bitmap of more words folded to ``size`` words: the parities modulo a smaller power of two."""
+    while len(x) > size:
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return x
+
+
 def bits_apart(x: bytes, y: bytes) -> int:
     """Bits two bitmaps differ in; the larger one is folded to the size of the other."""
     x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    while len(x) > len(y):
-        x = x[:len(x) // 2] ^ x[len(x) // 2:]
-    while len(y) > len(x):
-        y = y[:len(y) // 2] ^ y[len(y) // 2:]
-    return int(np.bitwise_count(x ^ y).sum())
+    return int(np.bitwise_count(folded(x, len(y)) ^ folded(y, len(x))).sum())
+
+
+def bitmap_forest(n: np.ndarray, bitmaps: list[bytes], num: int, den: int, side: np.ndarray | None = None):
+    """A spanning forest (pairs of positions) of the pairs whose sizes and bitmaps allow a link;
+    with ``side`` (bool) only of pairs of different sides."""
+    union, out = UnionFind(range(len(n))), []
+    order = np.argsort(n, kind="stable")
+    maps = [np.frombuffer(bitmaps[i], np.uint64) for i in order]
+    size = n[order]
+    ends = np.searchsorted(size * num, size * den, side="right")  # the largest partner's position
+    widths = np.array([len(m) for m in maps])
+    for width in np.unique(widths):
+        here = np.flatnonzero(widths == width)
+        reach = np.arange(here[0], int(ends[here].max()))
+        grid = np.stack([folded(maps[i], width) for i in reach])
+        for i in here:
+            j = np.arange(i + 1, ends[i])
+            if side is not None:
+                j = j[side[order[j]] != side[order[i]]]
+            if not len(j):
+                continue
+            differ = np.bitwise_count(grid[j - reach[0]] ^ maps[i]).sum(axis=1, dtype=np.int64)
+            allowed = size[i] + size[j] - 2 * overlap_needed(size[i], size[j], num, den)
+            for x in j[differ <= allowed]:
+                if union.apart(int(order[i]), int(order[x]), True):
+                    out.append((int(order[i]), int(order[x])))
+    return out
 
 
 def overlap_needed(na, nb, num: int, den: int):
@@ -233,13 +266,14 @@ def ngram_jaccard_join(documents: DataFrame, width: int = 3, num: int = 9, den:
             n, pos = pdf["n"].to_numpy(), pdf["pos"].to_numpy()
             start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             length = np.diff(np.append(start, len(token)))
-            a, b, big = [], [], []
+            a, b, tokens, blocks = [], [], [], []
             for s, m in zip(start[length > 1], length[length > 1]):
                 at = np.arange(s, s + m)
-                if m > list_bound:
-                    a.append(np.full(m - 1, key[s]))
-                    b.append(key[at[1:]])
-                    big.append(np.ones(m - 1, bool))
+                if m > list_bound:  # a long list is searched in blocks, not in this task
+                    a.append(key[at])
+                    b.append(np.zeros(m, np.int64))
+                    tokens.append(token[at])
+                    blocks.append(np.full(m, -(-m // block)))
                     continue
                 i, j = np.triu_indices(m, 1)
                 i, j = at[i], at[j]
@@ -248,12 +282,13 @@ def ngram_jaccard_join(documents: DataFrame, width: int = 3, num: int = 9, den:
                 fits &= shared >= overlap_needed(n[i], n[j], num, den)
                 a.append(key[i[fits]])
                 b.append(key[j[fits]])
-                big.append(np.zeros(int(fits.sum()), bool))
+                tokens.append(np.zeros(int(fits.sum()), np.int64))
+                blocks.append(np.zeros(int(fits.sum()), np.int64))
             if a:
-                yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b), "big": np.concatenate(big)}) \
-                    .drop_duplicates()
+                yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b), "token": np.concatenate(tokens),
+                                    "nb": np.concatenate(blocks)}).drop_duplicates()
 
-    proposed = materialize(postings.mapInPandas(propose, "a long, b long, big boolean").distinct(), "ngram-pairs")
+    proposed = materialize(postings.mapInPandas(propose, "a long, b long, token long, nb int").distinct(), "ngram-pairs")
 
     side = lambda p: sketches.select(F.col("key").alias(p), F.col("n").alias(f"n_{p}"),
                                      F.col("bitmap").alias(f"bitmap_{p}"))
@@ -267,9 +302,26 @@ def ngram_jaccard_join(documents: DataFrame, width: int = 3, num: int = 9, den:
             fits = na + nb - 2 * overlap_needed(na, nb, num, den) >= differ
             yield pdf.loc[fits, ["a", "b"]]
 
-    pairs = proposed.where("not big").select("a", "b").join(side("a"), "a").join(side("b"), "b") \
+    pairs = proposed.where("nb = 0").select("a", "b").join(side("a"), "a").join(side("b"), "b") \
         .mapInPandas(bounded, "a long, b long")
-    clusters = connected_components(pairs.union(proposed.where("big").select("a", "b")))
+    # members of long lists: every two blocks of a list meet in one task
+    long_lists = proposed.where("nb > 0").select("token", F.col("a").alias("key"), "nb").join(
+        sketches.select("key", "n", "bitmap"), "key") \
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("nb")).cast("int")) \
+        .withColumn("t", F.explode(F.expr(BLOCK_PAIRS))) \
+        .select("token", "t.i", "t.j", "block", "key", "n", "bitmap") \
+        .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "key")
+
+    def forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for run in _runs(batches, ["token", "i", "j"], 1 << 13):
+            for (_, i, j), pdf in run.groupby(["token", "i", "j"], sort=False):
+                side = None if i == j else (pdf["block"] == i).to_numpy()
+                got = bitmap_forest(pdf["n"].to_numpy(), pdf["bitmap"].tolist(), num, den, side)
+                if got:
+                    key, (a, b) = pdf["key"].to_numpy(), np.array(got).T
+                    yield pd.DataFrame({"a": key[a], "b": key[b]})
+
+    clusters = connected_components(pairs.union(long_lists.mapInPandas(forest, "a long, b long")))
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("nb"))
     members = materialize(clusters.join(sizes, "component").select(
         "component", F.col("node").alias("key"), "nb",
@@ -284,7 +336,7 @@ def ngram_jaccard_join(documents: DataFrame, width: int = 3, num: int = 9, den:
                 for i, s in enumerate(sets, a):
                     k = set_key(s) if len(s) else None
                     if k is not None and k not in sent and table[(k & (BLOOM_BITS - 1)) >> 3] >> (k & 7) & 1:
-                        rows[k] = texts[i]
+                        rows[k] = zlib.compress(texts[i], 1)
             if len(sent) < 1 << 20:
                 sent.update(rows)
             if rows:
@@ -323,15 +375,14 @@ def _search_clusters(members: DataFrame, width: int, num: int, den: int) -> Data
     A cluster of one block is one search. Of a larger one every pair of blocks
     is a task of its own: each member is sent to the tasks of its block.
     """
-    rows = members.withColumn("t", F.explode(F.expr(
-        "transform(sequence(0, nb - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))"))) \
+    rows = members.withColumn("t", F.explode(F.expr(BLOCK_PAIRS))) \
         .select("component", "t.i", "t.j", "block", "key", "words") \
         .repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "block", "key")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for run in _runs(batches, ["component", "i", "j"], 512):
             for (_, i, j), pdf in run.groupby(["component", "i", "j"], sort=False):
-                keys, texts, own = pdf["key"].to_numpy(), pdf["words"].tolist(), []
+                keys, texts, own = pdf["key"].to_numpy(), [zlib.decompress(t) for t in pdf["words"]], []
                 for a, b in chunks(texts):
                     own.extend(shingle_sets(texts[a:b], width))
                 cut = int((pdf["block"] == i).sum())
