@@ -39,7 +39,7 @@ def _anchors(documents: DataFrame, benchmark: DataFrame, width: int) -> DataFram
         .where((F.size("words") > 0) & F.col("item_id").isNotNull()).dropDuplicates()
     items = materialize(items, "decon-items")
     vocabulary = materialize(items.select(F.explode("words").alias("word")).distinct(), "decon-vocabulary")
-    counts = documents.select(F.explode(words(F.col("text"))).alias("word")) \
+    counts = documents.select(F.explode_outer(words(F.col("text"))).alias("word")) \
         .join(bounded_broadcast(vocabulary, BROADCAST_ROWS), "word").groupBy("word").agg(F.count("*").alias("n"))
     counts = materialize(counts, "decon-counts")
     windows = items.withColumn("width", F.least(F.lit(width), F.size("words"))) \
@@ -61,20 +61,21 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, width: int = 10)
     anchors = materialize(_anchors(documents, benchmark, width), "decon-anchors")
     small = bounded_broadcast(anchors, BROADCAST_ROWS)
     text = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
-    found = text.select("doc_id", "text_hash", "words", F.posexplode("words").alias("p", "word"))
-    around = found.withColumn("lo_ctx", F.greatest(F.col("p") - (width - 1), F.lit(0))) \
-        .withColumn("ctx", F.slice("words", F.col("lo_ctx") + 1, 2 * width - 1))
+    found = text.select("doc_id", "text_hash", "words", F.posexplode_outer("words").alias("p", "word"))
+    lo = F.greatest(F.col("p") - (width - 1), F.lit(0))
+    context = F.slice("words", lo + 1, 2 * width - 1)
     if small is anchors:  # too many item words for a broadcast: shuffle the words with what surrounds them
-        pairs = around.drop("words").join(anchors, "word")
-    else:                 # the words stay where they are; only a match's surroundings are copied
+        around = found.select("doc_id", "text_hash", "p", "word", (F.col("p") - lo).alias("here"), context.alias("ctx"))
+        pairs = around.join(anchors, "word")
+    else:  # the words stay where they are; only the surroundings of matches whose neighbours fit are copied
         near = (F.col("width") == 1) | F.coalesce(F.get("before", F.lit(0)) == F.get("words", F.col("p") - 1), F.lit(False)) \
             | F.coalesce(F.get("after", F.lit(0)) == F.get("words", F.col("p") + 1), F.lit(False))
-        pairs = found.join(small, "word").where(near) \
-            .withColumn("lo_ctx", F.greatest(F.col("p") - (width - 1), F.lit(0))) \
-            .withColumn("ctx", F.slice("words", F.col("lo_ctx") + 1, 2 * width - 1)).drop("words")
-    here = F.col("p") - F.col("lo_ctx")
-    sized = pairs.withColumn("l", _matching(F.col("before"), lambda i: F.get("ctx", here - 1 - i))) \
-        .withColumn("r", _matching(F.col("after"), lambda i: F.get("ctx", here + 1 + i)))
+        pairs = found.join(small, "word").where(near).withColumn("here", F.col("p") - lo) \
+            .withColumn("ctx", context).drop("words")
+    # written, so that the verification below is not merged into the join's condition
+    pairs = materialize(pairs, "decon-candidates")
+    sized = pairs.withColumn("l", _matching(F.col("before"), lambda i: F.get("ctx", F.col("here") - 1 - i))) \
+        .withColumn("r", _matching(F.col("after"), lambda i: F.get("ctx", F.col("here") + 1 + i)))
     return sized.where("l + r + 1 >= width").select(
         "doc_id", "text_hash", "item_id", (F.col("p") - F.col("l")).alias("lo"), (F.col("p") + F.col("r")).alias("hi"))
 

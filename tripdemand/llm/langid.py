@@ -207,13 +207,11 @@ def fit_languages(documents: DataFrame, folds: int = 3, held_out: int = 1, max_g
         part = table[table["lang"] == lang]
         order = np.argsort(part["gram"].to_numpy().view(np.uint64))
         models.append(KneserNey(part["gram"].to_numpy().view(np.uint64)[order], part["n"].to_numpy()[order]))
-    model = documents.sparkSession.sparkContext.broadcast((langs, models))
     total = known.count()
     rate = min(1.0, 0.9 * calibration_rows / max(total, 1))
     sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(rate * (1 << 30)))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        langs, models = model.value
         for pdf in batches:
             h, n = entropies(list(pdf["text"]), models)
             ok = n > 0
@@ -243,12 +241,10 @@ def identify_language(documents: DataFrame, folds: int = 3, held_out: int = 1, *
     and never learned from; other columns are ignored.
     """
     langs, models, sharpness, reject = fit_languages(documents, folds, held_out, **fit)
-    model = documents.sparkSession.sparkContext.broadcast((langs, models))
     docs = documents.select("doc_id", F.coalesce(fold_of(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"), "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        langs, models = model.value
         for pdf in batches:
             out = pdf[["doc_id", "held_out"]].assign(lang_pred="und", score=0.0)
             h, n = entropies(list(pdf["text"]), models)

@@ -2,17 +2,57 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripdemand.llm.common import read
+from tripdemand.llm.decontaminate import decontaminate
+from tripdemand.llm.langid import identify_language
+from tripdemand.llm.ngram_join import ngram_jaccard_join
+from tripdemand.llm.sentencepiece_np import encode_digest
+from tripdemand.llm.suffix_dedup import remove_repeats
+from tripdemand.llm.toxicity import score_toxicity
+
+#: A SentencePiece model; read on the driver only.
+PIECE_MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tripdemand.llm.ngram_join import ngram_jaccard_join
     return ngram_jaccard_join(read(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digest(read(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(read(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return got.select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = remove_repeats(read(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
+    "op4_sentencepiece": op4_sentencepiece,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_language_id": op8_language_id,
+    "op9_toxicity": op9_toxicity,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -49,6 +49,35 @@ def text_terms(text: str | None) -> np.ndarray:
     return np.sort(np.fromiter(out, np.int64, len(out)))
 
 
+class TermIndex:
+    """Features of a text: its selected terms and, after them, "at least k words hold a telling
+    term" for k = 1 to 4, which let one clear word count whatever usually stands beside it."""
+
+    STEPS = 4
+
+    def __init__(self, selected: np.ndarray, telling: np.ndarray):
+        self.at = {int(t): i for i, t in enumerate(selected)}
+        self.telling = telling
+        self.n = len(selected) + self.STEPS
+        self.known: dict[str, tuple] = {}
+
+    def features(self, text: str | None) -> np.ndarray:
+        ids: set[int] = set()
+        words = 0
+        for w in set(_WORD.findall(text.lower())) if text else ():
+            got = self.known.get(w)
+            if got is None:
+                if len(self.known) > 1 << 19:
+                    self.known.clear()
+                hit = tuple(self.at[t] for t in word_terms(w) if t in self.at)
+                got = self.known[w] = (hit, bool(hit) and bool(self.telling[list(hit)].any()))
+            if got[0]:
+                ids.update(got[0])
+                words += got[1]
+        ids.update(range(self.n - self.STEPS, self.n - self.STEPS + min(words, self.STEPS)))
+        return np.fromiter(sorted(ids), np.int64, len(ids))
+
+
 class FactorizationMachine:
     """Second-order factorization machine on binary features, log loss, full-batch Adam."""
 
@@ -74,7 +103,7 @@ class FactorizationMachine:
         z = self.scale * self.raw(ids, starts, n_rows)[0] + self.shift
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
-    def fit(self, ids, starts, y, rounds: int = 150, rate: float = 0.05, l2: float = 2e-4) -> None:
+    def fit(self, ids, starts, y, rounds: int = 200, rate: float = 0.05, l2: float = 2e-4) -> None:
         n_rows, n = len(y), len(self.w)
         row = np.repeat(np.arange(n_rows), np.diff(np.append(starts, len(ids))))
         share = np.clip(y.mean(), 1e-6, 1 - 1e-6)
@@ -118,15 +147,14 @@ def _csr(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2,
-                 train_rows: int = 40_000, terms: int = 2048, min_rows: int = 3):
-    """(selected buckets, machine) learned from the labelled rows outside the held-out fold.
+                 train_rows: int = 40_000, terms: int = 1024, min_rows: int = 4):
+    """(term index, machine) learned from the labelled rows outside the held-out fold.
 
     ``train_rows`` bounds the rows fitted on (taken by the hash of the id, so
     the same whatever the partitioning); all rows are used if there are fewer.
     Repeated labels of a doc_id count once, as toxic if one says so; null
     labels and ids are skipped.
     """
-    spark = documents.sparkSession
     known = labels.where("doc_id is not null and toxic is not null") \
         .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")) \
         .where(fold_of(F.col("doc_id"), folds) != held_out)
@@ -152,25 +180,24 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, folds: int = 4, held_o
     sizes = rows.groupBy().agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("pos")).first()
     n_all, n_pos = int(sizes["n"]), int(sizes["pos"])
     if not 0 < n_pos < n_all:
-        machine = FactorizationMachine(0)
+        machine = FactorizationMachine(TermIndex.STEPS)
         share = (n_pos + 0.5) / (n_all + 1) if n_all else 0.0
         machine.b = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
-        return np.empty(0, np.int64), machine
+        return TermIndex(np.empty(0, np.int64), np.empty(0, bool)), machine
     # chi square of term and label, from counts over every row of the sample
     a, n = F.col("pos").cast("double"), F.col("n").cast("double")
     expected = n * n_pos / n_all
     chi = F.pow(a - expected, 2) / (expected * (1 - n / (n_all + 1)) * (1 - n_pos / n_all) + 1e-9)
     best = rows.mapInPandas(count, "term long, n long, pos long").groupBy("term") \
         .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where(F.col("n") >= min_rows) \
-        .orderBy(chi.desc(), "term").limit(terms).select("term")
-    selected = np.sort(best.toPandas()["term"].to_numpy(np.int64))
-    chosen = spark.sparkContext.broadcast(selected)
+        .orderBy(chi.desc(), "term").limit(terms).toPandas().sort_values("term")
+    n, pos = best["n"].to_numpy(), best["pos"].to_numpy()
+    odds = np.log((pos + 0.5) / (n - pos + 0.5)) - np.log(n_pos / (n_all - n_pos))
+    index = TermIndex(best["term"].to_numpy(np.int64), (odds > 2) & (pos >= 5))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keep = chosen.value
         for pdf in batches:
-            ids = [np.flatnonzero(np.isin(keep, text_terms(t), assume_unique=True)) for t in pdf["text"]]
-            yield pd.DataFrame({"toxic": pdf["toxic"].to_numpy(), "ids": ids})
+            yield pd.DataFrame({"toxic": pdf["toxic"].to_numpy(), "ids": [index.features(t) for t in pdf["text"]]})
 
     data = rows.mapInPandas(encode, "toxic int, ids array<int>").toPandas()
     # an order that does not depend on how the rows were dealt to tasks
@@ -178,37 +205,22 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, folds: int = 4, held_o
     ids = [np.asarray(data["ids"][i], np.int64) for i in order]
     y = data["toxic"].to_numpy(float)[order]
     part = np.arange(len(y)) % 5 == 4
-    machine = FactorizationMachine(len(selected))
+    machine = FactorizationMachine(index.n)
     fit_ids, fit_starts = _csr([x for x, p in zip(ids, part) if not p])
     machine.fit(fit_ids, fit_starts, y[~part])
     if part.sum() >= 20:
         machine.calibrate(*_csr([x for x, p in zip(ids, part) if p]), y[part])
-    return selected, machine
+    return index, machine
 
 
-def toxicity_scorer(spark, selected: np.ndarray, machine: FactorizationMachine):
+def toxicity_scorer(index: TermIndex, machine: FactorizationMachine):
     """Column function text -> score (double, 0 to 1) of a fitted machine; null and empty texts
     get the score of a text without known terms."""
-    model = spark.sparkContext.broadcast((selected, machine))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        selected, machine = model.value
-        index = {int(t): i for i, t in enumerate(selected)}
-        known: dict[str, tuple] = {}
         for texts in batches:
-            rows = []
-            for text in texts:
-                ids: set[int] = set()
-                for w in set(_WORD.findall(text.lower())) if text else ():
-                    got = known.get(w)
-                    if got is None:
-                        if len(known) > 1 << 19:
-                            known.clear()
-                        got = known[w] = tuple(index[t] for t in word_terms(w) if t in index)
-                    if got:
-                        ids.update(got)
-                rows.append(np.fromiter(ids, np.int64, len(ids)))
+            rows = [index.features(t) for t in texts]
             yield pd.Series(machine.score(*_csr(rows), len(rows)))
 
     return score
@@ -225,8 +237,8 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, folds: int = 4, held
     Empty tables give empty results; rows with a null doc_id are scored and
     never trained on.
     """
-    selected, machine = fit_toxicity(documents, labels, folds, held_out, **fit)
-    score = toxicity_scorer(documents.sparkSession, selected, machine)
+    index, machine = fit_toxicity(documents, labels, folds, held_out, **fit)
+    score = toxicity_scorer(index, machine)
     return documents.withColumn("score", score(F.col("text"))) \
         .withColumn("predicted", (F.col("score") >= threshold).cast("int")) \
         .withColumn("held_out", F.coalesce(fold_of(F.col("doc_id"), folds) == held_out, F.lit(False)))
