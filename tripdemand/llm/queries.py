@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tripdemand.llm.common import read
 from tripdemand.llm.decontaminate import decontaminate
 from tripdemand.llm.langid import identify_language
+from tripdemand.llm.lattice_dedup import lattice_near_dedup
+from tripdemand.llm.line_dedup import dedup_lines
 from tripdemand.llm.ngram_join import ngram_jaccard_join
 from tripdemand.llm.sentencepiece_np import encode_digest
 from tripdemand.llm.suffix_dedup import remove_repeats
@@ -23,10 +25,19 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(read(spark, sf_dir, "documents"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_near_dedup(read(spark, sf_dir, "embeddings"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digest(read(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = dedup_lines(read(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return got.select("doc_id", "n_words", "n_hit", "n_items",
@@ -48,7 +59,9 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_line_dedup": op5_line_dedup,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_language_id": op8_language_id,
