@@ -37,6 +37,11 @@ def shingle_hashes(line: Column) -> Column:
     return F.array_distinct(F.when(F.size(hashed) > 1, pairs).otherwise(hashed))
 
 
+def smallest(h: Column, mask: int) -> Column:
+    """The minimum of the hashes in the order that ``mask`` gives them."""
+    return F.array_min(F.transform(h, lambda x: x.bitwiseXOR(F.lit(mask))))
+
+
 def masks(n: int) -> list[int]:
     """Masks whose top bits differ as much as possible; a multiplicative sequence modulo 2**63."""
     return [(0x5851F42D4C957F2D * (2 * i + 1)) & ((1 << 63) - 1) for i in range(n)]
@@ -69,8 +74,7 @@ def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int =
         F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")), "line-keys")
 
     minima = lines.select("key", shingle_hashes(F.col("line")).alias("h")).select(
-        "key", *[F.array_min(F.transform("h", lambda x, m=m: x.bitwiseXOR(F.lit(m)))).alias(f"m{i}")
-                 for i, m in enumerate(masks(hashes))])
+        "key", *[smallest(F.col("h"), m).alias(f"m{i}") for i, m in enumerate(masks(hashes))])
     banded = minima.select("key", F.explode(F.array(*[
         F.xxhash64(F.lit(b), *[f"m{i}" for i in t]) for b, t in enumerate(band_sets(hashes, bands))])).alias("band"))
     # one shuffle of (band, key): the buckets' leaders are aggregates of it, joined back to its rows

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tripdemand.llm.common import read
 from tripdemand.llm.decontaminate import decontaminate
+from tripdemand.llm.html_extract import extract_main_text
 from tripdemand.llm.langid import identify_language
 from tripdemand.llm.lattice_dedup import lattice_near_dedup
 from tripdemand.llm.line_dedup import dedup_lines
 from tripdemand.llm.ngram_join import ngram_jaccard_join
+from tripdemand.llm.pii import find_personal_data
 from tripdemand.llm.sentencepiece_np import encode_digest
 from tripdemand.llm.suffix_dedup import remove_repeats
 from tripdemand.llm.toxicity import score_toxicity
@@ -25,10 +27,20 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(read(spark, sf_dir, "documents"))
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read(spark, sf_dir, "pages"))
+
+
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_near_dedup(read(spark, sf_dir, "embeddings"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = find_personal_data(read(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                      F.sha2(F.concat_ws(",", "base_spans"), 256).alias("base_sha256"), F.concat_ws(",", "spans").alias("spans"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digest(read(spark, sf_dir, "documents"), PIECE_MODEL)
 
@@ -59,7 +71,9 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op3_personal_data": op3_personal_data,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_line_dedup": op5_line_dedup,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
