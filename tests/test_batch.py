@@ -3,6 +3,7 @@
 import contextlib
 import io
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF0001
@@ -10,7 +11,7 @@ from tripdemand.operators.aggregates import historical_mean, trip_counts, union_
 from tripdemand.operators.parse import parse_gps_trips, parse_zone_trips
 from tripdemand.plans import fixtures as fx
 from tripdemand.plans.batch import run_batch
-from tripdemand.sources.tables import read_table, stats_for_day, write_trip_data
+from tripdemand.sources.tables import read_table, stats_for_day, write_trip_data, write_trip_stats
 from tripdemand.sources.trip_files import (
     classify_files, classify_headers, paths_by_kind, read_trip_csv,
 )
@@ -79,13 +80,41 @@ def test_run_batch_end_to_end(spark, tmp_dir):
     assert sorted(map(tuple, stats.collect())) == sorted(
         map(tuple, exp_stats.select(*stats.columns).collect()))
 
-    # S9 is idempotent per date: re-writing one date leaves the others untouched.
-    rows = stored.collect()
-    one_day = spark.createDataFrame([r for r in rows if str(r.assign_date) == "2024-01-04"],
-                                    stored.schema)
-    write_trip_data(one_day, wh)
-    again = read_table(spark, wh, "trip_data").collect()
-    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+    # Running the same load again changes nothing.
+    rows = sorted(map(tuple, stored.collect()))
+    run_batch(spark, root, wh, zones=zones, index=index)
+    assert sorted(map(tuple, read_table(spark, wh, "trip_data").collect())) == rows
+
+    # A second load that holds stray rows of a stored date adds to them, and only to them.
+    day = [r for r in rows if str(r[0]) == "2024-01-04"]
+    write_trip_data(spark.createDataFrame(day, stored.schema), wh, "another month")
+    twice = sorted((*r[:-1], 2 * r[-1]) if r in day else r for r in rows)
+    assert sorted(map(tuple, read_table(spark, wh, "trip_data").collect())) == twice
+
+
+def test_run_batch_checks_its_dimensions(spark, tmp_dir):
+    root = f"{tmp_dir}/in"
+    write_files(spark, root)
+    with pytest.raises(ValueError, match="zone lookup"):
+        run_batch(spark, root, f"{tmp_dir}/wh", index=fx.polygon_index(spark))
+    with pytest.raises(ValueError, match="polygon index"):
+        run_batch(spark, root, f"{tmp_dir}/wh", zones=fx.zones(spark, SF0001))
+
+
+def test_stats_are_replaced_as_a_whole(spark, tmp_dir):
+    """A reader that started on one version finishes on it; a version that was not completed is not seen."""
+    wh = f"{tmp_dir}/wh"
+    counts = trip_counts(parse_zone_trips(fx.zone_lines(fx.table(spark, SF0001, "events")), fx.zones(spark, SF0001)))
+    write_trip_stats(historical_mean(counts), wh)
+    before = read_table(spark, wh, "trip_stats")
+    n = before.count()
+    write_trip_stats(historical_mean(counts).where("day = 'Monday'"), wh)
+    assert before.count() == n
+    now = read_table(spark, wh, "trip_stats")
+    assert 0 < now.count() < n
+    read_table(spark, wh, "trip_stats").limit(1).write.partitionBy("month", "day") \
+        .parquet(f"{wh}/trip_stats/version=99999999999999999999-broken")
+    assert read_table(spark, wh, "trip_stats").count() == now.count()
 
 
 def test_trip_csv_scan(spark, tmp_dir):
@@ -107,7 +136,6 @@ def test_stats_for_day_prunes_partitions(spark, tmp_dir):
     wh = f"{tmp_dir}/wh"
     ev = fx.table(spark, SF0001, "events")
     counts = trip_counts(parse_zone_trips(fx.zone_lines(ev), fx.zones(spark, SF0001)))
-    from tripdemand.sources.tables import write_trip_stats
     write_trip_stats(historical_mean(counts), wh)
     df = stats_for_day(spark, wh, "Thursday", "January")
     buf = io.StringIO()

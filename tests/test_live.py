@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.conftest import SF0001
@@ -80,9 +81,8 @@ def test_deltas_sum_to_batch_counts(spark, setup):
 def test_replayed_batch_overwrites_itself(spark, setup, tmp_dir):
     s = setup
     wh = f"{tmp_dir}/wh"
-    for t in ("trip_stats",):
-        read_table(spark, s["wh"], t).write.partitionBy("month", "day").parquet(f"{wh}/{t}")
-    batch = LiveBatch(wh, fx.REFERENCE_DATE)
+    write_trip_stats(read_table(spark, s["wh"], "trip_stats"), wh)
+    batch = LiveBatch(wh, fx.REFERENCE_DATE, run_id="run-a")
     trips = s["trips"]
     batch(trips, 7)
     first = sorted(map(tuple, read_table(spark, wh, "real_trip_stats").collect()))
@@ -90,13 +90,30 @@ def test_replayed_batch_overwrites_itself(spark, setup, tmp_dir):
     again = sorted(map(tuple, read_table(spark, wh, "real_trip_stats").collect()))
     assert first == again and len(first) > 0
     assert read_table(spark, wh, "real_trip").count() == trips.count()
+    LiveBatch(wh, fx.REFERENCE_DATE, run_id="run-b")(trips, 7)  # another run keeps its own rows
+    assert read_table(spark, wh, "real_trip").count() == 2 * trips.count()
 
 
-def test_empty_batch_and_missing_stats(spark, tmp_dir):
+def test_missing_stats_fail_the_batch(spark, setup, tmp_dir):
+    """A batch that has nothing to compare with must be run again, not committed."""
     wh = f"{tmp_dir}/wh"
-    empty = spark.createDataFrame([], "pickup_ts timestamp_ntz, time_block int, month string, "
-                                      "day string, borough_name string")
-    LiveBatch(wh, fx.REFERENCE_DATE)(empty, 0)  # no stats table, no rows: a no-op
+    with pytest.raises(AnalysisException):
+        LiveBatch(wh, fx.REFERENCE_DATE, run_id="r")(setup["trips"], 0)
+    write_trip_stats(read_table(spark, setup["wh"], "trip_stats"), wh)
+    LiveBatch(wh, fx.REFERENCE_DATE, run_id="r")(setup["trips"], 0)
+    assert read_table(spark, wh, "real_trip").count() == setup["trips"].count()
+    assert read_table(spark, wh, "real_trip_stats").count() > 0
+
+
+def test_new_checkpoint_keeps_earlier_rows(spark, setup, tmp_dir):
+    wh = f"{tmp_dir}/wh"
+    write_trip_stats(read_table(spark, setup["wh"], "trip_stats"), wh)
+    for k in range(2):
+        run_stream(spark, {**setup, "wh": wh}, f"{tmp_dir}/ckpt{k}", f"{setup['src']}/part{k}")
+    log = read_table(spark, wh, "real_trip")
+    runs = {r.run_id: r.n for r in log.groupBy("run_id").agg(F.count("*").alias("n")).collect()}
+    assert len(runs) == 2 and all(runs.values())
+    assert {r.batch_id for r in log.select("batch_id").distinct().collect()} == {0}
 
 
 def test_reports_on_live_tables(spark, setup):
@@ -121,7 +138,7 @@ def test_text_stream_source(spark, setup):
 def test_live_join_plan(spark, setup):
     import contextlib
     import io
-    df = LiveBatch(setup["wh"], fx.REFERENCE_DATE).compare(setup["trips"], 0)
+    df = LiveBatch(setup["wh"], fx.REFERENCE_DATE).compare(setup["trips"])
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain()

@@ -63,6 +63,7 @@ def _parser() -> argparse.ArgumentParser:
     lv.add_argument("--interval", default="60 seconds")
     lv.add_argument("--available-now", action="store_true",
                     help="process what is available, then stop (catch-up runs)")
+    lv.add_argument("--preview", action="store_true", help="print ten trips of each batch")
     lv.add_argument("--max-offsets", type=int,
                     help="Kafka maxOffsetsPerTrigger: cap a micro-batch after downtime")
 
@@ -85,6 +86,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv=None) -> int:
     args = _parser().parse_args(argv)
+    if args.command == "report" and args.kind != "live" and not (args.date or args.day and args.month):
+        _parser().error("a historical or overlay report needs --date, or --day and --month")
     spark = build_session(app_name=f"tripdemand-{args.command}")
     if args.command == "batch":
         run_batch(spark, args.input, args.warehouse, zones=read_zone_lookup(spark, args.zones),
@@ -99,7 +102,7 @@ def main(argv=None) -> int:
         msgs = (kafka_trip_stream(spark, *args.kafka, options=opts) if args.kafka
                 else text_trip_stream(spark, args.text_folder))
         q = start_live(spark, msgs, read_zone_lookup(spark, args.zones), args.warehouse,
-                       args.date, args.checkpoint,
+                       args.date, args.checkpoint, preview=args.preview,
                        trigger=({"availableNow": True} if args.available_now
                                 else {"processingTime": args.interval}))
         q.awaitTermination()
@@ -123,7 +126,7 @@ def main(argv=None) -> int:
             df = overlay_report(read_table(spark, args.warehouse, "trip_stats"),
                                 read_table(spark, args.warehouse, "real_trip_stats"),
                                 args.borough, day, month, args.date)
-        df.show(200, truncate=False)  # a report: at most 144 rows
+        df.show(df.count(), truncate=False)  # every row: a report has one per block and mean
     spark.stop()
     return 0
 

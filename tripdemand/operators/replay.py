@@ -2,58 +2,38 @@
 
 Blank lines and lines whose pickup field is not a timestamp are skipped;
 the pickup date is moved to ``replay_date`` keeping the time of day; the
-first nine fields are re-joined; each message gets a running number key.
+first nine fields are re-joined; each message gets a unique number as its key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripdemand.functions.time import parse_pickup, rebase_pickup_text
-from tripdemand.operators.joins import broadcast_if_bounded
 from tripdemand.operators.parse import keep_where
 
 MESSAGE_FIELDS = 9
 
 
-def with_running_index(df: DataFrame, name: str = "idx") -> DataFrame:
-    """0-based consecutive numbers in scan order, without moving rows.
+def replay_messages(lines: DataFrame, replay_date: str, value_col: str = "value") -> DataFrame:
+    """``(key STRING, value STRING)`` messages, ready for a Kafka sink.
 
-    ``monotonically_increasing_id`` encodes (partition, position); a tiny
-    per-partition count table (one row per partition) turns it into a
-    global offset through a broadcast join. The big side never shuffles.
+    One pass over the input: the key is unique and rises within each input
+    partition, but is not consecutive across them. Seconds 60 and 61 are
+    timestamps here, as the original producer's parser took them.
     """
-    mid = F.monotonically_increasing_id()
-    tagged = df.withColumn("_mid", mid).withColumn("_part", F.shiftright("_mid", 33))
-    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = sizes.select(
-        "_part",
-        (F.sum("_cnt").over(_running("_part")) - F.col("_cnt")).alias("_offset"))
-    out = tagged.join(broadcast_if_bounded(offsets, 1_000_000), "_part")
-    pos = F.col("_mid") - F.shiftleft(F.col("_part"), 33)
-    return out.withColumn(name, F.col("_offset") + pos).drop("_mid", "_part", "_offset")
-
-
-def _running(col: str):
-    # No partitioning on purpose: the input is one row per Spark partition.
-    return Window.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def replay_messages(lines: DataFrame, replay_date: str, value_col: str = "value") -> DataFrame:
-    """``(key STRING, value STRING)`` messages, ready for a Kafka sink."""
     text = F.regexp_replace(F.col(value_col), r"^\s+|\s+$", "")
     split = lines.select(text.alias("_t")).select("_t", F.split("_t", ",", -1).alias("_f"))
     fields = split.select("_t", "_f", F.get(F.col("_f"), F.lit(1)).alias("_p"))
     # The time of day is the text after the first single space; a pickup
     # whose date and time are separated otherwise (a tab) is skipped here,
     # where the original producer stopped with an error.
-    ok = ((F.length("_t") > 0) & parse_pickup(F.col("_p")).isNotNull()
+    ok = ((F.length("_t") > 0) & parse_pickup(F.regexp_replace("_p", ":6[01]$", ":59")).isNotNull()
           & (F.size(F.split("_p", " ", -1)) >= 2))
     kept = keep_where(fields.select("_f", "_p", ok.alias("_ok")), "_ok", ["_f", "_p"])
     new_pickup = rebase_pickup_text(F.col("_p"), F.lit(replay_date))
     rebuilt = F.concat(F.array(F.get(F.col("_f"), F.lit(0)), new_pickup),
                        F.slice("_f", 3, MESSAGE_FIELDS - 2))
     msgs = kept.select(F.array_join(rebuilt, ",").alias("value"))
-    return (with_running_index(msgs, "_i")
-            .select(F.col("_i").cast("string").alias("key"), "value"))
+    return msgs.select(F.monotonically_increasing_id().cast("string").alias("key"), "value")

@@ -32,17 +32,25 @@ def count_trips(spark: SparkSession, zone_paths: list[str], gps_paths: list[str]
 
 def run_batch(spark: SparkSession, input_root: str, warehouse: str,
               zones: DataFrame | None = None, index=None, prefix: str = "yellow",
-              zone_field: int = ZONE_FIELD, on_bad_timestamp: str = "drop") -> dict:
+              zone_field: int = ZONE_FIELD, on_bad_timestamp: str = "drop",
+              load: str | None = None) -> dict:
     """List + classify (S2/S3) -> count (A1) -> write trip_data (S9) ->
     read back (S7) -> mean (A2) -> write trip_stats (S10).
 
-    Reading ``trip_data`` back before the mean cuts the lineage at a
-    written table and averages every stored date, not just this run's.
+    ``load`` names what is loaded (default: the input folder and prefix). A
+    second run of a load replaces its rows; different loads add up, also on the
+    dates they share, so they must not overlap in files. Reading ``trip_data``
+    back before the mean cuts the lineage at a written table and averages
+    every stored date, not just this run's.
     """
     kinds = paths_by_kind(classify_files(spark, input_root, prefix))
+    if kinds["TAXIZONE"] and zones is None:
+        raise ValueError("zone-coded files need the zone lookup (zones)")
+    if kinds["GPS"] and index is None:
+        raise ValueError("GPS files need the polygon index (index)")
     counts = count_trips(spark, kinds["TAXIZONE"], kinds["GPS"], zones, index,
                          zone_field=zone_field, on_bad_timestamp=on_bad_timestamp)
-    write_trip_data(counts, warehouse)
+    write_trip_data(counts, warehouse, load or f"{input_root.rstrip('/')}/{prefix}")
     stats = historical_mean(read_table(spark, warehouse, "trip_data"))
     write_trip_stats(stats, warehouse)
     return {"files": kinds, "warehouse": warehouse}

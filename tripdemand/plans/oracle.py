@@ -103,7 +103,7 @@ LIVE = """live AS (
 day_stats AS (
   SELECT time_block, borough_name, mean FROM stats WHERE "day" = 'Thursday' AND "month" = 'January'),
 live_stats AS (
-  SELECT CAST(0 AS BIGINT) AS batch_id, l.assign_date, l.time_block, l."month", l."day",
+  SELECT l.assign_date, l.time_block, l."month", l."day",
          l.borough_name, l.actual_trips, s.mean
   FROM live l JOIN day_stats s ON l.borough_name = s.borough_name AND l.time_block = s.time_block)"""
 
@@ -165,10 +165,10 @@ FROM counts GROUP BY time_block, "day", "month", borough_name""",
     "historical_profile": _with(*_ZONE_CHAIN, COUNTS, STATS) + f"""SELECT {LABEL} AS label, mean FROM stats
 WHERE "day" = 'Thursday' AND "month" = 'January' AND borough_name = 'AMERICA'""",
 
-    "live_trips": _with(*_ZONE_CHAIN) + """SELECT CAST(0 AS BIGINT) AS batch_id, pickup_ts, time_block, "month", "day", borough_name
+    "live_trips": _with(*_ZONE_CHAIN) + """SELECT CAST(pickup_ts AS DATE) AS assign_date, pickup_ts, time_block, "month", "day", borough_name
 FROM zone_trips""",
 
-    "live_counts": _with(*_ZONE_CHAIN) + """SELECT CAST(0 AS BIGINT) AS batch_id, borough_name, time_block, "month", "day",
+    "live_counts": _with(*_ZONE_CHAIN) + """SELECT borough_name, time_block, "month", "day",
        min(CAST(pickup_ts AS DATE)) AS assign_date, count(*) AS actual_trips
 FROM zone_trips GROUP BY borough_name, time_block, "month", "day\"""",
 
@@ -204,10 +204,22 @@ FROM (SELECT assign_date, time_block, "month", "day", borough_name, count(*) AS
       GROUP BY ALL)
 GROUP BY time_block, "month", "day", borough_name""",
 
-    "replay_messages": _with(BASE, ZONE_LINES) + f"""SELECT CAST(row_number() OVER (ORDER BY event_id) - 1 AS VARCHAR) AS key,
-       array_to_string(list_concat([f[1], '2024-02-01 ' || string_split(f[2], ' ')[2]], f[3:9]), ',') AS value
-FROM (SELECT event_id, t, string_split(t, ',') AS f
-      FROM (SELECT event_id, regexp_replace(value, '^\\s+|\\s+$', '', 'g') AS t FROM zone_lines))
-WHERE length(t) > 0 AND regexp_matches(f[2], '{_TS}')
-  AND try_strptime(f[2], '%Y-%m-%d %H:%M:%S') IS NOT NULL""",
+    "trip_preview_count": _with(*_ZONE_CHAIN)
+    + "SELECT least(10, count(*)) AS n_shown, least(10, count(*)) AS n_known FROM zone_trips",
+
+    "zone_lookup_csv": _with(ZONES) + "SELECT zone_code, borough_name FROM zones",
+
+    "two_loads_trip_data": _with(*_ZONE_CHAIN, COUNTS) + "SELECT * FROM counts",
+
+    "two_runs_live": _with(*_ZONE_CHAIN) + """SELECT borough_name, time_block, "month", "day",
+       count(*) AS n_trips
+FROM zone_trips GROUP BY borough_name, time_block, "month", "day\"""",
+
+    "replay_messages": _with(BASE, ZONE_LINES) + f"""SELECT value, count(*) AS n_messages, count(*) AS n_keys FROM (
+  SELECT array_to_string(list_concat([f[1], '2024-02-01 ' || string_split(f[2], ' ')[2]], f[3:9]), ',') AS value
+  FROM (SELECT event_id, t, string_split(t, ',') AS f
+        FROM (SELECT event_id, regexp_replace(value, '^\\s+|\\s+$', '', 'g') AS t FROM zone_lines))
+  WHERE length(t) > 0 AND regexp_matches(f[2], '{_TS}')
+    AND try_strptime(f[2], '%Y-%m-%d %H:%M:%S') IS NOT NULL)
+GROUP BY value""",
 }

@@ -21,10 +21,11 @@ from tripdemand.operators.replay import replay_messages
 from tripdemand.plans import fixtures as fx
 from tripdemand.plans.batch import run_batch
 from tripdemand.plans.reports import historical_profile, live_profile, overlay_report
-from tripdemand.schemas import AS_CODED_ZONE_FIELD
+from tripdemand.schemas import AS_CODED_ZONE_FIELD, LIVE_KEYS
 from tripdemand.session import fresh_dir
 from tripdemand.sources.tables import read_table, stats_for_day, write_trip_data, write_trip_stats
 from tripdemand.sources.trip_files import classify_files, paths_by_kind, read_trip_csv
+from tripdemand.sources.zones import read_zone_lookup
 from tripdemand.streaming.live import day_and_month, start_live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,18 +55,27 @@ def _history(spark, sf) -> str:
     return wh
 
 
-def _live(spark, sf) -> str:
-    """History, then the live job over ``events`` read as a stream (one batch)."""
-    wh = _history(spark, sf)
-    schema = _events(spark, sf).schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf))
+EVENT_FILES = 4
+
+
+def _run_live(spark, sf, events: DataFrame, wh: str) -> None:
+    """The live job over ``events`` written as several files, one micro-batch a file."""
+    src = fresh_dir(spark, "events")
+    events.withColumn("part", F.col("event_id") % EVENT_FILES).repartition(EVENT_FILES, "part") \
+        .write.partitionBy("part").parquet(src)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(src)
     q = start_live(spark, fx.zone_lines(stream), fx.zones(spark, sf), wh, fx.REFERENCE_DATE,
                    checkpoint=fresh_dir(spark, "checkpoint-live"),
                    trigger={"availableNow": True})
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+
+
+def _live(spark, sf) -> str:
+    """History, then the live job over ``events`` read as a stream of several batches."""
+    wh = _history(spark, sf)
+    _run_live(spark, sf, _events(spark, sf), wh)
     return wh
 
 
@@ -126,6 +136,45 @@ def q_trip_preview(spark, sf):
     return _zone_trips(spark, sf).limit(10)
 
 
+def q_trip_preview_count(spark, sf):
+    """How many trips the preview shows, and how many of those the parser gives."""
+    trips = _zone_trips(spark, sf)
+    shown = trips.limit(10).withColumn("shown", F.lit(1))
+    known = trips.distinct().withColumn("known", F.lit(1))
+    return shown.join(known, trips.columns, "left").agg(
+        F.count("shown").alias("n_shown"), F.count("known").alias("n_known"))
+
+
+def q_zone_lookup_csv(spark, sf):
+    """The zone dimension read from a CSV written from nation and region."""
+    path = fresh_dir(spark, "zone-csv")
+    fx.zones(spark, sf).select(
+        F.col("zone_code").alias("LocationID"), F.col("borough_name").alias("Borough"),
+        F.lit("z").alias("Zone"), F.lit("s").alias("service_zone")) \
+        .write.option("header", True).csv(path)
+    return read_zone_lookup(spark, path)
+
+
+def q_two_loads_trip_data(spark, sf):
+    """Two loads that share their dates add up; a load written again changes nothing."""
+    wh = fresh_dir(spark, "warehouse")
+    ev = _events(spark, sf)
+    for rest in (0, 1, 0):
+        lines = fx.zone_lines(ev.where(F.col("event_id") % 2 == rest))
+        write_trip_data(trip_counts(parse_zone_trips(lines, fx.zones(spark, sf))), wh, f"load-{rest}")
+    return read_table(spark, wh, "trip_data")
+
+
+def q_two_runs_live(spark, sf):
+    """Two live runs with checkpoints of their own keep all their rows."""
+    wh = _history(spark, sf)
+    ev = _events(spark, sf)
+    for rest in (0, 1):
+        _run_live(spark, sf, ev.where(F.col("event_id") % 2 == rest), wh)
+    log = read_table(spark, wh, "real_trip")
+    return log.groupBy(*LIVE_KEYS).agg(F.count("*").alias("n_trips"))
+
+
 def q_historical_mean(spark, sf):
     """A2: mean trips per (block, weekday, month, borough)."""
     return historical_mean(_counts(spark, sf))
@@ -155,19 +204,21 @@ def q_historical_profile(spark, sf):
 
 
 def q_live_trips(spark, sf):
-    """The live log after streaming events through the live job."""
-    return read_table(spark, _live(spark, sf), "real_trip")
+    """The live log after streaming events through the live job in several batches."""
+    return read_table(spark, _live(spark, sf), "real_trip").drop("run_id", "batch_id")
 
 
 def q_live_counts(spark, sf):
-    """A3, T5: per-batch live counts recomputed from the stored log."""
+    """A3, T5: per-batch live counts recomputed from the stored log, summed over its batches."""
     log = read_table(spark, _live(spark, sf), "real_trip")
-    return live_counts(log, extra_keys=["batch_id"])
+    return live_counts(log, extra_keys=["run_id", "batch_id"]).groupBy(*LIVE_KEYS).agg(
+        F.min("assign_date").alias("assign_date"), F.sum("actual_trips").alias("actual_trips"))
 
 
 def q_live_vs_history(spark, sf):
-    """Per-batch counts joined with the day's means."""
-    return read_table(spark, _live(spark, sf), "real_trip_stats")
+    """Per-batch counts joined with the day's means, summed over the batches."""
+    return read_table(spark, _live(spark, sf), "real_trip_stats").groupBy(*LIVE_KEYS, "mean").agg(
+        F.min("assign_date").alias("assign_date"), F.sum("actual_trips").alias("actual_trips"))
 
 
 def q_live_profile(spark, sf):
@@ -185,22 +236,23 @@ def q_overlay_report(spark, sf):
 
 
 def q_replay_messages(spark, sf):
-    """Historical lines as keyed live messages."""
-    return replay_messages(fx.zone_lines(_events(spark, sf)), fx.REPLAY_DATE)
+    """Historical lines as live messages; every message has a key of its own."""
+    return replay_messages(fx.zone_lines(_events(spark, sf)), fx.REPLAY_DATE).groupBy("value").agg(
+        F.count("*").alias("n_messages"), F.countDistinct("key").alias("n_keys"))
 
 
-def _write_trip_files(spark, sf) -> str:
+def _write_trip_files(spark, sf, names: tuple = ("zone", "gps", "blank", "green")) -> str:
     """A folder of trip files derived from ``events``: zone-coded files, GPS
     files, files whose first line is blank, and non-trip files."""
     root = fresh_dir(spark, "trip-files")
     ev = _events(spark, sf)
-    fx.write_trip_files(spark, root, "yellow_tripdata_zone", fx.zone_coded_header(),
-                        fx.zone_lines(ev, keep_id=True))
-    fx.write_trip_files(spark, root, "yellow_tripdata_gps", fx.gps_header(),
-                        fx.gps_lines(ev, keep_id=True))
-    fx.write_trip_files(spark, root, "yellow_tripdata_blank", "", fx.zone_lines(ev, keep_id=True))
-    fx.write_trip_files(spark, root, "green_tripdata_zone", fx.zone_coded_header(),
-                        fx.zone_lines(ev, keep_id=True))
+    files = {"zone": ("yellow_tripdata_zone", fx.zone_coded_header(), fx.zone_lines),
+             "gps": ("yellow_tripdata_gps", fx.gps_header(), fx.gps_lines),
+             "blank": ("yellow_tripdata_blank", "", fx.zone_lines),
+             "green": ("green_tripdata_zone", fx.zone_coded_header(), fx.zone_lines)}
+    for name in names:
+        folder, header, lines = files[name]
+        fx.write_trip_files(spark, root, folder, header, lines(ev, keep_id=True))
     return root
 
 
@@ -218,7 +270,7 @@ def q_file_schema_kind(spark, sf):
 
 def q_trip_scan(spark, sf):
     """Typed CSV scan of the zone-coded files found by S2/S3."""
-    root = _write_trip_files(spark, sf)
+    root = _write_trip_files(spark, sf, ("zone",))
     kinds = paths_by_kind(classify_files(spark, root))
     return read_trip_csv(spark, kinds["TAXIZONE"], "TAXIZONE").select(
         "VendorID", "tpep_pickup_datetime", "PULocationID", "DOLocationID")
@@ -227,7 +279,7 @@ def q_trip_scan(spark, sf):
 def q_batch_trip_stats(spark, sf):
     """L1 end to end: classify the derived files, parse both kinds, count,
     write trip_data, read it back, average, write trip_stats; read that."""
-    root = _write_trip_files(spark, sf)
+    root = _write_trip_files(spark, sf, ("zone", "gps"))
     wh = fresh_dir(spark, "warehouse")
     run_batch(spark, root, wh, zones=fx.zones(spark, sf), index=fx.polygon_index(spark))
     return read_table(spark, wh, "trip_stats")
@@ -247,6 +299,10 @@ QUERIES: dict[str, Query] = {
     "all_trips_union": q_all_trips_union,
     "trip_counts": q_trip_counts,
     "trip_preview": q_trip_preview,
+    "trip_preview_count": q_trip_preview_count,
+    "zone_lookup_csv": q_zone_lookup_csv,
+    "two_loads_trip_data": q_two_loads_trip_data,
+    "two_runs_live": q_two_runs_live,
     "historical_mean": q_historical_mean,
     "demand_stdev": q_demand_stdev,
     "demand_rounded_mean": q_demand_rounded_mean,

@@ -13,11 +13,12 @@ from tripdemand.operators.aggregates import summed_live
 from tripdemand.schemas import BLOCK_MINUTES, MONTHS, WEEKDAYS
 
 
-def check_domain(day: str | None = None, month: str | None = None) -> None:
-    """Weekday and month must be full English names (boroughs are free)."""
-    if day is not None and day not in WEEKDAYS:
+def check_domain(day: str, month: str) -> None:
+    """Weekday and month must be given, as full English names (boroughs are free;
+    ``schemas.REPORT_BOROUGHS`` lists those the report offers)."""
+    if day not in WEEKDAYS:
         raise ValueError(f"unknown weekday {day!r}; expected one of {WEEKDAYS}")
-    if month is not None and month not in MONTHS:
+    if month not in MONTHS:
         raise ValueError(f"unknown month {month!r}; expected one of {MONTHS}")
 
 

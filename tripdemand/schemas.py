@@ -51,17 +51,7 @@ def _struct(fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-ZONE_CODED_SCHEMA = _struct(
-    [("VendorID", T.StringType()),
-     ("tpep_pickup_datetime", T.StringType()),
-     ("tpep_dropoff_datetime", T.StringType()),
-     ("passenger_count", T.StringType()),
-     ("trip_distance", T.StringType()),
-     ("RatecodeID", T.StringType()),
-     ("store_and_fwd_flag", T.StringType()),
-     ("PULocationID", T.StringType()),
-     ("DOLocationID", T.StringType())]
-    + [(c, T.StringType()) for c in ZONE_CODED_COLUMNS[9:]])
+ZONE_CODED_SCHEMA = _struct([(c, T.StringType()) for c in ZONE_CODED_COLUMNS])
 
 GPS_SCHEMA = _struct([(c, T.StringType()) for c in GPS_COLUMNS])
 
@@ -81,12 +71,12 @@ TRIP_STATS_SCHEMA = _struct(
      ("mean_int", T.IntegerType())])
 
 REAL_TRIP_SCHEMA = _struct(
-    [("batch_id", T.LongType()), ("pickup_ts", T.TimestampNTZType()),
-     ("time_block", T.IntegerType()), ("month", T.StringType()), ("day", T.StringType()),
+    [("run_id", T.StringType()), ("batch_id", T.LongType()), ("assign_date", T.DateType()),
+     ("pickup_ts", T.TimestampNTZType()), ("time_block", T.IntegerType()), ("month", T.StringType()), ("day", T.StringType()),
      ("borough_name", T.StringType())])
 
 REAL_TRIP_STATS_SCHEMA = _struct(
-    [("batch_id", T.LongType()), ("assign_date", T.DateType()),
+    [("run_id", T.StringType()), ("batch_id", T.LongType()), ("assign_date", T.DateType()),
      ("time_block", T.IntegerType()), ("month", T.StringType()), ("day", T.StringType()),
      ("borough_name", T.StringType()), ("actual_trips", T.LongType()),
      ("mean", T.DoubleType())])
@@ -95,7 +85,7 @@ TABLE_KEYS = {
     "trip_data": COUNT_KEYS,
     "trip_stats": STATS_KEYS,
     "real_trip": None,  # a log: every trip is kept
-    "real_trip_stats": ["batch_id"] + LIVE_KEYS,
+    "real_trip_stats": ["run_id", "batch_id"] + LIVE_KEYS,
 }
 
 # GeoJSON feature collection: geometry coordinates are kept as raw JSON text

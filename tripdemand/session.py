@@ -80,9 +80,11 @@ def apply_defaults(spark: SparkSession) -> None:
         for key, (untouched, value) in CLUSTER_DEFAULTS.items():
             if not submitted.contains(key) and spark.conf.get(key, None) in untouched:
                 spark.conf.set(key, value)
-    # Pin UTC: date_format / hour on timestamps must not shift with the
-    # deployer's zone (a DST gap would move trips between blocks).
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # UTC unless the deployer chose a zone: date_format / hour on timestamps
+    # must not shift with the machine's zone (a DST gap would move trips
+    # between blocks).
+    if sc is None or not sc.getConf().contains("spark.sql.session.timeZone"):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -99,6 +101,8 @@ def scratch_root(spark: SparkSession) -> str:
         if not current and sc is not None:
             current = sc.getConf().get("spark.checkpoint.dir", None)
         if not current:
+            if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             current = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
         if sc is not None:
             sc.setCheckpointDir(current)

@@ -1,22 +1,30 @@
 """The four stored tables, as Parquet folders under one root.
 
-``trip_data`` is partitioned by ``assign_date`` and written with dynamic
-partition overwrite, so re-running a period replaces exactly its dates
-(the idempotent form of an upsert). ``trip_stats`` is partitioned by
-``month``/``day`` so the one-day reads of the live job and the reports
-prune to a single folder. The live tables are partitioned by
-``batch_id``: replaying a micro-batch overwrites its own partition.
+``trip_data`` is one folder per load: writing a load again replaces its own
+rows and nothing else, and the loads of a date add up when read.
+``trip_stats`` is a new version per recompute; a row appended to
+``trip_stats_versions`` once the version is complete makes it the current
+one, so a reader sees the old or the new statistics, never a part. A version
+is partitioned by ``month``/``day``: the one-day reads of the live job and
+the reports prune to a single folder. The live tables are partitioned by
+date, run and batch: a replayed micro-batch replaces its own
+rows, another run (a new checkpoint) has rows of its own, and a
+report of one date reads that date's folders.
 ``fmt``/``options`` let a deployment point the readers at another
 connector.
 """
 
 from __future__ import annotations
 
+import hashlib
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripdemand.schemas import (
-    REAL_TRIP_SCHEMA, REAL_TRIP_STATS_SCHEMA, TRIP_DATA_SCHEMA, TRIP_STATS_SCHEMA,
+    COUNT_KEYS, REAL_TRIP_SCHEMA, REAL_TRIP_STATS_SCHEMA, TRIP_DATA_SCHEMA, TRIP_STATS_SCHEMA,
 )
 
 TABLE_SCHEMAS = {
@@ -26,10 +34,10 @@ TABLE_SCHEMAS = {
     "real_trip_stats": REAL_TRIP_STATS_SCHEMA,
 }
 PARTITION_COLUMNS = {
-    "trip_data": ["assign_date"],
-    "trip_stats": ["month", "day"],
-    "real_trip": ["batch_id"],
-    "real_trip_stats": ["batch_id"],
+    "trip_data": ["assign_date"],      # inside the folder of a load
+    "trip_stats": ["month", "day"],    # inside the folder of a version
+    "real_trip": ["assign_date", "run_id", "batch_id"],
+    "real_trip_stats": ["assign_date", "run_id", "batch_id"],
 }
 
 
@@ -43,46 +51,85 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def load_id_of(source: str) -> str:
+    """Folder-safe identity of a load: the same source gives the same load."""
+    return hashlib.sha256(source.encode()).hexdigest()[:16]
+
+
+def current_stats_version(spark: SparkSession, root: str) -> str:
+    """The latest complete version of trip_stats; an error if there is none."""
+    done = spark.read.schema("version string").parquet(table_path(root, "trip_stats_versions"))
+    version = done.agg(F.max("version")).first()[0]
+    if version is None:
+        raise ValueError(f"no complete trip_stats under {root}")
+    return version
+
+
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
                options: dict | None = None) -> DataFrame:
-    """Full read of a stored table (schema given, never inferred)."""
+    """Full read of a stored table (schema given, never inferred).
+
+    ``trip_data`` is summed over its loads; ``trip_stats`` is the current version.
+    """
     reader = spark.read.format(fmt).options(**(options or {}))
-    if fmt == "parquet":
-        return conform(reader.schema(TABLE_SCHEMAS[name]).load(table_path(root, name)), name)
-    return conform(reader.load(), name)
+    if fmt != "parquet":
+        return conform(reader.load(), name)
+    path = table_path(root, name)
+    if name == "trip_stats":
+        path = f"{path}/version={current_stats_version(spark, root)}"
+    stored = conform(reader.schema(TABLE_SCHEMAS[name]).load(path), name)
+    if name == "trip_data":
+        return conform(stored.groupBy(*COUNT_KEYS).agg(F.sum("num_trips").alias("num_trips")), name)
+    return stored
 
 
 # Tables whose rows are aggregates (bounded by dates x blocks x boroughs):
 # clustering them by partition column before the write costs little and
-# gives one file per folder. real_trip is a raw log with one batch_id per
-# write, so it is written as it is partitioned -- clustering it would put a
-# whole micro-batch into a single task.
+# gives one file per folder. real_trip is a raw log, so it is written as it
+# is partitioned -- clustering it would put a whole micro-batch into a
+# single task.
 CLUSTERED_TABLES = {"trip_data", "trip_stats", "real_trip_stats"}
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
-                dynamic: bool = True) -> None:
-    """Write a table partitioned by its partition columns.
-
-    ``dynamic`` replaces only the partitions present in ``df``.
-    """
+def _write(df: DataFrame, path: str, name: str, mode: str, overwrite: str = "static",
+           fmt: str = "parquet", options: dict | None = None) -> None:
     parts = PARTITION_COLUMNS[name]
     out = conform(df, name)
     if name in CLUSTERED_TABLES:
         out = out.repartition(*parts)
-    (out.write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-     .partitionBy(*parts).parquet(table_path(root, name)))
+    writer = out.write.format(fmt).mode(mode).options(**(options or {}))
+    if fmt == "parquet":
+        writer.option("partitionOverwriteMode", overwrite).partitionBy(*parts).save(path)
+    else:
+        writer.save()
+
+
+def write_live_table(df: DataFrame, root: str, name: str, fmt: str = "parquet",
+                     options: dict | None = None) -> None:
+    """Rows of one micro-batch; a replay replaces its own partitions.
+
+    Another ``fmt`` (a connector) gets the rows appended, with run and batch id
+    as key columns.
+    """
+    _write(df, table_path(root, name), name, "overwrite" if fmt == "parquet" else "append",
+           "dynamic", fmt, options)
 
 
-def write_trip_data(counts: DataFrame, root: str) -> None:
-    """Dates present in ``counts`` are replaced, other dates are kept."""
-    write_table(counts, root, "trip_data", dynamic=True)
+def write_trip_data(counts: DataFrame, root: str, load: str = "all") -> None:
+    """The rows of one load (any text that names its source); other loads are kept."""
+    _write(counts, f"{table_path(root, 'trip_data')}/load_id={load_id_of(load)}", "trip_data",
+           "overwrite")
 
 
-def write_trip_stats(stats: DataFrame, root: str) -> None:
-    """The statistics are a full recompute, so the table is replaced."""
-    write_table(stats, root, "trip_stats", dynamic=False)
+def write_trip_stats(stats: DataFrame, root: str) -> str:
+    """A full recompute as a new version, current once it is complete."""
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    _write(stats, f"{table_path(root, 'trip_stats')}/version={version}", "trip_stats",
+           "errorifexists")
+    spark = stats.sparkSession
+    spark.range(1).select(F.lit(version).alias("version")).write.mode("append") \
+        .parquet(table_path(root, "trip_stats_versions"))
+    return version
 
 
 def stats_for_day(spark: SparkSession, root: str, day: str, month: str,

@@ -5,11 +5,13 @@ raw zone-coded trip line (Kafka, a text folder, or a derived stream).
 Each micro-batch is parsed, logged to ``real_trip`` and counted per
 (borough, block, month, weekday); the counts are joined with the
 historical means of the reference weekday/month and written to
-``real_trip_stats``. Both sinks are partitioned by ``batch_id`` and
+``real_trip_stats``. Both sinks are partitioned by date, run and batch and
 written with dynamic partition overwrite, so a replayed batch (after a
-failure, from the checkpoint) replaces its own rows: restart-safe and
-idempotent. Counts are per-batch deltas; readers sum them (T4). There is
-no watermark: a late trip counts in whichever batch it arrives (T5).
+failure, from the checkpoint) replaces its own rows, and a run with a new
+checkpoint, whose batch ids start at 0 again, has rows of its own. Counts
+are per-batch deltas; readers sum them (T4). There is no watermark: a late
+trip counts in whichever batch it arrives (T5). A batch without statistics
+to compare with fails, so that it is run again instead of being lost.
 """
 
 from __future__ import annotations
@@ -19,14 +21,13 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.errors import AnalysisException
 
 from tripdemand.operators.aggregates import live_counts
 from tripdemand.operators.joins import broadcast_if_bounded
 from tripdemand.operators.parse import parse_zone_trips
 from tripdemand.schemas import BLOCK_MINUTES, ZONE_FIELD
-from tripdemand.session import scratch_root
-from tripdemand.sources.tables import TABLE_SCHEMAS, stats_for_day, write_table
+from tripdemand.session import context, scratch_root
+from tripdemand.sources.tables import stats_for_day, write_live_table
 
 LIVE_INTERVAL = "60 seconds"
 # Stats of one weekday and month: at most 144 blocks x a handful of boroughs.
@@ -40,15 +41,10 @@ def day_and_month(reference_date: str | _dt.date) -> tuple[str, str]:
     return d.strftime("%A"), d.strftime("%B")
 
 
-def _stats_or_empty(spark: SparkSession, warehouse: str, day: str, month: str,
-                    fmt: str, options: dict | None) -> DataFrame:
-    try:
-        stats = stats_for_day(spark, warehouse, day, month, fmt, options)
-        stats.schema  # resolve now: a missing table becomes an empty one
-        return stats
-    except AnalysisException:
-        schema = TABLE_SCHEMAS["trip_stats"]
-        return spark.createDataFrame([], schema).select("time_block", "borough_name", "mean")
+def stream_run_id(spark: SparkSession) -> str | None:
+    """The id of the stream whose batch is running: kept in its checkpoint, new with a new one."""
+    sc = context(spark)
+    return sc.getLocalProperty("sql.streaming.queryId") if sc is not None else None
 
 
 class LiveBatch:
@@ -60,34 +56,39 @@ class LiveBatch:
 
     def __init__(self, warehouse: str, reference_date,
                  stats_fmt: str = "parquet", stats_options: dict | None = None,
-                 preview: bool = False):
+                 preview: bool = False, run_id: str | None = None):
+        self.run_id = run_id
         self.warehouse = warehouse
         self.day, self.month = day_and_month(reference_date)
         self.stats_fmt, self.stats_options = stats_fmt, stats_options
         self.preview = preview
 
-    def compare(self, trips: DataFrame, batch_id: int) -> DataFrame:
+    def compare(self, trips: DataFrame) -> DataFrame:
         """J3 + A3: the batch's counts joined with the reference day's means.
 
         The stats are read inside the batch, so a re-run of the mean job
         shows up; the one-day read prunes to a single partition folder.
         """
         stats = broadcast_if_bounded(
-            _stats_or_empty(trips.sparkSession, self.warehouse, self.day, self.month,
-                            self.stats_fmt, self.stats_options), STATS_BROADCAST_ROWS)
-        return (live_counts(trips)
-                .join(stats, ["borough_name", "time_block"], "inner")
-                .withColumn("batch_id", F.lit(batch_id).cast("long")))
+            stats_for_day(trips.sparkSession, self.warehouse, self.day, self.month,
+                          self.stats_fmt, self.stats_options), STATS_BROADCAST_ROWS)
+        return live_counts(trips).join(stats, ["borough_name", "time_block"], "inner")
 
     def __call__(self, trips: DataFrame, batch_id: int) -> None:
+        run_id = self.run_id or stream_run_id(trips.sparkSession)
+        if not run_id:
+            raise ValueError("outside a stream a run_id must be given")
+
+        def keyed(df: DataFrame) -> DataFrame:
+            return df.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+
         trips = trips.persist()
         try:
             if self.preview:
                 trips.limit(10).show(truncate=False)  # S15, off by default
-            log = trips.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            write_table(log, self.warehouse, "real_trip", dynamic=True)
-            write_table(self.compare(trips, batch_id), self.warehouse, "real_trip_stats",
-                        dynamic=True)
+            log = trips.withColumn("assign_date", F.to_date("pickup_ts"))
+            write_live_table(keyed(log), self.warehouse, "real_trip")
+            write_live_table(keyed(self.compare(trips)), self.warehouse, "real_trip_stats")
         finally:
             trips.unpersist()
 
@@ -96,11 +97,14 @@ def start_live(spark: SparkSession, messages: DataFrame, zones: DataFrame, wareh
                reference_date, checkpoint: str, trigger: dict | None = None,
                zone_field: int = ZONE_FIELD, on_bad_timestamp: str = "drop",
                block_minutes: int = BLOCK_MINUTES, query_name: str | None = None,
-               stats_fmt: str = "parquet", stats_options: dict | None = None) -> StreamingQuery:
+               stats_fmt: str = "parquet", stats_options: dict | None = None,
+               preview: bool = False, run_id: str | None = None) -> StreamingQuery:
     """L2: start the live job; returns the running :class:`StreamingQuery`.
 
     ``trigger`` defaults to a 60-second processing-time trigger (T1); tests
     pass ``{"availableNow": True}``. ``checkpoint`` must be a shared folder.
+    ``run_id`` defaults to the stream's id, which the checkpoint keeps;
+    ``preview`` prints ten trips of each batch (S15).
     """
     # The zone dimension is the static side of a stream-static join, which
     # Spark re-evaluates every micro-batch; materialise it once as a
@@ -111,7 +115,8 @@ def start_live(spark: SparkSession, messages: DataFrame, zones: DataFrame, wareh
     trips = parse_zone_trips(messages, zones, zone_field=zone_field,
                              on_bad_timestamp=on_bad_timestamp, block_minutes=block_minutes)
     writer = (trips.writeStream
-              .foreachBatch(LiveBatch(warehouse, reference_date, stats_fmt, stats_options))
+              .foreachBatch(LiveBatch(warehouse, reference_date, stats_fmt, stats_options,
+                                     preview, run_id))
               .option("checkpointLocation", checkpoint)
               .trigger(**(trigger or {"processingTime": LIVE_INTERVAL})))
     if query_name:
