@@ -123,15 +123,15 @@ def dedup_lines(documents: DataFrame, **options) -> DataFrame:
     found = materialize(line_components(documents, **options), "line-components")
     drop = _lines(documents).select("doc_id", "line_no", "key").join(found, "key") \
         .where(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_line")))) \
-        .groupBy(F.col("doc_id").alias("drop_doc")).agg(F.collect_set("line_no").alias("drop_lines"))
+        .groupBy(F.col("doc_id").alias("__drop_doc")).agg(F.collect_set("line_no").alias("__drop_lines"))
     base = documents.drop("n_lines", "n_removed")
-    joined = base.join(drop, base["doc_id"].eqNullSafe(F.col("drop_doc")), "left") \
-        .withColumn("all_lines", F.split("text", "\n"))
-    lines = F.col("all_lines")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "drop_lines")
+    joined = base.join(drop, base["doc_id"].eqNullSafe(F.col("__drop_doc")), "left") \
+        .withColumn("__all_lines", F.split("text", "\n"))
+    lines = F.col("__all_lines")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__drop_lines")
     kept = F.transform(stay, lambda i: F.get(lines, i))
-    touched = F.col("drop_lines").isNotNull() & F.col("text").isNotNull()
+    touched = F.col("__drop_lines").isNotNull() & F.col("text").isNotNull()
     return joined.withColumn("n_lines", F.coalesce(F.size(F.when(F.col("text").isNotNull(), lines)), F.lit(0)).cast("long")) \
-        .withColumn("n_removed", F.coalesce(F.size("drop_lines"), F.lit(0)).cast("long")) \
+        .withColumn("n_removed", F.coalesce(F.size("__drop_lines"), F.lit(0)).cast("long")) \
         .withColumn("text", F.when(touched, F.array_join(kept, "\n")).otherwise(F.col("text"))) \
         .select(*[c for c in base.columns], "n_lines", "n_removed")

@@ -265,7 +265,7 @@ def repeated_spans(documents: DataFrame, length: int = 400, group_bound: int = 8
                 if (m == 1 and block[s] < 0) or s in done:
                     continue
                 cover = repeat_cover(left[s:s + m], right[s:s + m], n[s:s + m], length)
-                open_: set[int] = set()
+                open_: set[tuple[int, int]] = set()
                 for i, spans in enumerate(cover, s):
                     merged = merge_intervals(spans)
                     out += [(h[i], c[i], lo, hi, 0) for lo, hi in merged]
@@ -275,16 +275,19 @@ def repeated_spans(documents: DataFrame, length: int = 400, group_bound: int = 8
                         for a, x in enumerate(w):
                             lo = a - len(left[i])
                             closed = any(p <= lo and lo + length <= q for p, q in merged)
-                            if not closed or x not in open_:
-                                open_.add(x)
+                            if not closed or (x, lo) not in open_:
+                                open_.add((x, lo))
                                 out.append((h[i], c[i], lo, lo + length, x or 1))
             if out:
                 yield pd.DataFrame(out, columns=["h", "c", "lo", "hi", "window"])
 
     covered = materialize(members.select("h", "block", "c", "n", "before", "after").mapInPandas(
         search, "h long, c long, lo int, hi int, window long"), "repeat-cover")
-    shared = covered.where("window <> 0").groupBy("window").agg(F.count("*").alias("times")).where("times > 1")
-    across = covered.where("window <> 0").join(shared, "window", "left_semi").select("h", "c", "lo", "hi")
+    # the anchor and the place of the window around it are part of the key: a window that holds
+    # two anchors is proposed by both, and must not count as its own copy
+    place = ["window", "h", "lo"]
+    shared = covered.where("window <> 0").groupBy(*place).agg(F.count("*").alias("times")).where("times > 1")
+    across = covered.where("window <> 0").join(shared, place, "left_semi").select("h", "c", "lo", "hi")
     spans = covered.where("window = 0").select("h", "c", "lo", "hi").union(across)
     return rows.where("pos >= 0").select("h", "c", "doc_id", "text_hash", "pos").join(spans, ["h", "c"]) \
         .select("doc_id", "text_hash", F.struct((F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi")).alias("s")) \
