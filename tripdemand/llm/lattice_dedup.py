@@ -95,7 +95,11 @@ class LatticeTable:
 
 
 def _unit(rows) -> np.ndarray:
-    x = np.stack([np.asarray(r, np.float64) for r in rows])
+    """Unit vectors in double precision; shorter ones are padded with zeros (vectors that are
+    compared with each other have one length: a cell's hash depends on it)."""
+    size = np.fromiter(map(len, rows), np.int64, len(rows))
+    x = np.zeros((len(rows), size.max()))
+    x[np.arange(x.shape[1]) < size[:, None]] = np.concatenate([np.asarray(r, np.float64) for r in rows])
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
