@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from tripdemand.session import fresh_dir, scratch_root
 
 
+#: Rows of an Arrow batch to Python where the session has Spark's default (10,000): texts may be long.
+ARROW_ROWS = "2000"
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table; sees to it that tasks hand long texts to Python in smaller batches."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

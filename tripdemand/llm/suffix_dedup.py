@@ -16,8 +16,8 @@ those of at least ``length`` bytes cover their occurrences.
 
 Equal surroundings are one member with a count, so copies cost a row each and
 never a group. A group of more than ``group_bound`` different surroundings is
-searched in blocks; what a block leaves open is settled by counting the hashes
-of the windows over all blocks.
+searched in blocks; what a block leaves open is settled over all blocks, first by what
+stretches of windows share, then by the windows of those that met.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ from tripdemand.llm.text_hash import _BYTE_CODE, _Powers, chunks, mix64
 
 POSITION_BITS = 24
 SEGMENT = 1 << 23
+#: Window starts that blocks of a hot anchor compare as one, by the bytes their windows share.
+STRETCH = 32
 FILTER_BITS = 1 << 27    # repeated anchors: 16 MB, whatever the corpus
 
 
@@ -155,6 +157,38 @@ def _pair_cover(left, right, length):
     return x + r >= length, x, r
 
 
+def open_chunks(left: bytes, right: bytes, closed: list[tuple[int, int]], length: int, reach: int,
+                said: set) -> Iterator[tuple[int, int]]:
+    """(stretch, hash of the core its windows share) of the stretches of ``STRETCH`` window starts that
+    another block must know of: those with a window that ``closed`` does not hold, and each
+    different closed one (``said``) once."""
+    text, at = left[::-1] + right, len(left)
+    first, last = -len(left), len(right) - length
+    for q in range((first + reach) // STRETCH, (last + reach) // STRETCH + 1 if last >= first else 0):
+        low, high = q * STRETCH - reach, (q + 1) * STRETCH - 1 - reach
+        a, b = max(low, first), min(high, last)
+        if a > b:
+            continue
+        if any(x <= a and b + length <= y for x, y in closed):
+            extent = (q, a, hashlib.blake2b(text[a + at:b + length + at], digest_size=16).digest())
+            if extent in said:
+                continue
+            said.add(extent)
+        core = hashlib.blake2b(text[high + at:low + length + at], digest_size=8).digest()
+        yield q, int.from_bytes(core, "little", signed=True) or 1
+
+
+def chunk_windows(left: bytes, right: bytes, stretches, length: int, reach: int) -> Iterator[tuple[int, int]]:
+    """(start relative to the anchor, hash) of the windows of some stretches."""
+    text, at = left[::-1] + right, len(left)
+    if len(text) < length:
+        return
+    hashes = gram_hashes(np.frombuffer(text, np.uint8), length).view(np.int64)
+    for q in stretches:
+        for lo in range(max(q * STRETCH - reach, -at), min((q + 1) * STRETCH - 1 - reach, len(right) - length) + 1):
+            yield lo, int(hashes[lo + at])
+
+
 def _bytes(pdf: pd.DataFrame) -> list[bytes]:
     return [t.encode() if isinstance(t, str) else b"" for t in pdf["text"]]
 
@@ -265,29 +299,38 @@ def repeated_spans(documents: DataFrame, length: int = 400, group_bound: int = 8
                 if (m == 1 and block[s] < 0) or s in done:
                     continue
                 cover = repeat_cover(left[s:s + m], right[s:s + m], n[s:s + m], length)
-                open_: set[tuple[int, int]] = set()
+                said: set[tuple[int, bytes]] = set()
                 for i, spans in enumerate(cover, s):
                     merged = merge_intervals(spans)
                     out += [(h[i], c[i], lo, hi, 0) for lo, hi in merged]
                     if block[s] >= 0:  # other blocks may repeat what this one leaves open
-                        window = (left[i][::-1] + right[i])
-                        w = gram_hashes(np.frombuffer(window, np.uint8), length).view(np.int64) if len(window) >= length else ()
-                        for a, x in enumerate(w):
-                            lo = a - len(left[i])
-                            closed = any(p <= lo and lo + length <= q for p, q in merged)
-                            if not closed or (x, lo) not in open_:
-                                open_.add((x, lo))
-                                out.append((h[i], c[i], lo, lo + length, x or 1))
+                        out += [(h[i], c[i], q, 0, core) for q, core in
+                                open_chunks(left[i], right[i], merged, length, reach, said)]
             if out:
                 yield pd.DataFrame(out, columns=["h", "c", "lo", "hi", "window"])
 
     covered = materialize(members.select("h", "block", "c", "n", "before", "after").mapInPandas(
         search, "h long, c long, lo int, hi int, window long"), "repeat-cover")
-    # the anchor and the place of the window around it are part of the key: a window that holds
-    # two anchors is proposed by both, and must not count as its own copy
+    # Stretches of windows whose core two blocks hold are compared window by window. The anchor and
+    # the place around it are part of the key: a window that holds two anchors is proposed by
+    # both, and must not count as its own copy.
     place = ["window", "h", "lo"]
-    shared = covered.where("window <> 0").groupBy(*place).agg(F.count("*").alias("times")).where("times > 1")
-    across = covered.where("window <> 0").join(shared, place, "left_semi").select("h", "c", "lo", "hi")
+    proposed = covered.where("window <> 0")
+    twice = proposed.groupBy(*place).agg(F.count("*").alias("times")).where("times > 1")
+    hot = proposed.join(twice, place, "left_semi").groupBy("h", "c").agg(F.collect_set("lo").alias("stretches"))
+
+    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [(x, y, lo, w) for x, y, before, after, qs in zip(pdf["h"], pdf["c"], pdf["before"], pdf["after"], pdf["stretches"])
+                   for lo, w in chunk_windows(before, after, qs, length, reach)]
+            if out:
+                yield pd.DataFrame(out, columns=["h", "c", "lo", "window"])
+
+    single = found.select("h", "c", "before", "after").join(hot, ["h", "c"]).dropDuplicates(["h", "c"])
+    opened = materialize(single.select("h", "c", "before", "after", "stretches").mapInPandas(
+        windows, "h long, c long, lo int, window long"), "repeat-windows")
+    shared = opened.groupBy(*place).agg(F.count("*").alias("times")).where("times > 1")
+    across = opened.join(shared, place, "left_semi").select("h", "c", "lo", (F.col("lo") + length).alias("hi"))
     spans = covered.where("window = 0").select("h", "c", "lo", "hi").union(across)
     return rows.where("pos >= 0").select("h", "c", "doc_id", "text_hash", "pos").join(spans, ["h", "c"]) \
         .select("doc_id", "text_hash", F.struct((F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi")).alias("s")) \
