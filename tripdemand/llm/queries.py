@@ -14,6 +14,7 @@ from tripdemand.llm.langid import identify_language
 from tripdemand.llm.lattice_dedup import lattice_near_dedup
 from tripdemand.llm.line_dedup import dedup_lines
 from tripdemand.llm.ngram_join import ngram_jaccard_join
+from tripdemand.llm.oracle import OP6, OP7
 from tripdemand.llm.pii import find_personal_data
 from tripdemand.llm.sentencepiece_np import encode_digest
 from tripdemand.llm.suffix_dedup import remove_repeats
@@ -82,4 +83,4 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_ngram_jaccard_join": OP6, "op7_benchmark_decontamination": OP7}
