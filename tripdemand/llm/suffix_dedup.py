@@ -332,9 +332,19 @@ def repeated_spans(documents: DataFrame, length: int = 400, group_bound: int = 8
     shared = opened.groupBy(*place).agg(F.count("*").alias("times")).where("times > 1")
     across = opened.join(shared, place, "left_semi").select("h", "c", "lo", (F.col("lo") + length).alias("hi"))
     spans = covered.where("window = 0").select("h", "c", "lo", "hi").union(across)
-    return rows.where("pos >= 0").select("h", "c", "doc_id", "text_hash", "pos").join(spans, ["h", "c"]) \
-        .select("doc_id", "text_hash", F.struct((F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi")).alias("s")) \
-        .groupBy("doc_id", "text_hash").agg(F.collect_set("s").alias("spans"))
+    sorted_spans = spans.groupBy("h", "c").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("s")) \
+        .select("h", "c", F.expr("transform(s, x -> x.lo)").alias("lo"), F.expr("transform(s, x -> x.hi)").alias("hi"))
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            merged = [merge_intervals(zip(lo.tolist(), hi.tolist())) for lo, hi in zip(pdf["lo"], pdf["hi"])]
+            yield pdf[["h", "c"]].assign(lo=[[x for x, _ in m] for m in merged], hi=[[x for _, x in m] for m in merged])
+
+    # one row per surroundings, so the join gives one row per occurrence
+    whole = sorted_spans.mapInPandas(merge, "h long, c long, lo array<int>, hi array<int>")
+    placed = rows.where("pos >= 0").select("h", "c", "doc_id", "text_hash", "pos").join(whole, ["h", "c"]) \
+        .select("doc_id", "text_hash", F.expr("transform(arrays_zip(lo, hi), x -> struct(pos + x.lo as lo, pos + x.hi as hi))").alias("s"))
+    return placed.groupBy("doc_id", "text_hash").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("spans"))
 
 
 def remove_repeats(documents: DataFrame, length: int = 400, group_bound: int = 8192) -> DataFrame:
