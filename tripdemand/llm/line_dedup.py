@@ -9,9 +9,12 @@ the exact Jaccard similarity of the shingle sets, and the links are closed
 to components by a distributed union-find. Of each component the first line
 stays: the one of the smallest (doc_id, line number).
 
-Copies of a line are one row from the first shuffle on. A bucket never lists
-all its pairs: its lines are compared with a few leaders, the same for all, that
-are aggregates of the bucket; the other bands bring other leaders.
+All lines of a bucket are compared, but not twice over: first each with a few
+leaders, which are aggregates of the bucket. What that links needs no further
+comparison inside; the lines of a bucket that are in different components after it
+are paired with each other, directly where few lines are outside the bucket's largest
+component, and else by an exact prefix filter (rarest shingles first, bounded
+by position), which finds every pair at the threshold.
 """
 
 from __future__ import annotations
@@ -65,43 +68,106 @@ def _lines(documents: DataFrame) -> DataFrame:
         .withColumn("key", F.xxhash64("line"))
 
 
+def _links(pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+    """The rows of ``pairs`` (a, b) whose shingle sets have at least the Jaccard similarity ``threshold``."""
+    sets = _sets(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), lines)
+    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("h").alias("ha")), "a") \
+        .join(sets.select(F.col("key").alias("b"), F.col("h").alias("hb")), "b")
+    common = F.size(F.array_intersect("ha", "hb"))
+    return materialize(both.where(common >= threshold * (F.size("ha") + F.size("hb") - common)).select("a", "b"), "line-links")
+
+
+def _sets(wanted: DataFrame, lines: DataFrame) -> DataFrame:
+    """(key, h): shingle sets of the ``wanted`` lines; a fixed-size filter keeps the rest out of the shuffle."""
+    bits = wanted.groupBy(F.expr(f"key & {FILTER_WORDS - 1}").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.expr("cast(shiftright(key, 32) & 63 as int)"))).alias("bits"))
+    bits = materialize(bits, "line-filter")
+    maybe = lines.select("key", "line").join(F.broadcast(bits), F.expr(f"key & {FILTER_WORDS - 1}") == F.col("word")) \
+        .where(F.expr("getbit(bits, cast(shiftright(key, 32) & 63 as int)) = 1")) \
+        .groupBy("key").agg(F.first("line").alias("line"))
+    return materialize(maybe.join(wanted, "key", "left_semi").select("key", shingle_hashes(F.col("line")).alias("h")), "line-sets")
+
+
+def _main_components(member: DataFrame, group: str) -> DataFrame:
+    """(group, n, others, main): groups of several components, their largest one and the lines outside it."""
+    each = member.groupBy(group, "component").agg(F.count("*").alias("n"))
+    return materialize(each.groupBy(group).agg(
+        F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("others"), F.max_by("component", "n").alias("main")).where("others > 0"), "line-groups")
+
+
+def _across(left: DataFrame, right: DataFrame, group: str, condition: str = "true") -> DataFrame:
+    """Pairs of lines of a group that are in different components."""
+    return left.alias("l").join(right.alias("r"), group).where(f"l.component <> r.component and {condition}") \
+        .select(F.expr("least(l.key, r.key)").alias("a"), F.expr("greatest(l.key, r.key)").alias("b"))
+
+
+def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+    """Every pair of ``member`` (key, component) in different components that can reach ``threshold``.
+
+    Shingles are ordered by their number of lines. If two lines reach the threshold, the first
+    shingle that they share, at the places i and j, leaves them enough behind it: the smaller of
+    |a| - i and |b| - j is at least t / (1 + t) (|a| + |b|). So it is among the first |a| - 2t / (1 + t) |a| + 1
+    of the smaller set and the first |b| - t |b| + 1 of the larger one.
+    """
+    t, least = threshold, 2 * threshold / (1 + threshold)
+    held = _sets(member.select("key"), lines).join(member, "key") \
+        .select("key", "component", F.size("h").alias("size"), F.explode("h").alias("shingle"))
+    counts = held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = held.join(counts, "shingle", "left").groupBy("key", "component", "size").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("order"))
+    probe = materialize(ranked.select("key", "component", "size", F.posexplode(F.slice(
+        "order", 1, F.expr(f"cast(size - ceil({t} * size - 1e-9) + 1 as int)"))).alias("place", "at"))
+        .where("at.n > 1").select("key", "component", "size", "place", F.col("at.shingle").alias("shingle")), "line-prefixes")
+    index = probe.where(f"place <= size - ceil({least} * size - 1e-9)")
+    main = _main_components(probe, "shingle").select("shingle", "main")
+    index, probe = index.join(main, "shingle"), probe.join(main, "shingle")
+    enough = f"l.size <= r.size and l.size >= {t} * r.size - 1e-9 and " \
+        f"least(l.size - l.place, r.size - r.place) >= {least / 2} * (l.size + r.size) - 1e-9"
+    return _across(index.where("component <> main"), probe, "shingle", enough).union(
+        _across(index.where("component = main"), probe.where("component <> main"), "shingle", enough))
+
+
 def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int = 12, bands: int = 10,
-                    leaders: int = 2) -> DataFrame:
+                    leaders: int = 2, few: int = 16) -> DataFrame:
     """(key, first_doc, first_line): for every line content that is not alone, the place of its
-    component's first line. ``key`` is the 64-bit hash of the line."""
+    component's first line. ``key`` is the 64-bit hash of the line.
+
+    ``few`` is the number of lines outside a bucket's largest component up to which its lines
+    are paired directly; it changes the way, not the result.
+    """
     lines = _lines(documents)
     counted = materialize(lines.groupBy("key").agg(
         F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")), "line-keys")
 
-    minima = lines.select("key", shingle_hashes(F.col("line")).alias("h")).select(
-        "key", *[smallest(F.col("h"), m).alias(f"m{i}") for i, m in enumerate(masks(hashes))])
+    minima = materialize(lines.select("key", shingle_hashes(F.col("line")).alias("h")).select(
+        "key", *[smallest(F.col("h"), m).alias(f"m{i}") for i, m in enumerate(masks(hashes))]).distinct(), "line-minima")
     banded = minima.select("key", F.explode(F.array(*[
         F.xxhash64(F.lit(b), *[f"m{i}" for i in t]) for b, t in enumerate(band_sets(hashes, bands))])).alias("band"))
-    # one shuffle of (band, key): the buckets' leaders are aggregates of it, joined back to its rows
-    banded = banded.repartition("band")
-    leader = banded.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high"), *[
+    bucket = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"), *[
         F.min_by("key", F.xxhash64("key", F.lit(k))).alias(f"leader{k}") for k in range(leaders)]).where("low <> high")
-    met = banded.join(leader, "band").select("key", F.explode(F.array_distinct(F.array(
-        "low", *[f"leader{k}" for k in range(leaders)]))).alias("other"))
-    pairs = materialize(met.where("other <> key").select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"))
+    met = materialize(banded.join(bucket, "band").drop("high"), "line-met")
+    pairs = materialize(met.select("key", F.explode(F.array_distinct(F.array("low", *[f"leader{k}" for k in range(leaders)]))).alias("other"))
+                        .where("other <> key").select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"))
                         .distinct(), "line-pairs")
-
-    # sets of the lines that met another one; a fixed-size filter keeps the rest out of the shuffle
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    bits = wanted.groupBy(F.expr(f"key & {FILTER_WORDS - 1}").alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.expr("cast(shiftright(key, 32) & 63 as int)"))).alias("bits"))
-    bits = materialize(bits, "line-filter")
-    maybe = lines.select("key", "line").join(F.broadcast(bits), F.expr(f"key & {FILTER_WORDS - 1}") == F.col("word")) \
-        .where(F.expr("getbit(bits, cast(shiftright(key, 32) & 63 as int)) = 1")) \
-        .groupBy("key").agg(F.first("line").alias("line"))
-    sets = materialize(maybe.join(wanted, "key", "left_semi").select("key", shingle_hashes(F.col("line")).alias("h")), "line-sets")
-    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("h").alias("ha")), "a") \
-        .join(sets.select(F.col("key").alias("b"), F.col("h").alias("hb")), "b")
-    common = F.size(F.array_intersect("ha", "hb"))
-    links = both.where(common >= threshold * (F.size("ha") + F.size("hb") - common)).select("a", "b")
-
-    component = connected_components(links).withColumnRenamed("node", "key")
-    known = counted.join(component, "key", "left").where("n > 1 or component is not null") \
+    links = _links(pairs, lines, threshold)
+    component = connected_components(links)
+
+    # lines of a bucket that the leaders left in different components
+    member = materialize(met.where("n > 2").select("band", "key").join(component.withColumnRenamed("node", "key"), "key", "left")
+                         .withColumn("component", F.coalesce("component", "key")), "line-members")
+    open_buckets = _main_components(member, "band").where("n > 2")
+    direct = member.join(open_buckets.where(F.col("others") <= few).select("band", "main"), "band")
+    more = _across(direct.where("component <> main"), direct, "band")
+    large = materialize(member.join(open_buckets.where(F.col("others") > few), "band", "left_semi")
+                        .select("key", "component").distinct(), "line-large")
+    if not large.isEmpty():
+        more = more.union(_prefix_pairs(large, lines, threshold))
+    more = materialize(more.distinct().join(pairs, ["a", "b"], "left_anti"), "line-pairs")
+    if not more.isEmpty():
+        component = connected_components(component.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                                         .union(_links(more, lines, threshold)))
+
+    known = counted.join(component.withColumnRenamed("node", "key"), "key", "left").where("n > 1 or component is not null") \
         .withColumn("component", F.coalesce("component", "key"))
     known = materialize(known, "line-known")
     best = known.groupBy("component").agg(F.min("first").alias("best"))
