@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tripdemand.llm.common import bounded_broadcast, materialize, read
 from tripdemand.llm.decontaminate import decontaminate
-from tripdemand.llm.line_dedup import dedup_lines
+from tripdemand.llm.line_dedup import WIDTH, dedup_lines
 from tripdemand.llm.ngram_join import ngram_jaccard_join
 from tripdemand.llm.queries import PIECE_MODEL
 from tripdemand.llm.sentencepiece_np import encode_texts
@@ -39,7 +39,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-copies of a line the first over all documents stays; rows stay, n_chars follows the text."""
-    out = dedup_lines(docs).select(*docs.columns)
+    out = dedup_lines(docs, width=WIDTH).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -1,7 +1,9 @@
 """Line deduplication: every near copy of a hot template, edits of one character, rows without a key."""
 
-from tests.llm.helpers import frame
-from tripdemand.llm.line_dedup import dedup_lines
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import frame, sentence
+from tripdemand.llm.line_dedup import WIDTH, dedup_lines, shingles
 
 
 def removed(spark, texts, **options):
@@ -23,3 +25,33 @@ def test_near_copies_in_a_hot_template(spark):
         got = removed(spark, far + near, few=few)
         assert got <= set(range(300, 600))
         assert len(got) >= 0.97 * 300
+
+
+def test_one_character_edits_are_found(spark):
+    """Lines of 8 to 15 words and text without spaces; against brute force over 5-character shingles."""
+    texts = []
+    for i in range(40):
+        line = " ".join(sentence(200 + i, 30).split()[:8 + i % 8])
+        texts += [line, line[:len(line) // 2] + "#" + line[len(line) // 2 + 1:]]
+    for i in range(20):
+        run = "".join(chr(0x4E00 + (i * 7919 + k * k * 31 + k * 17) % 5000) for k in range(90))
+        texts += [run, "\u4E00" + run]
+    texts += ["abc", "abd", "\U0001F916 ab \U0001F916"]
+
+    def shingle_set(x):
+        return {x[k:k + 5] for k in range(max(len(x) - 4, 1))}
+
+    pairs = [(shingle_set(texts[i]), shingle_set(texts[i + 1])) for i in range(0, 120, 2)]
+    want = {2 * i + 1 for i, (a, b) in enumerate(pairs) if len(a & b) >= 0.8 * len(a | b)}
+    got = removed(spark, texts, width=WIDTH)
+    assert len(want) >= 50 and got <= want and len(got) >= 0.97 * len(want)
+
+
+def test_shingles_of_chunks(spark):
+    """Every position of long lines once, at and around the ends of chunks."""
+    texts = ["x", "abcd", "abcde"] + [sentence(1, 3000)[:n] for n in (63, 64, 65, 68, 69, 127, 128, 132, 133, 20_000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "key long, line string")
+    got = shingles(rows, WIDTH).groupBy("key").agg(F.sort_array(F.collect_list("h")).alias("h")).collect()
+    want = spark.createDataFrame([(i, t[k:k + 5]) for i, t in enumerate(texts) for k in range(max(len(t) - 4, 1))], "key long, s string") \
+        .groupBy("key").agg(F.sort_array(F.collect_list(F.xxhash64("s"))).alias("h")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))

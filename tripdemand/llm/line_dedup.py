@@ -1,8 +1,8 @@
 """Fuzzy line deduplication by MinHash, in DataFrame operations only.
 
-A line's shingles are its overlapping pieces of up to 16 characters that start
-at word starts (words longer than 8 characters are cut, so every character is
-in a shingle). Each of ``hashes`` minima is taken over the shingle hashes under
+A line's shingles are its overlapping substrings of ``width`` characters, one at
+every position, as op5 and the pipeline have it (``WIDTH``). Without a width they are pairs of
+neighbouring pieces of words of up to 8 characters. Each of ``hashes`` minima is taken over the shingle hashes under
 another exclusive-or mask, which reorders them; ``bands`` of three minima
 bring lines together that share at least one band. What meets is compared by
 the exact Jaccard similarity of the shingle sets, and the links are closed
@@ -27,6 +27,10 @@ from pyspark.sql import functions as F
 from tripdemand.llm.common import connected_components, materialize
 
 PIECE = r"\S{1,8}"
+#: Characters of a shingle in op5 and the pipeline.
+WIDTH = 5
+#: Positions of shingles in a chunk of a line: substrings are cut from chunks, as cutting counts characters from the start.
+CHUNK = 64
 #: Words of the fixed-size filter of candidate lines: 2**18 rows of 64 bits, whatever the corpus.
 FILTER_WORDS = 1 << 18
 
@@ -40,9 +44,14 @@ def shingle_hashes(line: Column) -> Column:
     return F.array_distinct(F.when(F.size(hashed) > 1, pairs).otherwise(hashed))
 
 
-def smallest(h: Column, mask: int) -> Column:
-    """The minimum of the hashes in the order that ``mask`` gives them."""
-    return F.array_min(F.transform(h, lambda x: x.bitwiseXOR(F.lit(mask))))
+def shingles(lines: DataFrame, width: int | None) -> DataFrame:
+    """(key, h): a row per shingle of each row of ``lines`` (key, line), repeats included."""
+    if width is None:
+        return lines.select("key", F.explode(shingle_hashes(F.col("line"))).alias("h"))
+    chunks = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{{width},{CHUNK + width - 1}}})).{{1,{CHUNK}}}"), F.lit(1))
+    return lines.select("key", F.explode(F.when(F.length("line") < width, F.array("line")).otherwise(chunks)).alias("chunk")) \
+        .select("key", "chunk", F.explode(F.sequence(F.lit(1), F.greatest(F.length("chunk") - (width - 1), F.lit(1)))).alias("at")) \
+        .select("key", F.xxhash64(F.substring("chunk", F.col("at"), F.lit(width))).alias("h"))
 
 
 def masks(n: int) -> list[int]:
@@ -68,16 +77,16 @@ def _lines(documents: DataFrame) -> DataFrame:
         .withColumn("key", F.xxhash64("line"))
 
 
-def _links(pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+def _links(pairs: DataFrame, lines: DataFrame, threshold: float, width: int | None) -> DataFrame:
     """The rows of ``pairs`` (a, b) whose shingle sets have at least the Jaccard similarity ``threshold``."""
-    sets = _sets(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), lines)
+    sets = _sets(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), lines, width)
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("h").alias("ha")), "a") \
         .join(sets.select(F.col("key").alias("b"), F.col("h").alias("hb")), "b")
     common = F.size(F.array_intersect("ha", "hb"))
     return materialize(both.where(common >= threshold * (F.size("ha") + F.size("hb") - common)).select("a", "b"), "line-links")
 
 
-def _sets(wanted: DataFrame, lines: DataFrame) -> DataFrame:
+def _sets(wanted: DataFrame, lines: DataFrame, width: int | None) -> DataFrame:
     """(key, h): shingle sets of the ``wanted`` lines; a fixed-size filter keeps the rest out of the shuffle."""
     bits = wanted.groupBy(F.expr(f"key & {FILTER_WORDS - 1}").alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.expr("cast(shiftright(key, 32) & 63 as int)"))).alias("bits"))
@@ -85,7 +94,8 @@ def _sets(wanted: DataFrame, lines: DataFrame) -> DataFrame:
     maybe = lines.select("key", "line").join(F.broadcast(bits), F.expr(f"key & {FILTER_WORDS - 1}") == F.col("word")) \
         .where(F.expr("getbit(bits, cast(shiftright(key, 32) & 63 as int)) = 1")) \
         .groupBy("key").agg(F.first("line").alias("line"))
-    return materialize(maybe.join(wanted, "key", "left_semi").select("key", shingle_hashes(F.col("line")).alias("h")), "line-sets")
+    held = shingles(maybe.join(wanted, "key", "left_semi"), width)
+    return materialize(held.groupBy("key").agg(F.collect_set("h").alias("h")), "line-sets")
 
 
 def _main_components(member: DataFrame, group: str) -> DataFrame:
@@ -101,7 +111,7 @@ def _across(left: DataFrame, right: DataFrame, group: str, condition: str = "tru
         .select(F.expr("least(l.key, r.key)").alias("a"), F.expr("greatest(l.key, r.key)").alias("b"))
 
 
-def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float, width: int | None) -> DataFrame:
     """Every pair of ``member`` (key, component) in different components that can reach ``threshold``.
 
     Shingles are ordered by their number of lines. If two lines reach the threshold, the first
@@ -110,7 +120,7 @@ def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float) -> Data
     of the smaller set and the first |b| - t |b| + 1 of the larger one.
     """
     t, least = threshold, 2 * threshold / (1 + threshold)
-    held = _sets(member.select("key"), lines).join(member, "key") \
+    held = _sets(member.select("key"), lines, width).join(member, "key") \
         .select("key", "component", F.size("h").alias("size"), F.explode("h").alias("shingle"))
     counts = held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     ranked = held.join(counts, "shingle", "left").groupBy("key", "component", "size").agg(
@@ -128,7 +138,7 @@ def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float) -> Data
 
 
 def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int = 12, bands: int = 10,
-                    leaders: int = 2, few: int = 16) -> DataFrame:
+                    leaders: int = 2, few: int = 16, width: int | None = None) -> DataFrame:
     """(key, first_doc, first_line): for every line content that is not alone, the place of its
     component's first line. ``key`` is the 64-bit hash of the line.
 
@@ -139,8 +149,8 @@ def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int =
     counted = materialize(lines.groupBy("key").agg(
         F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")), "line-keys")
 
-    minima = materialize(lines.select("key", shingle_hashes(F.col("line")).alias("h")).select(
-        "key", *[smallest(F.col("h"), m).alias(f"m{i}") for i, m in enumerate(masks(hashes))]).distinct(), "line-minima")
+    minima = materialize(shingles(lines.select("key", "line"), width).groupBy("key").agg(*[
+        F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks(hashes))]), "line-minima")
     banded = minima.select("key", F.explode(F.array(*[
         F.xxhash64(F.lit(b), *[f"m{i}" for i in t]) for b, t in enumerate(band_sets(hashes, bands))])).alias("band"))
     bucket = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"), *[
@@ -149,7 +159,7 @@ def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int =
     pairs = materialize(met.select("key", F.explode(F.array_distinct(F.array("low", *[f"leader{k}" for k in range(leaders)]))).alias("other"))
                         .where("other <> key").select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"))
                         .distinct(), "line-pairs")
-    links = _links(pairs, lines, threshold)
+    links = _links(pairs, lines, threshold, width)
     component = connected_components(links)
 
     # lines of a bucket that the leaders left in different components
@@ -161,11 +171,11 @@ def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int =
     large = materialize(member.join(open_buckets.where(F.col("others") > few), "band", "left_semi")
                         .select("key", "component").distinct(), "line-large")
     if not large.isEmpty():
-        more = more.union(_prefix_pairs(large, lines, threshold))
+        more = more.union(_prefix_pairs(large, lines, threshold, width))
     more = materialize(more.distinct().join(pairs, ["a", "b"], "left_anti"), "line-pairs")
     if not more.isEmpty():
         component = connected_components(component.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                                         .union(_links(more, lines, threshold)))
+                                         .union(_links(more, lines, threshold, width)))
 
     known = counted.join(component.withColumnRenamed("node", "key"), "key", "left").where("n > 1 or component is not null") \
         .withColumn("component", F.coalesce("component", "key"))

@@ -12,7 +12,7 @@ from tripdemand.llm.decontaminate import decontaminate
 from tripdemand.llm.html_extract import extract_main_text
 from tripdemand.llm.langid import identify_language
 from tripdemand.llm.lattice_dedup import lattice_near_dedup
-from tripdemand.llm.line_dedup import dedup_lines
+from tripdemand.llm.line_dedup import WIDTH, dedup_lines
 from tripdemand.llm.ngram_join import ngram_jaccard_join
 from tripdemand.llm.oracle import OP6, OP7
 from tripdemand.llm.pii import find_personal_data
@@ -47,7 +47,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = dedup_lines(read(spark, sf_dir, "documents"))
+    got = dedup_lines(read(spark, sf_dir, "documents"), width=WIDTH)
     return got.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
