@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripdemand.llm.common import bounded_broadcast, materialize, read
-from tripdemand.llm.decontaminate import decontaminate
+from tripdemand.llm.decontaminate import benchmark_hits
 from tripdemand.llm.line_dedup import WIDTH, dedup_lines
 from tripdemand.llm.ngram_join import ngram_jaccard_join
 from tripdemand.llm.queries import PIECE_MODEL
@@ -57,8 +57,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark window (10 words) go."""
-    return without(docs, decontaminate(docs, read(spark, sf_dir, "benchmark")).where("contaminated"))
+    """Documents that hold a benchmark window (10 words) go; rows that share a doc_id, or have none, each by its own text."""
+    hits = materialize(benchmark_hits(docs, read(spark, sf_dir, "benchmark")).select("doc_id", "text_hash").distinct(), "stage-gone")
+    d, h = docs.alias("d"), bounded_broadcast(hits, BROADCAST_IDS).alias("h")
+    return d.join(h, F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.xxhash64("d.text") == F.col("h.text_hash")), "left_anti") \
+        .select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tests.llm.helpers import frame, sentence
+import corpus_pipeline
+from tests.llm.helpers import SF, frame, sentence
 from tripdemand.llm.line_dedup import WIDTH, dedup_lines, shingles
 
 
@@ -55,3 +56,17 @@ def test_shingles_of_chunks(spark):
     want = spark.createDataFrame([(i, t[k:k + 5]) for i, t in enumerate(texts) for k in range(max(len(t) - 4, 1))], "key long, s string") \
         .groupBy("key").agg(F.sort_array(F.collect_list(F.xxhash64("s"))).alias("h")).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_rows_that_share_a_doc_id(spark):
+    """Null and repeated doc_ids: each row loses its own lines only."""
+    for i in (None, 5):
+        got = dedup_lines(frame(spark, [(i, "a\nX"), (i, "X\nb"), (i, "c\nd"), (9, "b\ne")])).collect()
+        assert sorted((r.text, r.n_removed) for r in got) == [("X\nb", 0), ("a", 1), ("c\nd", 0), ("e", 1)]
+
+
+def test_contaminated_rows_that_share_a_doc_id(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("size(split(text, ' ')) > 12").first().text
+    rows = [(None, f"start {item} end"), (None, "clean"), (5, f"start {item}"), (5, "clean too"), (6, None)]
+    got = corpus_pipeline.drop_contaminated(spark, frame(spark, rows), SF).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == [(0, "clean"), (5, "clean too"), (6, "")]

@@ -70,9 +70,9 @@ def band_sets(hashes: int, bands: int) -> list[tuple[int, ...]]:
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, key): the lines of each text that are not blank."""
+    """(doc_id, text_hash, line_no, line, key): the lines of each text that are not blank."""
     return documents.where(F.col("text").isNotNull()) \
-        .select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")) \
+        .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")) \
         .where(F.col("line").rlike(r"\S")) \
         .withColumn("key", F.xxhash64("line"))
 
@@ -139,15 +139,15 @@ def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float, width:
 
 def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int = 12, bands: int = 10,
                     leaders: int = 2, few: int = 16, width: int | None = None) -> DataFrame:
-    """(key, first_doc, first_line): for every line content that is not alone, the place of its
-    component's first line. ``key`` is the 64-bit hash of the line.
+    """(key, first_doc, first_text, first_line): for every line content that is not alone, the place of its
+    component's first line (``first_text`` is the hash of its text). ``key`` is the 64-bit hash of the line.
 
     ``few`` is the number of lines outside a bucket's largest component up to which its lines
     are paired directly; it changes the way, not the result.
     """
     lines = _lines(documents)
     counted = materialize(lines.groupBy("key").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")), "line-keys")
+        F.min(F.struct("doc_id", "line_no", "text_hash")).alias("first"), F.count("*").alias("n")), "line-keys")
 
     minima = materialize(shingles(lines.select("key", "line"), width).groupBy("key").agg(*[
         F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks(hashes))]), "line-minima")
@@ -182,7 +182,7 @@ def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int =
     known = materialize(known, "line-known")
     best = known.groupBy("component").agg(F.min("first").alias("best"))
     return known.join(best, "component").select("key", F.col("best.doc_id").alias("first_doc"),
-                                                F.col("best.line_no").alias("first_line"))
+                                                F.col("best.text_hash").alias("first_text"), F.col("best.line_no").alias("first_line"))
 
 
 def dedup_lines(documents: DataFrame, **options) -> DataFrame:
@@ -190,18 +190,21 @@ def dedup_lines(documents: DataFrame, **options) -> DataFrame:
 
     Lines are separated by line feeds; blank lines always stay. Of the lines of a
     component (shingle Jaccard >= ``threshold``, closed transitively) only the
-    first stays, over all documents, by doc_id and line number. Null texts
+    first stays, over all documents, by doc_id and line number (then by the text's
+    hash: rows that share a doc_id, or have none, are told apart by their texts). Null texts
     stay null with no lines; empty texts stay empty. A text all of whose
     lines are repeats becomes empty but its row stays. Repeated rows share
-    their doc_id and so keep the same first lines. All columns are kept; n_lines
+    doc_id and text and so keep the same first lines. All columns are kept; n_lines
     and n_removed replace columns of these names. Null doc_ids sort first.
     """
     found = materialize(line_components(documents, **options), "line-components")
-    drop = _lines(documents).select("doc_id", "line_no", "key").join(found, "key") \
-        .where(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_line")))) \
-        .groupBy(F.col("doc_id").alias("__drop_doc")).agg(F.collect_set("line_no").alias("__drop_lines"))
+    drop = _lines(documents).select("doc_id", "text_hash", "line_no", "key").join(found, "key") \
+        .where(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("text_hash") == F.col("first_text"))
+                 & (F.col("line_no") == F.col("first_line")))) \
+        .groupBy(F.col("doc_id").alias("__drop_doc"), F.col("text_hash").alias("__drop_text")).agg(F.collect_set("line_no").alias("__drop_lines"))
     base = documents.drop("n_lines", "n_removed")
-    joined = base.join(drop, base["doc_id"].eqNullSafe(F.col("__drop_doc")), "left") \
+    joined = base.join(drop, base["doc_id"].eqNullSafe(F.col("__drop_doc"))
+                       & (F.xxhash64(base["text"]) == F.col("__drop_text")), "left") \
         .withColumn("__all_lines", F.split("text", "\n"))
     lines = F.col("__all_lines")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__drop_lines")
