@@ -70,3 +70,16 @@ def test_contaminated_rows_that_share_a_doc_id(spark):
     rows = [(None, f"start {item} end"), (None, "clean"), (5, f"start {item}"), (5, "clean too"), (6, None)]
     got = corpus_pipeline.drop_contaminated(spark, frame(spark, rows), SF).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in got) == [(0, "clean"), (5, "clean too"), (6, "")]
+
+
+def test_lines_are_shingled_once(spark, monkeypatch):
+    """What is shingled are distinct lines, whatever the number of their copies."""
+    seen = []
+
+    def counted(lines, width):
+        seen.append((lines.count(), lines.select("key").distinct().count()))
+        return shingles(lines, width)
+
+    monkeypatch.setattr("tripdemand.llm.line_dedup.shingles", counted)
+    got = removed(spark, ["the same line in every row"] * 50 + ["the same line in every raw", "other"], width=WIDTH)
+    assert len(got) == 50 and seen[0] == (3, 3) and all(n == distinct for n, distinct in seen)

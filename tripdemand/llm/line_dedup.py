@@ -91,9 +91,8 @@ def _sets(wanted: DataFrame, lines: DataFrame, width: int | None) -> DataFrame:
     bits = wanted.groupBy(F.expr(f"key & {FILTER_WORDS - 1}").alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.expr("cast(shiftright(key, 32) & 63 as int)"))).alias("bits"))
     bits = materialize(bits, "line-filter")
-    maybe = lines.select("key", "line").join(F.broadcast(bits), F.expr(f"key & {FILTER_WORDS - 1}") == F.col("word")) \
-        .where(F.expr("getbit(bits, cast(shiftright(key, 32) & 63 as int)) = 1")) \
-        .groupBy("key").agg(F.first("line").alias("line"))
+    maybe = lines.join(F.broadcast(bits), F.expr(f"key & {FILTER_WORDS - 1}") == F.col("word")) \
+        .where(F.expr("getbit(bits, cast(shiftright(key, 32) & 63 as int)) = 1")).select("key", "line")
     held = shingles(maybe.join(wanted, "key", "left_semi"), width)
     return materialize(held.groupBy("key").agg(F.collect_set("h").alias("h")), "line-sets")
 
@@ -145,11 +144,12 @@ def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int =
     ``few`` is the number of lines outside a bucket's largest component up to which its lines
     are paired directly; it changes the way, not the result.
     """
-    lines = _lines(documents)
-    counted = materialize(lines.groupBy("key").agg(
-        F.min(F.struct("doc_id", "line_no", "text_hash")).alias("first"), F.count("*").alias("n")), "line-keys")
+    # every line content is one row from here on
+    counted = materialize(_lines(documents).groupBy("key").agg(
+        F.min(F.struct("doc_id", "line_no", "text_hash")).alias("first"), F.count("*").alias("n"), F.first("line").alias("line")), "line-keys")
+    lines = counted.select("key", "line")
 
-    minima = materialize(shingles(lines.select("key", "line"), width).groupBy("key").agg(*[
+    minima = materialize(shingles(lines, width).groupBy("key").agg(*[
         F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks(hashes))]), "line-minima")
     banded = minima.select("key", F.explode(F.array(*[
         F.xxhash64(F.lit(b), *[f"m{i}" for i in t]) for b, t in enumerate(band_sets(hashes, bands))])).alias("band"))
@@ -177,7 +177,7 @@ def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int =
         component = connected_components(component.select(F.col("node").alias("a"), F.col("component").alias("b"))
                                          .union(_links(more, lines, threshold, width)))
 
-    known = counted.join(component.withColumnRenamed("node", "key"), "key", "left").where("n > 1 or component is not null") \
+    known = counted.drop("line").join(component.withColumnRenamed("node", "key"), "key", "left").where("n > 1 or component is not null") \
         .withColumn("component", F.coalesce("component", "key"))
     known = materialize(known, "line-known")
     best = known.groupBy("component").agg(F.min("first").alias("best"))
