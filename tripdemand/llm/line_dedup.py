@@ -44,12 +44,17 @@ def shingle_hashes(line: Column) -> Column:
     return F.array_distinct(F.when(F.size(hashed) > 1, pairs).otherwise(hashed))
 
 
+def _chunks(line: Column, width: int) -> Column:
+    """Stretches of a line that hold each of its substrings of ``width`` characters once; a shorter line itself."""
+    return F.when(F.length(line) < width, F.array(line)).otherwise(F.regexp_extract_all(
+        line, F.lit(f"(?s)(?=(.{{{width},{CHUNK + width - 1}}})).{{1,{CHUNK}}}"), F.lit(1)))
+
+
 def shingles(lines: DataFrame, width: int | None) -> DataFrame:
     """(key, h): a row per shingle of each row of ``lines`` (key, line), repeats included."""
     if width is None:
         return lines.select("key", F.explode(shingle_hashes(F.col("line"))).alias("h"))
-    chunks = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{{width},{CHUNK + width - 1}}})).{{1,{CHUNK}}}"), F.lit(1))
-    return lines.select("key", F.explode(F.when(F.length("line") < width, F.array("line")).otherwise(chunks)).alias("chunk")) \
+    return lines.select("key", F.explode(_chunks(F.col("line"), width)).alias("chunk")) \
         .select("key", "chunk", F.explode(F.sequence(F.lit(1), F.greatest(F.length("chunk") - (width - 1), F.lit(1)))).alias("at")) \
         .select("key", F.xxhash64(F.substring("chunk", F.col("at"), F.lit(width))).alias("h"))
 
@@ -77,24 +82,48 @@ def _lines(documents: DataFrame) -> DataFrame:
         .withColumn("key", F.xxhash64("line"))
 
 
-def _links(pairs: DataFrame, lines: DataFrame, threshold: float, width: int | None) -> DataFrame:
-    """The rows of ``pairs`` (a, b) whose shingle sets have at least the Jaccard similarity ``threshold``."""
-    sets = _sets(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), lines, width)
-    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("h").alias("ha")), "a") \
-        .join(sets.select(F.col("key").alias("b"), F.col("h").alias("hb")), "b")
-    common = F.size(F.array_intersect("ha", "hb"))
-    return materialize(both.where(common >= threshold * (F.size("ha") + F.size("hb") - common)).select("a", "b"), "line-links")
+def shingle_set(line: Column, width: int | None) -> Column:
+    """Distinct shingle hashes of a line as an array; the same hashes as ``shingles``."""
+    if width is None:
+        return shingle_hashes(line)
+    return F.array_distinct(F.flatten(F.transform(_chunks(line, width), lambda c: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(c) - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.substring(c, i, F.lit(width)))))))
+
 
+def _links(pairs: DataFrame, lines: DataFrame, threshold: float, width: int | None) -> DataFrame:
+    """The rows of ``pairs`` (a, b) whose shingle sets have at least the Jaccard similarity ``threshold``.
 
-def _sets(wanted: DataFrame, lines: DataFrame, width: int | None) -> DataFrame:
-    """(key, h): shingle sets of the ``wanted`` lines; a fixed-size filter keeps the rest out of the shuffle."""
-    bits = wanted.groupBy(F.expr(f"key & {FILTER_WORDS - 1}").alias("word")).agg(
+    The texts travel, not the sets, which are several times as large.
+    """
+    held = _wanted(pairs.select(F.col("a").alias("key")).union(pairs.select("b")), lines)
+    both = pairs.join(held.select(F.col("key").alias("a"), F.col("line").alias("la")), "a") \
+        .join(held.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b")
+    # in an array of one, so that each set is made once
+    sets = F.array(F.struct(shingle_set(F.col("la"), width).alias("a"), shingle_set(F.col("lb"), width).alias("b")))
+    alike = F.transform(sets, lambda s: (1 + threshold) * F.size(F.array_intersect(s["a"], s["b"]))
+                        >= threshold * (F.size(s["a"]) + F.size(s["b"])) - 1e-9)
+    return materialize(both.where(F.get(alike, F.lit(0))).select("a", "b"), "line-links")
+
+
+def _flagged(keys: DataFrame, lines: DataFrame) -> DataFrame:
+    """``lines`` (key, line) and flag: true for those of ``keys`` and, by a fixed-size filter, for some others."""
+    bits = keys.groupBy(F.expr(f"key & {FILTER_WORDS - 1}").alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.expr("cast(shiftright(key, 32) & 63 as int)"))).alias("bits"))
     bits = materialize(bits, "line-filter")
-    maybe = lines.join(F.broadcast(bits), F.expr(f"key & {FILTER_WORDS - 1}") == F.col("word")) \
-        .where(F.expr("getbit(bits, cast(shiftright(key, 32) & 63 as int)) = 1")).select("key", "line")
-    held = shingles(maybe.join(wanted, "key", "left_semi"), width)
-    return materialize(held.groupBy("key").agg(F.collect_set("h").alias("h")), "line-sets")
+    return lines.join(F.broadcast(bits), F.expr(f"key & {FILTER_WORDS - 1}") == F.col("word"), "left") \
+        .select("key", "line", F.coalesce(F.expr("getbit(bits, cast(shiftright(key, 32) & 63 as int)) = 1"), F.lit(False)).alias("flag"))
+
+
+def _wanted(keys: DataFrame, lines: DataFrame) -> DataFrame:
+    """(key, line), a row per key, of at least the lines in ``keys``."""
+    return _flagged(keys, lines).where("flag").groupBy("key").agg(F.first("line").alias("line"))
+
+
+def _distinct(counted: DataFrame, lines: DataFrame) -> DataFrame:
+    """(key, line): every line content once. Lines that have no copy stay where they are."""
+    flagged = _flagged(counted.where("n > 1"), lines)
+    return flagged.where("not flag").select("key", "line").union(
+        flagged.where("flag").groupBy("key").agg(F.first("line").alias("line")))
 
 
 def _main_components(member: DataFrame, group: str) -> DataFrame:
@@ -119,7 +148,7 @@ def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float, width:
     of the smaller set and the first |b| - t |b| + 1 of the larger one.
     """
     t, least = threshold, 2 * threshold / (1 + threshold)
-    held = _sets(member.select("key"), lines, width).join(member, "key") \
+    held = _wanted(member.select("key"), lines).join(member, "key").select("key", "component", shingle_set(F.col("line"), width).alias("h")) \
         .select("key", "component", F.size("h").alias("size"), F.explode("h").alias("shingle"))
     counts = held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     ranked = held.join(counts, "shingle", "left").groupBy("key", "component", "size").agg(
@@ -144,12 +173,11 @@ def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int =
     ``few`` is the number of lines outside a bucket's largest component up to which its lines
     are paired directly; it changes the way, not the result.
     """
-    # every line content is one row from here on
+    lines = _lines(documents).select("key", "line")
     counted = materialize(_lines(documents).groupBy("key").agg(
-        F.min(F.struct("doc_id", "line_no", "text_hash")).alias("first"), F.count("*").alias("n"), F.first("line").alias("line")), "line-keys")
-    lines = counted.select("key", "line")
+        F.min(F.struct("doc_id", "line_no", "text_hash")).alias("first"), F.count("*").alias("n")), "line-keys")
 
-    minima = materialize(shingles(lines, width).groupBy("key").agg(*[
+    minima = materialize(shingles(_distinct(counted, lines), width).groupBy("key").agg(*[
         F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks(hashes))]), "line-minima")
     banded = minima.select("key", F.explode(F.array(*[
         F.xxhash64(F.lit(b), *[f"m{i}" for i in t]) for b, t in enumerate(band_sets(hashes, bands))])).alias("band"))
@@ -177,7 +205,7 @@ def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int =
         component = connected_components(component.select(F.col("node").alias("a"), F.col("component").alias("b"))
                                          .union(_links(more, lines, threshold, width)))
 
-    known = counted.drop("line").join(component.withColumnRenamed("node", "key"), "key", "left").where("n > 1 or component is not null") \
+    known = counted.join(component.withColumnRenamed("node", "key"), "key", "left").where("n > 1 or component is not null") \
         .withColumn("component", F.coalesce("component", "key"))
     known = materialize(known, "line-known")
     best = known.groupBy("component").agg(F.min("first").alias("best"))
