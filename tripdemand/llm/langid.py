@@ -147,13 +147,11 @@ def posterior(h: np.ndarray, sizes: np.ndarray, sharpness: float) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
-def fit_languages(documents: DataFrame, folds: int = 3, held_out: int = 1, max_grams: int = 1_000_000,
-                  calibration_rows: int = 4_000):
+def fit_languages(documents: DataFrame, folds: int = 3, held_out: int = 1, calibration_rows: int = 4_000):
     """(languages, models, sharpness, reject below) from the rows outside the held-out fold.
 
-    All of them are counted. ``max_grams`` bounds the broadcast models: rarer
-    n-grams of a language, below the smallest power of two that brings it
-    within its share, are left out. ``calibration_rows`` bounds the rows (by
+    All of them are counted, and the models hold every n-gram that was counted: they grow with the number of
+    distinct n-grams of a language, on the driver and in the tasks. ``calibration_rows`` bounds the rows (by
     hash of the id) that sharpness and rejection are fitted on.
     """
     known = documents.where(F.col("lang").isNotNull() & (fold_of(F.col("doc_id"), folds) != held_out)) \
@@ -190,18 +188,10 @@ def fit_languages(documents: DataFrame, folds: int = 3, held_out: int = 1, max_g
 
     counted = materialize(known.select("lang", "text").mapInPandas(count, "lang string, gram long, n long")
                           .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "lang-grams")
-    sizes = counted.groupBy("lang", F.floor(F.log2("n")).alias("power")).agg(F.count("*").alias("kinds")).toPandas()
-    if not len(sizes):
+    table = counted.toPandas()
+    if not len(table):
         return [], [], 1.0, 0.0
-    share = max(max_grams // sizes["lang"].nunique(), 1)
-    cut = {}
-    for lang, part in sizes.groupby("lang"):
-        part = part.sort_values("power", ascending=False)
-        fits = part["power"][part["kinds"].cumsum() <= share]
-        cut[lang] = 2 ** int(fits.min()) if len(fits) else 2 ** int(part["power"].max())
-    floor = F.create_map(*[F.lit(x) for kv in cut.items() for x in kv])
-    table = counted.where(F.col("n") >= floor[F.col("lang")]).toPandas()
-    langs = sorted(cut)
+    langs = sorted(table["lang"].unique())
     models = []
     for lang in langs:
         part = table[table["lang"] == lang]
