@@ -7,14 +7,16 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripdemand.llm.burst_trie import prefix_trie
 from tripdemand.llm.common import read
 from tripdemand.llm.decontaminate import decontaminate
 from tripdemand.llm.html_extract import extract_main_text
 from tripdemand.llm.langid import identify_language
 from tripdemand.llm.lattice_dedup import lattice_near_dedup
 from tripdemand.llm.line_dedup import WIDTH, dedup_lines
+from tripdemand.llm.merkle import manifest
 from tripdemand.llm.ngram_join import ngram_jaccard_join
-from tripdemand.llm.oracle import OP6, OP7
+from tripdemand.llm.oracle import OP6, OP7, OP11, OP13
 from tripdemand.llm.pii import find_personal_data
 from tripdemand.llm.sentencepiece_np import encode_digest
 from tripdemand.llm.suffix_dedup import remove_repeats
@@ -71,6 +73,14 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(read(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -82,5 +92,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
-ORACLE_SQL: dict[str, str] = {"op6_ngram_jaccard_join": OP6, "op7_benchmark_decontamination": OP7}
+ORACLE_SQL: dict[str, str] = {"op6_ngram_jaccard_join": OP6, "op7_benchmark_decontamination": OP7, "op11_merkle_manifest": OP11, "op13_prefix_trie": OP13}
