@@ -16,6 +16,7 @@ from tripdemand.llm.lattice_dedup import lattice_near_dedup
 from tripdemand.llm.line_dedup import WIDTH, dedup_lines
 from tripdemand.llm.merkle import manifest
 from tripdemand.llm.ngram_join import ngram_jaccard_join
+from tripdemand.llm.nn_descent import nearest
 from tripdemand.llm.oracle import OP6, OP7, OP11, OP13
 from tripdemand.llm.pii import find_personal_data
 from tripdemand.llm.sentencepiece_np import encode_digest
@@ -77,6 +78,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(read(spark, sf_dir, "documents"))
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(read(spark, sf_dir, "conversations"))
 
@@ -93,6 +98,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
     "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE_SQL: dict[str, str] = {"op6_ngram_jaccard_join": OP6, "op7_benchmark_decontamination": OP7, "op11_merkle_manifest": OP11, "op13_prefix_trie": OP13}
