@@ -221,3 +221,75 @@ def test_index_diagnostics(spark):
     row = index.edge_cell_share(pts, "x", "y").first()
     assert row.points == 2000 and 0 < row.in_edge_cells < 2000
     assert 0 < row.share < 1 and row.mean_candidate_edges >= 1
+
+
+def numpy_located(xs, ys, polys):
+    """Even-odd per polygon in double precision, smallest code wins (points off all edges)."""
+    import numpy as np
+    best, bestc = np.full(len(xs), "EWR", dtype=object), np.full(len(xs), 99)
+    for code, name, rings in polys:
+        seg = np.array([(*a, *b) for ring in rings for a, b in zip(ring, ring[1:] + ring[:1]) if a != b])
+        hits = np.zeros(len(xs), int)
+        for part in np.array_split(seg, max(1, len(seg) // 500)):
+            x1, y1, x2, y2 = (part[None, :, k] for k in range(4))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                hits += (((y1 > ys[:, None]) != (y2 > ys[:, None]))
+                         & (xs[:, None] < (x2 - x1) * (ys[:, None] - y1) / (y2 - y1) + x1)).sum(axis=1)
+        upd = (hits % 2 == 1) & (code < bestc)
+        bestc[upd], best[upd] = code, name
+    return best
+
+
+def test_detailed_coast_has_short_lists(spark):
+    """16,000 edges along one wavy shore next to plain squares: every list stays within the bound,
+    and cells are spent on the shore only."""
+    import math
+
+    import numpy as np
+    n = 16_000
+    shore = [[8 * i / n, 1 + 0.3 * math.sin(9 * i / n * 8) + 0.004 * math.sin(i * 1.7) + 0.002 * (i % 2)] for i in range(n + 1)]
+    feats = [("Coast", 1, "Polygon", [shore + [[8, 3], [0, 3], shore[0]]]),
+             ("Plain", 2, "Polygon", [[[0, 3], [8, 3], [8, 9], [0, 9], [0, 3]]]),
+             ("Under", 3, "Polygon", [[[1, 0.2], [7, 0.2], [7, 4], [1, 4], [1, 0.2]]])]
+    index = PolygonIndex(geojson_edges(geojson_text_frame(spark, geojson(feats))))
+    info = index.summary()
+    assert info["longest_list"] <= 64 and info["levels"] >= 2
+    # A uniform grid as fine as the smallest cells would need far more cells.
+    fine = (info["cells_per_side"] * 16 ** (info["levels"] - 1)) ** 2
+    assert info["index_cells"] < fine / 40
+    rng = np.random.default_rng(2)
+    xs = np.concatenate([rng.uniform(-0.5, 8.5, 3000), rng.uniform(0, 8, 5000)])
+    ys = np.concatenate([rng.uniform(-0.5, 9.5, 3000), 1 + 0.3 * np.sin(9 * xs[3000:]) + rng.uniform(-0.01, 0.01, 5000)])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(xs, ys))], "pid long, x double, y double")
+    got = {r.pid: r.borough_name for r in index.locate(df, "x", "y").collect()}
+    want = numpy_located(xs, ys, polygons(feats))
+    bad = [(xs[i], ys[i], got[i], want[i]) for i in range(len(xs)) if got[i] != want[i]]
+    assert not bad, bad[:5]
+
+
+@pytest.mark.parametrize("max_edges", [1, 3])
+def test_split_cells_match_brute_force(spark, max_edges):
+    """Lists so short that cells split to the last level: still equal to the exact test, on vertices and edges too."""
+    index = PolygonIndex(geojson_edges(geojson_text_frame(spark, geojson())), cells_per_side=5, max_edges=max_edges)
+    assert index.summary()["levels"] >= 2
+    pts = SPECIAL + [(100 + i, x / 2, y / 2) for i, (x, y) in enumerate((x, y) for x in range(-4, 60) for y in range(-4, 32))]
+    df = spark.createDataFrame(pts, "pid long, x double, y double")
+    got = {r.pid: r.borough_name for r in index.locate(df, "x", "y").collect()}
+    polys = polygons()
+    bad = [(x, y, got[p]) for p, x, y in pts if got[p] != brute_force(x, y, polys)]
+    assert not bad, bad[:5]
+
+
+def test_many_edges_across_one_row(spark):
+    """A comb of 600 upright teeth: all edges span the same heights, so only splitting by x shortens the lists."""
+    import numpy as np
+    teeth = [[4 * i / 300 + off, y] for i in range(300) for off, y in ((0.0, 0.1), (0.003, 1.0), (0.006, 1.0), (0.009, 0.1))]
+    feats = [("Comb", 1, "Polygon", [[[0, 0], *teeth, [4, 0], [0, 0]]])]
+    index = PolygonIndex(geojson_edges(geojson_text_frame(spark, geojson(feats))), cells_per_side=16)
+    assert index.summary()["longest_list"] <= 64
+    rng = np.random.default_rng(4)
+    xs, ys = rng.uniform(-0.1, 4.1, 4000), rng.uniform(-0.05, 1.05, 4000)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(xs, ys))], "pid long, x double, y double")
+    got = {r.pid: r.borough_name for r in index.locate(df, "x", "y").collect()}
+    want = numpy_located(xs, ys, polygons(feats))
+    assert [got[i] for i in range(len(xs))] == list(want)
