@@ -160,3 +160,74 @@ def test_trip_file_writer_bounds_lines_per_file(spark, tmp_dir, monkeypatch):
     assert max(per_file.values()) <= 300 + 1
     kinds = paths_by_kind(classify_files(spark, tmp_dir))
     assert len(kinds["TAXIZONE"]) == 4 and not kinds["GPS"]
+
+
+def test_headers_of_many_files_in_one_job(spark, tmp_dir):
+    """2,000 files: one listing and one reading job, and the labels of the rule."""
+    import os
+    from tripdemand.sources.trip_files import header_lines, list_trip_files
+    os.makedirs(f"{tmp_dir}/in")
+    for k in range(2000):
+        with open(f"{tmp_dir}/in/yellow_{k:04d}.csv", "w") as f:
+            f.write(["", fx.zone_coded_header() + "\n1,2\n", fx.gps_header() + "\n3,4\n", "\n5,6\n"][k % 4])
+    paths = list_trip_files(spark, f"{tmp_dir}/in")
+    assert len(paths) == 2000
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "first lines")
+    heads = header_lines(spark, paths)
+    jobs = sc.statusTracker().getJobIdsForGroup("headers")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 2
+    kinds = {r.file_name: r.location_type for r in classify_headers(heads).collect()}
+    assert kinds == {f"yellow_{k:04d}.csv": [None, "TAXIZONE", "GPS", None][k % 4] for k in range(2000)}
+
+
+def test_moments_follow_the_loads(spark, tmp_dir):
+    """Refreshed statistics equal the recompute after a new load, a shared date, a replaced load and a missed refresh."""
+    from tripdemand.operators.aggregates import demand_rounded_mean, demand_stdev, stats_from_moments
+    from tripdemand.schemas import STATS_KEYS
+    from tripdemand.sources.tables import current_loads, moments_change, refresh_moments
+    wh = f"{tmp_dir}/wh"
+    ev = fx.table(spark, SF0001, "events")
+    counts = trip_counts(parse_zone_trips(fx.zone_lines(ev), fx.zones(spark, SF0001)))
+
+    def check():
+        data = read_table(spark, wh, "trip_data")
+        want = historical_mean(data).join(demand_stdev(data), STATS_KEYS).join(demand_rounded_mean(data), STATS_KEYS)
+        got = stats_from_moments(refresh_moments(spark, wh)).select(*want.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+    write_trip_data(counts.where("assign_date < '2024-01-08'"), wh, "a")
+    check()
+    write_trip_data(counts.where("assign_date >= '2024-01-06'"), wh, "b")  # shares two dates with a
+    check()
+    write_trip_data(counts.where("assign_date < '2024-01-04'"), wh, "a")  # replaced by fewer dates
+    write_trip_data(counts.where("assign_date = '2024-01-02'"), wh, "c")  # and no refresh between
+    check()
+    versions = len(spark.read.parquet(f"{wh}/trip_moments_versions").collect())
+    check()  # nothing changed: no new state
+    assert len(spark.read.parquet(f"{wh}/trip_moments_versions").collect()) == versions == 3
+    # Only the folders of the new load's dates are read.
+    known = current_loads(spark, wh)
+    write_trip_data(counts.where("assign_date = '2024-01-09'"), wh, "d")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        moments_change(spark, wh, known, current_loads(spark, wh)).explain()
+    assert "PartitionFilters: [" in buf.getvalue() and "assign_date" in buf.getvalue().split("PartitionFilters: [")[1][:200]
+
+
+def test_duplicate_keys_fail_the_load(spark, tmp_dir):
+    from tripdemand.sources.tables import DuplicateKey
+    wh = f"{tmp_dir}/wh"
+    ev = fx.table(spark, SF0001, "events")
+    counts = trip_counts(parse_zone_trips(fx.zone_lines(ev), fx.zones(spark, SF0001)))
+    write_trip_data(counts, wh, "a")
+    before = read_table(spark, wh, "trip_data").count()
+    with pytest.raises(DuplicateKey, match="2024-01-0"):
+        write_trip_data(counts.unionByName(counts.limit(1)), wh, "a")
+    assert read_table(spark, wh, "trip_data").count() == before  # the earlier generation still counts
+    stats = historical_mean(counts)
+    write_trip_stats(stats, wh)
+    with pytest.raises(DuplicateKey, match="Monday"):
+        write_trip_stats(stats.unionByName(stats.where("day = 'Monday'").limit(1)), wh)
+    assert read_table(spark, wh, "trip_stats").count() == stats.count()

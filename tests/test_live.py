@@ -161,3 +161,98 @@ def test_gps_parse_runs_on_a_stream(spark, tmp_dir):
     live = sorted(map(tuple, spark.table("gps_live").collect()))
     batch = sorted(map(tuple, parse_gps_trips(fx.gps_lines(ev), index).collect()))
     assert live == batch and len(live) > 900
+
+
+def stats_job(spark, setup, wh, where="true"):
+    write_trip_stats(read_table(spark, setup["wh"], "trip_stats").where(where), wh)
+
+
+def test_crash_between_the_sinks_shows_no_row(spark, setup, tmp_dir, monkeypatch):
+    """The raw rows are written, the statistics or the record are not: readers see neither; the replay shows both once."""
+    from tripdemand.sources import live_store
+    wh = f"{tmp_dir}/wh"
+    stats_job(spark, setup, wh)
+    LiveBatch(wh, fx.REFERENCE_DATE, run_id="r")(setup["trips"], 0)
+    n = read_table(spark, wh, "real_trip").count()
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(live_store, "append_log", fail)
+    with pytest.raises(RuntimeError):
+        LiveBatch(wh, fx.REFERENCE_DATE, run_id="r")(setup["trips"], 1)
+    assert len(os.listdir(f"{wh}/real_trip")) == 2  # written, not committed
+    for name in ("real_trip", "real_trip_stats"):
+        assert read_table(spark, wh, name).where("batch_id = 1").isEmpty()
+    monkeypatch.undo()
+    for _ in range(2):
+        LiveBatch(wh, fx.REFERENCE_DATE, run_id="r")(setup["trips"], 1)
+    assert read_table(spark, wh, "real_trip").count() == 2 * n
+    assert read_table(spark, wh, "real_trip_stats").groupBy("run_id", "batch_id", "borough_name", "time_block", "month", "day").count() \
+        .where("count > 1").isEmpty()
+
+
+def test_compaction_keeps_rows_and_bounds_files(spark, setup, tmp_dir):
+    from tripdemand.sources.live_store import compact_run, vacuum
+    wh = f"{tmp_dir}/wh"
+    stats_job(spark, setup, wh)
+    part = setup["trips"].where("time_block % 7 = 0")
+    batch = LiveBatch(wh, fx.REFERENCE_DATE, run_id="r")
+    for b in range(4):
+        batch(part, b)
+    LiveBatch(wh, fx.REFERENCE_DATE, run_id="other")(part, 0)
+
+    def rows(name):
+        return sorted(map(str, read_table(spark, wh, name).collect()))
+
+    def files():
+        return sum(f.endswith(".parquet") for _, _, names in os.walk(f"{wh}/real_trip") for f in names)
+
+    before = {name: rows(name) for name in ("real_trip", "real_trip_stats")}
+    profile = live_profile(read_table(spark, wh, "real_trip_stats"), fx.REPORT_BOROUGH).collect()
+    reader = read_table(spark, wh, "real_trip")  # started before the compaction
+    assert compact_run(spark, wh, "r") == 4 and compact_run(spark, wh, "r") == 0
+    assert {name: rows(name) for name in before} == before
+    assert live_profile(read_table(spark, wh, "real_trip_stats"), fx.REPORT_BOROUGH).collect() == profile
+    assert reader.count() == len(before["real_trip"])
+    batch = LiveBatch(wh, fx.REFERENCE_DATE, run_id="r")
+    batch(part, 3)  # replays of merged batches change nothing
+    batch(part, 4)
+    many = files()
+    assert vacuum(spark, wh) == {"segments": 0, "log_files": 0}  # within the grace period
+    gone = vacuum(spark, wh, grace_seconds=-5)
+    assert gone == {"segments": 8, "log_files": 4} and files() < many
+    assert len(rows("real_trip")) == len(before["real_trip"]) * 6 // 5
+    assert compact_run(spark, wh, "r", segment_rows=part.count() * 2) == 0  # one large, one small: nothing to merge
+    assert len(rows("real_trip")) == len(before["real_trip"]) * 6 // 5
+
+
+def test_stream_compacts_itself(spark, setup, tmp_dir):
+    wh = f"{tmp_dir}/wh"
+    stats_job(spark, setup, wh)
+    msgs = spark.readStream.format("text").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).load(setup["src"])
+    q = start_live(spark, msgs, setup["zones"], wh, fx.REFERENCE_DATE, f"{tmp_dir}/ckpt", trigger={"availableNow": True}, compact_every=2)
+    q.awaitTermination()
+    assert q.exception() is None
+    kinds = [r.kind for r in spark.read.parquet(f"{wh}/live_log").collect()]
+    assert kinds.count("snapshot") >= 1
+    assert read_table(spark, wh, "real_trip").count() >= setup["trips"].count()
+    assert read_table(spark, wh, "real_trip").groupBy("batch_id").count().count() == kinds.count("batch")
+
+
+def test_recompute_between_batches_leaves_one_row_per_block(spark, setup, tmp_dir):
+    wh = f"{tmp_dir}/wh"
+    stats_job(spark, setup, wh)
+    batch = LiveBatch(wh, fx.REFERENCE_DATE, run_id="r")
+    batch(setup["trips"], 0)
+    raised = read_table(spark, setup["wh"], "trip_stats").withColumn("mean", F.col("mean") + 1)
+    write_trip_stats(raised, wh)
+    batch(setup["trips"], 1)
+    rts = read_table(spark, wh, "real_trip_stats")
+    assert rts.select("stats_version").distinct().count() == 2
+    assert rts.groupBy("borough_name", "time_block").agg(F.countDistinct("mean").alias("k")).where("k <> 2").isEmpty()
+    rows = live_profile(rts, fx.REPORT_BOROUGH).collect()
+    assert len({r.label for r in rows}) == len(rows) > 0
+    day, month = day_and_month(fx.REFERENCE_DATE)
+    new = {r.label: r.mean for r in overlay_report(read_table(spark, wh, "trip_stats"), rts, fx.REPORT_BOROUGH, day, month).collect()}
+    assert all(r.mean == new[r.label] for r in rows)

@@ -98,7 +98,22 @@ def live_counts(trips: DataFrame, extra_keys: list[str] | None = None) -> DataFr
 
 
 def summed_live(real_trip_stats: DataFrame) -> DataFrame:
-    """A4: per-batch deltas summed per (block, mean); rows without a mean drop out."""
+    """A4: the per-batch deltas of one borough summed per block; rows without a mean drop out.
+
+    The mean is that of the latest statistics any batch of the block was compared with, so a
+    recompute between two batches leaves one row per block.
+    """
     return (real_trip_stats.where(F.col("mean").isNotNull())
-            .groupBy("time_block", "mean")
-            .agg(F.sum("actual_trips").cast("long").alias("actual_trips")))
+            .groupBy("time_block")
+            .agg(F.max_by("mean", F.struct("stats_version", "mean")).alias("mean"), F.sum("actual_trips").cast("long").alias("actual_trips")))
+
+
+def stats_from_moments(moments: DataFrame) -> DataFrame:
+    """A2, A5, A6 of every cell from its number of dates, sum and sum of squares."""
+    n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
+    mean = s1.cast("double") / n
+    deviation = F.round(F.sqrt((n * s2 - s1 * s1) / (n * (n - 1))))
+    return moments.where(n > 0).select(
+        *STATS_KEYS, mean.alias("mean"), mean.cast("int").alias("mean_int"),
+        F.when(n > 1, deviation).otherwise(F.lit(0.0)).cast("double").alias("stdev"),
+        F.when(n > 1, F.round(mean)).otherwise(s1).cast("double").alias("rounded_mean"))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripdemand.operators.aggregates import historical_mean, trip_counts, union_trips
+from tripdemand.operators.aggregates import stats_from_moments, trip_counts, union_trips
 from tripdemand.operators.parse import parse_gps_trips, parse_zone_trips
 from tripdemand.schemas import BLOCK_MINUTES, ZONE_FIELD
-from tripdemand.sources.tables import read_table, write_trip_data, write_trip_stats
+from tripdemand.sources.tables import refresh_moments, write_trip_data, write_trip_stats
 from tripdemand.sources.trip_files import classify_files, paths_by_kind, read_trip_lines
 
 
@@ -35,13 +35,13 @@ def run_batch(spark: SparkSession, input_root: str, warehouse: str,
               zone_field: int = ZONE_FIELD, on_bad_timestamp: str = "drop",
               load: str | None = None) -> dict:
     """List + classify (S2/S3) -> count (A1) -> write trip_data (S9) ->
-    read back (S7) -> mean (A2) -> write trip_stats (S10).
+    refresh the cells' moments (S7, the dates of this load only) -> mean (A2) -> write trip_stats (S10).
 
     ``load`` names what is loaded (default: the input folder and prefix). A
     second run of a load replaces its rows; different loads add up, also on the
-    dates they share, so they must not overlap in files. Reading ``trip_data``
-    back before the mean cuts the lineage at a written table and averages
-    every stored date, not just this run's.
+    dates they share, so they must not overlap in files. The means are over
+    every stored date, not just this run's: the moments of the other dates come
+    from the last state.
     """
     kinds = paths_by_kind(classify_files(spark, input_root, prefix))
     if kinds["TAXIZONE"] and zones is None:
@@ -51,6 +51,5 @@ def run_batch(spark: SparkSession, input_root: str, warehouse: str,
     counts = count_trips(spark, kinds["TAXIZONE"], kinds["GPS"], zones, index,
                          zone_field=zone_field, on_bad_timestamp=on_bad_timestamp)
     write_trip_data(counts, warehouse, load or f"{input_root.rstrip('/')}/{prefix}")
-    stats = historical_mean(read_table(spark, warehouse, "trip_data"))
-    write_trip_stats(stats, warehouse)
+    write_trip_stats(stats_from_moments(refresh_moments(spark, warehouse)), warehouse)
     return {"files": kinds, "warehouse": warehouse}

@@ -79,7 +79,12 @@ REAL_TRIP_STATS_SCHEMA = _struct(
     [("run_id", T.StringType()), ("batch_id", T.LongType()), ("assign_date", T.DateType()),
      ("time_block", T.IntegerType()), ("month", T.StringType()), ("day", T.StringType()),
      ("borough_name", T.StringType()), ("actual_trips", T.LongType()),
-     ("mean", T.DoubleType())])
+     ("mean", T.DoubleType()), ("stats_version", T.StringType())])
+
+# Mergeable moments of a cell over its dates: mean, deviation and rounded mean derive from them.
+TRIP_MOMENTS_SCHEMA = _struct(
+    [("time_block", T.IntegerType()), ("day", T.StringType()), ("month", T.StringType()),
+     ("borough_name", T.StringType()), ("n", T.LongType()), ("s1", T.LongType()), ("s2", T.LongType())])
 
 TABLE_KEYS = {
     "trip_data": COUNT_KEYS,

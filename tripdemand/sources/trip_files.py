@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from urllib.parse import urlparse
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,24 +33,52 @@ def list_trip_files(spark: SparkSession, root: str, prefix: str = TRIP_FILE_PREF
     return sorted(out)
 
 
-def _first_line(spark: SparkSession, path: str):
-    # A top-level limit scans the first split only and stops after one line.
-    # The path is reported as Spark spells it in ``_metadata.file_path``.
-    rows = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("p"))
-            .limit(1).collect())
-    return (rows[0]["p"], rows[0]["value"]) if rows else (path, None)
+# Settings of the session that reads first lines: a file is one split and one task
+# (no file is that large), and rows come to Python in batches of a few.
+_WHOLE_FILE = str(1 << 60)
+HEADER_CONF = {"spark.sql.files.maxPartitionBytes": _WHOLE_FILE, "spark.sql.files.openCostInBytes": _WHOLE_FILE,
+               "spark.sql.execution.arrow.maxRecordsPerBatch": "64"}
+_ROWS_TO_END = 4096
 
 
-def header_lines(spark: SparkSession, paths: list[str], parallelism: int = 16) -> DataFrame:
-    """``(file_path, header)``: the first line of each file.
+def _first_row(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first row of a task's file; of a long file the rest is not asked for.
 
-    One tiny job per file, submitted concurrently; each reads a single line.
+    A short one is read to its end, as a worker that stops early is not used again.
+    """
+    rows = 0
+    for pdf in batches:
+        if not rows and len(pdf):
+            yield pdf.iloc[:1]
+        rows += len(pdf)
+        if rows >= _ROWS_TO_END:
+            return
+
+
+def header_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(file_path, header)``: the first line of each file, by one job for all of them
+    (and Spark's own listing job where there are many).
+
+    Each file is one task, which stops after the first rows, so the bytes read do
+    not grow with the files. The scan runs in a session of its own (the same context), so that
+    the caller's settings stay as they are. A file without a line has a NULL header.
     """
     if not paths:
         return spark.createDataFrame([], "file_path string, header string")
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(paths)))) as pool:
-        pairs = list(pool.map(lambda p: _first_line(spark, p), paths))
-    return spark.createDataFrame(pairs, "file_path string, header string")
+    reader = spark.newSession()
+    for key, value in HEADER_CONF.items():
+        reader.conf.set(key, value)
+    first = (reader.read.text(paths).select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("header"))
+             .mapInPandas(_first_row, "file_path string, header string").collect())
+    # One row per file, as its path is spelled by the scan; a file that gave none is listed as it was asked for.
+    found = {r.file_path for r in first}
+    empty = [(p, None) for p in paths if not _spelled(p) & found]
+    return spark.createDataFrame([tuple(r) for r in first] + empty, "file_path string, header string")
+
+
+def _spelled(path: str) -> set[str]:
+    """A path as it may be reported: as given, and a bare local path with its scheme."""
+    return {path, "file://" + path, path.replace("file:///", "file:/"), path.replace("file:/", "file:///", 1)}
 
 
 def classify_headers(headers: DataFrame) -> DataFrame:
