@@ -34,6 +34,16 @@ def reliable_dir(spark: SparkSession) -> str:
     return scratch_root(spark)
 
 
+def ids_as_text(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with an id as text, for Python code that only hands ids on: pandas would turn 64-bit ids beside a null into floats."""
+    return df.withColumn(column, F.col(column).cast("string"))
+
+
+def ids_back(df: DataFrame, column: str, like: DataFrame) -> DataFrame:
+    """``df`` with the id in the type it has in ``like`` again."""
+    return df.withColumn(column, F.col(column).cast(like.schema[column].dataType))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of every node of ``edges``; component is its smallest node.
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripdemand.llm.common import materialize
+from tripdemand.llm.common import ids_as_text, ids_back, materialize
 from tripdemand.llm.toxicity import fold_of
 
 ORDER = 4
@@ -205,6 +205,8 @@ def fit_languages(documents: DataFrame, folds: int = 3, held_out: int = 1, calib
         for pdf in batches:
             h, n = entropies(list(pdf["text"]), models)
             ok = n > 0
+            if not ok.any():  # no text of the batch has a letter
+                continue
             yield pd.DataFrame({"y": pdf["lang"].map(langs.index).to_numpy()[ok], "n": n[ok], "h": list(h[ok])})
 
     got = sample.mapInPandas(measure, "y int, n long, h array<double>").limit(calibration_rows).toPandas()
@@ -232,7 +234,6 @@ def identify_language(documents: DataFrame, folds: int = 3, held_out: int = 1, *
     """
     langs, models, sharpness, reject = fit_languages(documents, folds, held_out, **fit)
     docs = documents.select("doc_id", F.coalesce(fold_of(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"), "text")
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -247,4 +248,5 @@ def identify_language(documents: DataFrame, folds: int = 3, held_out: int = 1, *
                 out.iloc[ok, 3] = p[np.arange(len(ok)), best]
             yield out.assign(rejected=out["score"].to_numpy() < reject)
 
-    return docs.mapInPandas(predict, f"doc_id {id_type}, held_out boolean, lang_pred string, score double, rejected boolean")
+    out = ids_as_text(docs, "doc_id").mapInPandas(predict, "doc_id string, held_out boolean, lang_pred string, score double, rejected boolean")
+    return ids_back(out, "doc_id", docs)

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripdemand.llm.common import connected_components, materialize
+from tripdemand.llm.common import connected_components, ids_as_text, ids_back, materialize
 from tripdemand.llm.text_hash import chunks, mix64, shingle_sets
 
 HEAVY_MAX = 1 << 18      # frequent shingles in the broadcast: 2 MB, whatever the corpus
@@ -250,9 +250,8 @@ def ngram_jaccard_join(documents: DataFrame, width: int = 3, num: int = 9, den:
                 out.insert(0, "doc_id", ids.iloc[a:a + len(sets)].to_numpy())
                 yield out
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    scanned = materialize(docs.mapInPandas(
-        heads, f"doc_id {id_type}, n long, key long, head array<long>, bitmap binary"), "ngram-heads")
+    scanned = materialize(ids_back(ids_as_text(docs, "doc_id").mapInPandas(
+        heads, "doc_id string, n long, key long, head array<long>, bitmap binary"), "doc_id", docs), "ngram-heads")
     classes = scanned.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first_doc"))
     sketches = scanned.where("n > 0").select("key", "n", "head", "bitmap").dropDuplicates(["key"])
     sketches = materialize(sketches, "ngram-classes")

@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripdemand.llm.common import ids_as_text, ids_back
 from tripdemand.llm.text_hash import mix64
 
 MARK = "▁"
@@ -432,5 +433,5 @@ def encode_digest(documents: DataFrame, model_path: str) -> DataFrame:
                 "ids_sha256": [hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids],
                 "round_trip": [model.decode(x) == t.replace(MARK, " ") for x, t in zip(ids, texts)]})
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(digest, f"doc_id {id_type}, n_tokens long, ids_sha256 string, round_trip boolean")
+    out = ids_as_text(docs, "doc_id").mapInPandas(digest, "doc_id string, n_tokens long, ids_sha256 string, round_trip boolean")
+    return ids_back(out, "doc_id", docs)

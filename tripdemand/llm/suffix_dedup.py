@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripdemand.llm.common import bounded_broadcast, materialize
+from tripdemand.llm.common import bounded_broadcast, ids_as_text, ids_back, materialize
 from tripdemand.llm.text_hash import _BYTE_CODE, _Powers, chunks, mix64
 
 POSITION_BITS = 24
@@ -200,7 +200,6 @@ def repeated_spans(documents: DataFrame, length: int = 400, group_bound: int = 8
     sc = documents.sparkSession.sparkContext
     k, reach = length // 4, length - length // 4
     docs = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -252,8 +251,8 @@ def repeated_spans(documents: DataFrame, length: int = 400, group_bound: int = 8
         if held:
             yield contexts()
 
-    rows = materialize(docs.mapInPandas(
-        around, f"h long, c long, n long, before binary, after binary, doc_id {id_type}, text_hash long, pos long"), "repeat-rows")
+    rows = materialize(ids_back(ids_as_text(docs, "doc_id").mapInPandas(
+        around, "h long, c long, n long, before binary, after binary, doc_id string, text_hash long, pos long"), "doc_id", docs), "repeat-rows")
     found = rows.where("pos < 0").select("h", "c", "n", "before", "after")
     blocks = found.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > group_bound) \
         .select("h", F.ceil(F.col("m") / group_bound).cast("int").alias("blocks"))
@@ -380,6 +379,6 @@ def remove_repeats(documents: DataFrame, length: int = 400, group_bound: int = 8
             got.insert(0, "doc_id", pdf["doc_id"].to_numpy())
             yield got
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return joined.mapInPandas(
-        cut, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    out = ids_as_text(joined, "doc_id").mapInPandas(
+        cut, "doc_id string, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return ids_back(out, "doc_id", docs)
