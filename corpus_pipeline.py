@@ -25,10 +25,10 @@ from tripdemand.llm.toxicity import score_toxicity
 BROADCAST_IDS = 2_000_000
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``gone`` (doc_id)."""
-    gone = materialize(gone.select("doc_id").distinct(), "stage-gone")
-    return docs.join(bounded_broadcast(gone, BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows of ``docs`` whose ``key`` is not in ``gone``."""
+    gone = materialize(gone.select(key).distinct(), "stage-gone")
+    return docs.join(bounded_broadcast(gone, BROADCAST_IDS), key, "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,14 +46,17 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of 3-word shingle Jaccard >= 0.9 stays: the one of the smallest doc_id.
 
-    Documents without words (emptied by the line stage, for one) link with nothing and stay, as
-    do rows with a null doc_id. Repeated rows of the doc_id that stays are one row.
+    Every row is judged by its own text: rows that share a doc_id, or have none (these count as the
+    largest), are documents of their own, and repeated rows are copies of each other. Documents without
+    words (emptied by the line stage, for one) link with nothing and stay.
     """
-    left = without(docs, ngram_jaccard_join(docs).where("doc_id <> component_id"))
-    again = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if again.isEmpty():
-        return left
-    return without(left, again).union(left.join(again, "doc_id", "left_semi").select(*docs.columns).distinct())
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "stage-rows")
+    groups = ngram_jaccard_join(rows.select(F.col("_row").alias("doc_id"), "text")) \
+        .select(F.col("doc_id").alias("_row"), "component_id")
+    groups = materialize(groups.join(rows.select("_row", "doc_id"), "_row"), "stage-groups")
+    stays = groups.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("stays"))
+    gone = groups.join(stays, "component_id").where("_row <> stays")
+    return without(rows, gone, "_row").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
