@@ -101,8 +101,12 @@ def summed_live(real_trip_stats: DataFrame) -> DataFrame:
     """A4: the per-batch deltas of one borough summed per block; rows without a mean drop out.
 
     The mean is that of the latest statistics any batch of the block was compared with, so a
-    recompute between two batches leaves one row per block.
+    recompute between two batches leaves one row per block. Rows of a source without
+    versions are summed per (block, mean).
     """
+    if "stats_version" not in real_trip_stats.columns:
+        return (real_trip_stats.where(F.col("mean").isNotNull()).groupBy("time_block", "mean")
+                .agg(F.sum("actual_trips").cast("long").alias("actual_trips")))
     return (real_trip_stats.where(F.col("mean").isNotNull())
             .groupBy("time_block")
             .agg(F.max_by("mean", F.struct("stats_version", "mean")).alias("mean"), F.sum("actual_trips").cast("long").alias("actual_trips")))
