@@ -2,9 +2,9 @@
 
 A line's shingles are its overlapping substrings of ``width`` characters, one at
 every position, as op5 and the pipeline have it (``WIDTH``). Without a width they are pairs of
-neighbouring pieces of words of up to 8 characters. Each of ``hashes`` minima is taken over the shingle hashes under
-another exclusive-or mask, which reorders them; ``bands`` of three minima
-bring lines together that share at least one band. What meets is compared by
+neighbouring pieces of words of up to 8 characters. Each of ``rows`` * ``rows`` minima is taken over the shingle hashes under
+another exclusive-or mask, which reorders them. The minima form a square, whose rows and columns are the
+bands: they bring lines together that share at least one band. What meets is compared by
 the exact Jaccard similarity of the shingle sets, and the links are closed
 to components by a distributed union-find. Of each component the first line
 stays: the one of the smallest (doc_id, line number).
@@ -19,8 +19,6 @@ by position), which finds every pair at the threshold.
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +28,7 @@ PIECE = r"\S{1,8}"
 #: Characters of a shingle in op5 and the pipeline.
 WIDTH = 5
 #: Positions of shingles in a chunk of a line: substrings are cut from chunks, as cutting counts characters from the start.
-CHUNK = 64
+CHUNK = 16
 #: Words of the fixed-size filter of candidate lines: 2**18 rows of 64 bits, whatever the corpus.
 FILTER_WORDS = 1 << 18
 
@@ -60,18 +58,14 @@ def shingles(lines: DataFrame, width: int | None) -> DataFrame:
 
 
 def masks(n: int) -> list[int]:
-    """Masks whose top bits differ as much as possible; a multiplicative sequence modulo 2**63."""
-    return [(0x5851F42D4C957F2D * (2 * i + 1)) & ((1 << 63) - 1) for i in range(n)]
+    """Masks whose top bits differ as much as possible; a multiplicative sequence modulo 2**31."""
+    return [(0x5851F42D * (2 * i + 1)) & ((1 << 31) - 1) for i in range(n)]
 
 
-def band_sets(hashes: int, bands: int) -> list[tuple[int, ...]]:
-    """Triples of minima, chosen so that any two share at most one minimum if possible."""
-    chosen: list[tuple[int, ...]] = []
-    for most in (1, 2):
-        for t in itertools.combinations(range(hashes), 3):
-            if len(chosen) < bands and t not in chosen and all(len(set(t) & set(c)) <= most for c in chosen):
-                chosen.append(t)
-    return chosen[:bands]
+def band_sets(rows: int) -> list[tuple[int, ...]]:
+    """The rows and columns of a square of minima: any two bands share at most one minimum."""
+    square = [tuple(range(i * rows, (i + 1) * rows)) for i in range(rows)]
+    return square + list(zip(*square))
 
 
 def _lines(documents: DataFrame) -> DataFrame:
@@ -165,8 +159,7 @@ def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float, width:
         _across(index.where("component = main"), probe.where("component <> main"), "shingle", enough))
 
 
-def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int = 12, bands: int = 10,
-                    leaders: int = 2, few: int = 16, width: int | None = None) -> DataFrame:
+def line_components(documents: DataFrame, threshold: float = 0.8, rows: int = 5, few: int = 16, width: int | None = None) -> DataFrame:
     """(key, first_doc, first_text, first_line): for every line content that is not alone, the place of its
     component's first line (``first_text`` is the hash of its text). ``key`` is the 64-bit hash of the line.
 
@@ -177,21 +170,23 @@ def line_components(documents: DataFrame, threshold: float = 0.8, hashes: int =
     counted = materialize(_lines(documents).groupBy("key").agg(
         F.min(F.struct("doc_id", "line_no", "text_hash")).alias("first"), F.count("*").alias("n")), "line-keys")
 
-    minima = materialize(shingles(_distinct(counted, lines), width).groupBy("key").agg(*[
-        F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks(hashes))]), "line-minima")
-    banded = minima.select("key", F.explode(F.array(*[
-        F.xxhash64(F.lit(b), *[f"m{i}" for i in t]) for b, t in enumerate(band_sets(hashes, bands))])).alias("band"))
-    bucket = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"), *[
-        F.min_by("key", F.xxhash64("key", F.lit(k))).alias(f"leader{k}") for k in range(leaders)]).where("low <> high")
-    met = materialize(banded.join(bucket, "band").drop("high"), "line-met")
-    pairs = materialize(met.select("key", F.explode(F.array_distinct(F.array("low", *[f"leader{k}" for k in range(leaders)]))).alias("other"))
-                        .where("other <> key").select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"))
+    minima = shingles(_distinct(counted, lines), width).withColumn("h", F.expr("cast(shiftright(h, 32) as int)")) \
+        .groupBy("key").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks(rows * rows))])
+    bands = materialize(minima.select("key", F.array(*[
+        F.xxhash64(F.lit(b), *[f"m{i}" for i in t]) for b, t in enumerate(band_sets(rows))]).alias("bands")), "line-bands")
+    banded = bands.select("key", F.explode("bands").alias("band"))
+    # a bucket's leaders are its first and its last key; keys are hashes, so these are any two lines
+    bucket = materialize(banded.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+                         .where("low <> high"), "line-buckets")
+    met = materialize(banded.join(bucket.where("n > 2"), "band"), "line-met")
+    pairs = materialize(bucket.select(F.col("low").alias("a"), F.col("high").alias("b"))
+                        .union(met.where("key <> low").select("low", "key")).union(met.where("key <> high").select("key", "high"))
                         .distinct(), "line-pairs")
     links = _links(pairs, lines, threshold, width)
     component = connected_components(links)
 
     # lines of a bucket that the leaders left in different components
-    member = materialize(met.where("n > 2").select("band", "key").join(component.withColumnRenamed("node", "key"), "key", "left")
+    member = materialize(met.select("band", "key").join(component.withColumnRenamed("node", "key"), "key", "left")
                          .withColumn("component", F.coalesce("component", "key")), "line-members")
     open_buckets = _main_components(member, "band").where("n > 2")
     direct = member.join(open_buckets.where(F.col("others") <= few).select("band", "main"), "band")
