@@ -3,8 +3,8 @@
 A line's shingles are its overlapping substrings of ``width`` characters, one at
 every position, as op5 and the pipeline have it (``WIDTH``). Without a width they are pairs of
 neighbouring pieces of words of up to 8 characters. Each of ``rows`` * ``rows`` minima is taken over the shingle hashes under
-another exclusive-or mask, which reorders them. The minima form a square, whose rows and columns are the
-bands: they bring lines together that share at least one band. What meets is compared by
+another exclusive-or mask, which reorders them. The minima form a square, whose rows, columns and diagonals
+are the bands: they bring lines together that share at least one band. What meets is compared by
 the exact Jaccard similarity of the shingle sets, and the links are closed
 to components by a distributed union-find. Of each component the first line
 stays: the one of the smallest (doc_id, line number).
@@ -63,9 +63,9 @@ def masks(n: int) -> list[int]:
 
 
 def band_sets(rows: int) -> list[tuple[int, ...]]:
-    """The rows and columns of a square of minima: any two bands share at most one minimum."""
+    """The rows, columns and (wrapped) diagonals of a square of minima: any two bands share at most one minimum."""
     square = [tuple(range(i * rows, (i + 1) * rows)) for i in range(rows)]
-    return square + list(zip(*square))
+    return square + list(zip(*square)) + [tuple(square[i][(b + i) % rows] for i in range(rows)) for b in range(rows)]
 
 
 def _lines(documents: DataFrame) -> DataFrame:
