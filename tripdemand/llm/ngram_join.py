@@ -11,7 +11,8 @@ On Spark: shingles that are frequent in the whole corpus are put last in every
 set, so the short lists are the head of the (frequency class, hash) order; the
 heads are shuffled by shingle and each list proposes its size- and
 position-compatible pairs; a parity bitmap bounds the symmetric difference
-from below and drops nearly all that are not links. A list longer than
+from below and drops nearly all that are not links (first one of a fixed 256 bits, so that
+the larger ones travel to few pairs). A list longer than
 ``list_bound`` (a group of near copies: nothing rare in it) is compared by bitmap
 in blocks of at most ``block`` sets and proposes a spanning forest, never all its pairs.
 What is proposed falls into clusters, and each is searched by DivideSkip over
@@ -35,6 +36,7 @@ from tripdemand.llm.text_hash import chunks, mix64, shingle_sets
 
 HEAVY_MAX = 1 << 18      # frequent shingles in the broadcast: 2 MB, whatever the corpus
 BLOOM_BITS = 1 << 26     # filter of the texts to fetch: 8 MB, whatever the corpus
+COARSE = 4               # 64-bit words of the bitmap of fixed size that a proposed pair is held against first
 #: The tasks (i <= j) of a member of block ``block`` out of ``nb``.
 BLOCK_PAIRS = "transform(sequence(0, nb - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))"
 
@@ -57,10 +59,10 @@ def set_key(s: np.ndarray) -> int:
     return int(mix64(np.array([x & (1 << 64) - 1], np.uint64)).view(np.int64)[0])
 
 
-def parity_bitmap(s: np.ndarray) -> np.ndarray:
+def parity_bitmap(s: np.ndarray, bits: int | None = None) -> np.ndarray:
     """Bit i is the parity of the shingles whose hash ends in i: bitmaps differ in at most as
-    many bits as the sets differ in shingles. About 2 bits a shingle, a power of two."""
-    bits = max(64, 1 << int(2 * len(s) - 1).bit_length())
+    many bits as the sets differ in shingles. About 2 bits a shingle, a power of two, unless ``bits`` is given."""
+    bits = bits or max(64, 1 << int(2 * len(s) - 1).bit_length())
     odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8))
 
@@ -230,6 +232,8 @@ def ngram_jaccard_join(documents: DataFrame, width: int = 3, num: int = 9, den:
         .orderBy(F.desc("n"), "token").limit(HEAVY_MAX)
     heavy = sc.broadcast(np.sort(np.array([r.token for r in common.collect()], np.int64).view(np.uint64)))
 
+    coarse = [f"c{i}" for i in range(COARSE)]
+
     def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         common = heavy.value
         for pdf in batches:
@@ -244,16 +248,17 @@ def ngram_jaccard_join(documents: DataFrame, width: int = 3, num: int = 9, den:
                     else:
                         ordered = s
                     k = int(short_lists(len(s), num, den)) if len(s) else 0
-                    rows.append((len(s), set_key(s), ordered[:k].view(np.int64),
-                                 parity_bitmap(s).tobytes() if len(s) else b""))
-                out = pd.DataFrame(rows, columns=["n", "key", "head", "bitmap"])
+                    rows.append((len(s), set_key(s), ordered[:k].view(np.int64), parity_bitmap(s).tobytes() if len(s) else b"",
+                                 *parity_bitmap(s, 64 * COARSE).view(np.int64).tolist()))
+                out = pd.DataFrame(rows, columns=["n", "key", "head", "bitmap", *coarse])
                 out.insert(0, "doc_id", ids.iloc[a:a + len(sets)].to_numpy())
                 yield out
 
     scanned = materialize(ids_back(ids_as_text(docs, "doc_id").mapInPandas(
-        heads, "doc_id string, n long, key long, head array<long>, bitmap binary"), "doc_id", docs), "ngram-heads")
+        heads, "doc_id string, n long, key long, head array<long>, bitmap binary, " + ", ".join(f"{c} long" for c in coarse)),
+        "doc_id", docs), "ngram-heads")
     classes = scanned.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first_doc"))
-    sketches = scanned.where("n > 0").select("key", "n", "head", "bitmap").dropDuplicates(["key"])
+    sketches = scanned.where("n > 0").select("key", "n", "head", "bitmap", *coarse).dropDuplicates(["key"])
     sketches = materialize(sketches, "ngram-classes")
 
     postings = sketches.select("key", "n", F.posexplode("head").alias("pos", "token")) \
@@ -289,8 +294,8 @@ def ngram_jaccard_join(documents: DataFrame, width: int = 3, num: int = 9, den:
 
     proposed = materialize(postings.mapInPandas(propose, "a long, b long, token long, nb int").distinct(), "ngram-pairs")
 
-    side = lambda p: sketches.select(F.col("key").alias(p), F.col("n").alias(f"n_{p}"),
-                                     F.col("bitmap").alias(f"bitmap_{p}"))
+    def side(p: str, *columns: str) -> DataFrame:
+        return sketches.select(F.col("key").alias(p), *[F.col(c).alias(f"{c}_{p}") for c in columns])
 
     def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -301,7 +306,12 @@ def ngram_jaccard_join(documents: DataFrame, width: int = 3, num: int = 9, den:
             fits = na + nb - 2 * overlap_needed(na, nb, num, den) >= differ
             yield pdf.loc[fits, ["a", "b"]]
 
-    pairs = proposed.where("nb = 0").select("a", "b").join(side("a"), "a").join(side("b"), "b") \
+    # shingles that the sets of a pair may have apart, and bits that their small bitmaps have apart
+    apart = f"n_a + n_b - 2 * (({num} * (n_a + n_b) + {num + den - 1}) div {num + den})"
+    differ = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in coarse)
+    near = materialize(proposed.where("nb = 0").select("a", "b").join(side("a", "n", *coarse), "a").join(side("b", "n", *coarse), "b")
+                       .where(f"{apart} >= {differ}").select("a", "b"), "ngram-near")
+    pairs = near.join(side("a", "n", "bitmap"), "a").join(side("b", "n", "bitmap"), "b") \
         .mapInPandas(bounded, "a long, b long")
     # members of long lists: every two blocks of a list meet in one task
     long_lists = proposed.where("nb > 0").select("token", F.col("a").alias("key"), "nb").join(
