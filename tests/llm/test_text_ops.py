@@ -228,3 +228,17 @@ def test_line_dedup_recall(spark):
     want = sum(best[union.find(at[x])] != (d, i) for d, i, x in lines)
     got = dedup_lines(spark.read.parquet(f"{SF}/documents.parquet")).agg(F.sum("n_removed")).first()[0]
     assert 0.95 * want <= got <= want and want > 0
+
+
+def test_anchors_of_neighbouring_segments(monkeypatch):
+    """A text read in segments has the anchors of the whole text, each once."""
+    from tripdemand.llm import suffix_dedup
+    texts = [sentence(7, 900).encode(), b"short", sentence(8, 400).encode(), b"ab" * 700]
+    whole = [(i, p.tolist(), h.tolist()) for i, p, h in suffix_dedup.anchors(texts, 40)]
+    for segment in (40, 41, 64, 257):
+        monkeypatch.setattr(suffix_dedup, "SEGMENT", segment)
+        found = {}
+        for i, p, h in suffix_dedup.anchors(texts, 40):
+            found.setdefault(i, ([], []))[0].extend(p.tolist())
+            found[i][1].extend(h.tolist())
+        assert [(i, p, h) for i, (p, h) in sorted(found.items())] == whole

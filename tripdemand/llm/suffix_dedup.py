@@ -34,7 +34,8 @@ from tripdemand.llm.common import bounded_broadcast, ids_as_text, ids_back, mate
 from tripdemand.llm.text_hash import _BYTE_CODE, _Powers, chunks, mix64
 
 POSITION_BITS = 24
-SEGMENT = 1 << 23
+#: Bytes that are hashed at a time; longer texts are read in segments that overlap by a window.
+SEGMENT = 1 << 18
 #: Window starts that blocks of a hot anchor compare as one, by the bytes their windows share.
 STRETCH = 32
 FILTER_BITS = 1 << 27    # repeated anchors: 16 MB, whatever the corpus
@@ -69,7 +70,8 @@ def anchors(texts: list[bytes], length: int) -> Iterator[tuple[int, np.ndarray,
         for s in range(0, max(len(t) - length + 1, 0), SEGMENT - length + 1):
             pieces.append((i, s, t[s:s + SEGMENT]))
     mask = np.uint64((1 << POSITION_BITS) - 1)
-    for a, b in chunks([p[2] for p in pieces]):
+    last = (-1, -1)  # text and place of the anchor before: neighbouring segments of a text share one at their border
+    for a, b in chunks([p[2] for p in pieces], SEGMENT):
         part = pieces[a:b]
         buf = np.frombuffer(b"".join(p[2] for p in part), np.uint8)
         ends = np.cumsum([len(p[2]) for p in part])
@@ -83,7 +85,10 @@ def anchors(texts: list[bytes], length: int) -> Iterator[tuple[int, np.ndarray,
         cut = np.searchsorted(who, np.arange(len(part) + 1))
         for j, (i, s, _) in enumerate(part):
             p = pos[cut[j]:cut[j + 1]]
-            yield i, p - (ends[j - 1] if j else 0) + s, h[p].view(np.int64)
+            at = p - (ends[j - 1] if j else 0) + s
+            fresh = at > last[1] if i == last[0] else np.ones(len(at), bool)
+            last = (i, int(at[-1]))
+            yield i, at[fresh], h[p[fresh]].view(np.int64)
 
 
 def _matrix(rows: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
