@@ -348,7 +348,7 @@ def repeated_spans(documents: DataFrame, length: int = 400, group_bound: int = 8
     whole = sorted_spans.mapInPandas(merge, "h long, c long, lo array<int>, hi array<int>")
     placed = rows.where("pos >= 0").select("h", "c", "doc_id", "text_hash", "pos").join(whole, ["h", "c"]) \
         .select("doc_id", "text_hash", F.expr("transform(arrays_zip(lo, hi), x -> struct(pos + x.lo as lo, pos + x.hi as hi))").alias("s"))
-    return placed.groupBy("doc_id", "text_hash").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("spans"))
+    return placed.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_set("s")).alias("spans"))
 
 
 def remove_repeats(documents: DataFrame, length: int = 400, group_bound: int = 8192) -> DataFrame:
