@@ -8,8 +8,9 @@ proposals that carry their own proof: those that a checksum, an octet range or a
 count confirms or refutes. The threshold is calibrated on the half of
 them that was not fitted on; looser proposals that reach it are added to the valid base spans.
 
-The trees are fitted on the driver on at most ``train_rows`` distinct feature
-vectors with their counts over all documents, and applied as SQL expressions.
+The trees are fitted on all distinct feature vectors with their counts over all documents: on
+the driver where they are at most ``2 * train_rows``, else by histograms of gradients that Spark
+adds up. They are applied as SQL expressions.
 """
 
 from __future__ import annotations
@@ -152,6 +153,55 @@ class BoostedTrees:
                 leaves.append((second, values))
             self.trees.append((root, leaves))
 
+    def _split_sums(self, sums: list) -> tuple:
+        """(split, gradient, Hessian) of a node from its rows (feature, value, g, h), one per value of each feature."""
+        best, g, h = (1e-9, None), 0.0, 0.0
+        for f in sorted({r.feature for r in sums}):
+            own = sorted((r for r in sums if r.feature == f), key=lambda r: r.value)
+            gl, hl = np.cumsum([r.g for r in own]), np.cumsum([r.h for r in own])
+            if f == 0:
+                g, h = float(gl[-1]), float(hl[-1])
+            if len(own) < 2:
+                continue
+            gain = gl[:-1] ** 2 / (hl[:-1] + self.smooth) + (gl[-1] - gl[:-1]) ** 2 / (hl[-1] - hl[:-1] + self.smooth) \
+                - gl[-1] ** 2 / (hl[-1] + self.smooth)
+            k = int(gain.argmax())
+            if gain[k] > best[0]:
+                best = (float(gain[k]), (f, int(own[k].value)))
+        return best[1], g, h
+
+    def fit_table(self, rows: DataFrame, names: list[str]) -> None:
+        """``fit`` on the rows (features, pos, n) of a written table of any size.
+
+        Only sums per node, feature and value come to the driver; features are small integers.
+        """
+        x = [F.col(c) for c in names]
+        pos, n = rows.agg(F.sum("pos"), F.sum("n")).first()
+        share = float(np.clip(pos / n, 1e-4, 1 - 1e-4))
+        self.base = float(np.log(share / (1 - share)))
+        values = F.explode(F.array(*[F.struct(F.lit(i).alias("feature"), F.col(c).cast("long").alias("value"))
+                                     for i, c in enumerate(names)]))
+        for _ in range(self.rounds):
+            p = self.column(x)
+            shaped = rows.select(*names, (F.col("pos") - F.col("n") * p).alias("g"), (F.col("n") * p * (1 - p)).alias("h"))
+
+            def sums(node: Column, nodes: int) -> list[list]:
+                got = shaped.select(node.alias("node"), "g", "h", values.alias("v")).groupBy("node", "v.feature", "v.value") \
+                    .agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect()
+                return [[r for r in got if r.node == k] for k in range(nodes)]
+
+            root, _, _ = self._split_sums(sums(F.lit(0), 1)[0])
+            if root is None:
+                break
+            sides = sums(F.when(x[root[0]] <= root[1], 0).otherwise(1), 2)
+            splits = [self._split_sums(s)[0] for s in sides]
+            leaves = []
+            for second, side in zip(splits, sides):
+                on = [r for r in side if r.feature == (second[0] if second else 0)]
+                parts = [on] if second is None else [[r for r in on if r.value <= second[1]], [r for r in on if r.value > second[1]]]
+                leaves.append((second, [self.rate * sum(r.g for r in part) / (sum(r.h for r in part) + self.smooth) for part in parts]))
+            self.trees.append((root, leaves))
+
     def column(self, x: list[Column]) -> Column:
         """The score (0 to 1) as an expression over the feature columns."""
         z = F.lit(self.base)
@@ -168,14 +218,47 @@ class BoostedTrees:
         return 1 / (1 + np.exp(-z))
 
 
+#: Parts of the range of scores whose sums come to the driver when the threshold is found by Spark.
+SCORE_BINS = 4096
+
+
+def table_threshold(scored: DataFrame, precision: float) -> float:
+    """The lowest score (p) down to which the share of ``pos`` in ``n`` reaches ``precision``; 1.1 if none does.
+
+    Sums run from the highest score down: over bins on the driver, inside a bin over its different scores.
+    """
+    each = materialize(scored.groupBy("p").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+                       .withColumn("bin", F.floor(F.col("p") * SCORE_BINS).cast("int")), "pii-scores")
+    above, pos, n = [], 0, 0
+    for r in sorted(each.groupBy("bin").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).collect(), key=lambda r: -r.bin):
+        above.append((r.bin, pos, n))
+        pos, n = pos + r.pos, n + r.n
+    down = Window.partitionBy("bin").orderBy(F.desc("p"))
+    sums = each.join(F.broadcast(each.sparkSession.createDataFrame(above, "bin int, pos0 long, n0 long")), "bin") \
+        .select("p", (F.col("pos0") + F.sum("pos").over(down)).alias("pos"), (F.col("n0") + F.sum("n").over(down)).alias("n"))
+    lowest = sums.where(F.col("pos") / F.col("n") >= precision).agg(F.min("p")).first()[0]
+    return 1.1 if lowest is None else float(lowest)
+
+
 def fit_proposals(found: DataFrame, names: list[str], precision: float = 0.98, train_rows: int = 20_000):
-    """(trees, threshold) from the proposals whose proof is known; the most frequent
-    ``train_rows`` feature vectors of each half are used."""
+    """(trees, threshold) from all proposals whose proof is known.
+
+    Up to ``2 * train_rows`` different feature vectors are fitted on the driver, more by Spark; it
+    changes the way, not the model.
+    """
     counted = found.where("proof is not null").groupBy(*names, (F.pmod(F.xxhash64("span"), F.lit(2)) == 0).alias("fit")) \
-        .agg(F.sum(F.col("proof").cast("long")).alias("pos"), F.count("*").alias("n")) \
-        .orderBy(F.desc("n"), *names).limit(2 * train_rows).collect()
+        .agg(F.sum(F.col("proof").cast("long")).alias("pos"), F.count("*").alias("n"))
+    counted = materialize(counted, "pii-vectors")
     trees = BoostedTrees()
-    halves = {half: [r for r in counted if r.fit == half] for half in (True, False)}
+    if counted.limit(2 * train_rows + 1).count() > 2 * train_rows:
+        fit, rest = counted.where("fit"), counted.where("not fit")
+        if fit.isEmpty():
+            return trees, 1.1
+        trees.fit_table(fit, names)
+        held = fit if rest.isEmpty() else rest
+        return trees, table_threshold(held.select(trees.column([F.col(c) for c in names]).alias("p"), "pos", "n"), precision)
+    rows = counted.orderBy(F.desc("n"), *names).collect()
+    halves = {half: [r for r in rows if r.fit == half] for half in (True, False)}
 
     def arrays(rows):
         return (np.array([[r[c] for c in names] for r in rows], np.int64).reshape(len(rows), len(names)),
