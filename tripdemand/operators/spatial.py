@@ -111,14 +111,19 @@ class PolygonIndex:
                  max_broadcast_rows: int = DEFAULT_INDEX_BROADCAST_ROWS, max_edges: int = MAX_EDGES):
         self.max_broadcast_rows = max_broadcast_rows
         self.max_edges = max_edges
-        e = (edges.select(
-                F.struct(F.col("borough_code").cast("int").alias("borough_code"),
-                         F.col("polygon_id").cast("long").alias("polygon_id")).alias("poly"),
-                *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]).cache())
+        # Every table of the index is a reliable checkpoint in the shared
+        # checkpoint folder: an executor loss re-reads it instead of
+        # rebuilding, and plans that use the index see a plain scan. So are the
+        # edges: a cached table would keep the session's number of shuffle
+        # partitions, each a task that reports to the driver in every job below.
+        scratch_root(edges.sparkSession)
+        edges = edges.select(F.col("borough_code").cast("int").alias("borough_code"), "borough",
+                             F.col("polygon_id").cast("long").alias("polygon_id"),
+                             *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]).checkpoint(eager=True)
+        e = edges.select(F.struct("borough_code", "polygon_id").alias("poly"), "x1", "y1", "x2", "y2")
         # Borough names by code, one row per borough (the edge table already
         # carries one name per code).
-        names = (edges.groupBy(F.col("borough_code").cast("int").alias("_code"))
-                 .agg(F.min("borough").alias("_name")))
+        names = edges.groupBy(F.col("borough_code").alias("_code")).agg(F.min("borough").alias("_name"))
         # One aggregate row: the bounding box of every edge.
         box = e.agg(F.min(F.least("x1", "x2")).alias("minx"), F.max(F.greatest("x1", "x2")).alias("maxx"),
                     F.min(F.least("y1", "y2")).alias("miny"), F.max(F.greatest("y1", "y2")).alias("maxy"),
@@ -136,15 +141,10 @@ class PolygonIndex:
             self.gy0 = box["miny"] - 2 * self.delta
             self.ncols = int(math.ceil(w / self.delta)) + 4
             self.nrows = int(math.ceil(h / self.delta)) + 4
-        # Every table of the index is a reliable checkpoint in the shared
-        # checkpoint folder: an executor loss re-reads it instead of
-        # rebuilding, and plans that use the index see a plain scan.
-        scratch_root(edges.sparkSession)
         self._build(e)
         self.names = names.checkpoint(eager=True)
         # Names have at most one row per edge: the edge count bounds them.
         self.n_names = box["n"] if box else 0
-        e.unpersist()
 
     # -- geometry of the cells (the same expressions at build and at lookup) --
     def _size(self, level: int) -> float:
