@@ -1,7 +1,9 @@
 """Templates of hosts with empty pages or few pages; text that no rule may drop."""
 
+import numpy as np
+
 from tests.llm.test_pages_vectors import page
-from tripdemand.llm.html_extract import extract_main_text, main_text
+from tripdemand.llm.html_extract import _hash, deduce_templates, extract_main_text, main_text
 
 
 def test_template_with_an_empty_page_and_on_small_hosts(spark):
@@ -54,3 +56,45 @@ def test_headings_that_articles_share_stay(spark):
             f"<h2>Method</h2><p>End {i} of it.</p></article><div>Fixed foot line</div>")) for i in range(n)]
         got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
         assert got == {i: f"Summary Story {i} with words {i * 7}. Method End {i} of it." for i in range(n)}
+
+
+def classes(spark, bodies):
+    rows = [(i, f"http://h.example/{i}", page(body)) for i, body in enumerate(bodies)]
+    found = deduce_templates(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r.token: r for r in found}
+
+
+def token(text, path):
+    return int(np.uint64(_hash(f"text {path} {text}")).astype(np.int64))
+
+
+def test_classes_are_ordered_and_nested(spark):
+    """One class around another in a gap; tokens that change places stand alone; of two that cross one is taken apart."""
+    path = "/html/body/p"
+    bodies = [f"<p>one</p>{'<p>in</p><p>out</p>' if i < 8 else ''}<p>two</p><p>{'x' if i % 2 else 'y'} {i}</p>"
+              f"<p>{'left' if i % 2 else 'right'}</p><p>{'right' if i % 2 else 'left'}</p>{'<p>far</p>' if 2 < i else ''}" for i in range(12)]
+    bodies = [b.replace("<p>in</p>", "<p>in</p><p>far, too</p>") if i > 2 else b for i, b in enumerate(bodies)]
+    found = classes(spark, bodies)
+    one, two, inner, outer = (found[token(t, path)] for t in ("one", "two", "in", "out"))
+    assert one["class"] == two["class"] and one.place < two.place and one.class_size == two.class_size
+    assert inner["class"] == outer["class"] and (inner.place, outer.place, inner.class_size) == (0, 1, 2)
+    for t in ("left", "right"):
+        assert (found[token(t, path)].class_size, found[token(t, path)].place) == (1, 0)
+    assert found[token("left", path)].around == one["class"]
+
+    cross = [f"<p>one</p>{'<p>a</p>' if i < 8 else ''}<p>two</p>{'<p>b</p>' if i < 8 else ''}<p>three {i}</p>" for i in range(12)]
+    found = classes(spark, cross)
+    one, two, a, b = (found[token(t, path)] for t in ("one", "two", "a", "b"))
+    assert one["class"] == two["class"] == a.around == b.around and a["class"] != b["class"]
+    assert a.gap == one.place and b.gap == two.place == one.place + 1
+
+
+def test_what_stands_in_changing_gaps_is_no_template(spark):
+    """A remark on two thirds of the pages, but under another heading each time, is text of the pages."""
+    rows = []
+    for i in range(12):
+        parts = [f"<div><span>Part {k}</span></div><p>Story {i} {k} with words {i * 7}.</p>" + ("<p>The same remark.</p>" if i % 4 == k else "")
+                 for k in range(3)]
+        rows.append((i, f"http://h.example/{i}", page("<div><span>Fixed head line</span></div>" + "".join(parts))))
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: " ".join(f"Story {i} {k} with words {i * 7}." + (" The same remark." if i % 4 == k else "") for k in range(3)) for i in range(12)}

@@ -3,8 +3,12 @@
 A page is a sequence of tokens: tags with the path of their open elements, and the
 texts of blocks at their paths. The occurrence vector of a token lists how often
 each page of its host holds it. Tokens of one host with equal vectors form
-an equivalence class; the classes on at least half of the host's pages form the
-host's template. Classes are not nested by the order of their tokens. What the template does not fix are its slots. Of these the
+an equivalence class, if they are on at least half of the host's pages. A class is ordered: its tokens follow each
+other in the same order on all pages, once per instance; tokens that do not are classes of their own. Classes are nested:
+between two tokens of a class, in one of its gaps, whole instances of other classes stand. Where two classes cross,
+the one on fewer pages is taken apart into its tokens. The role of an instance is the gap that holds it, with the gaps around that.
+The classes that have one role on at least half of the host's pages form the host's template, a tree. What the template does not fix are its
+slots. Of these the
 main text is taken: slots inside an article, or else inside the smallest element that
 holds all text outside links, without those that their tags or class names
 show to be navigation, adverts, notices, forms, comments and the like, and, outside
@@ -13,7 +17,7 @@ articles, without block texts that the template itself holds.
 Vectors are never gathered: a token's vector is summed up as two commutative
 fingerprints (sums of hashes of page and count), which Spark adds up with
 partial aggregates, so a host with a third of all pages costs one row per task
-and token.
+and token. So are places (smallest and largest), crossings and gaps, from the token sequences of the pages, which are kept as hashes.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripdemand.llm.common import bounded_broadcast, ids_as_text, ids_back, materialize
@@ -73,11 +77,12 @@ _SPACE = re.compile(r"\s+")
 class Block:
     """A run of text between block boundaries: where it stands, and whether its surroundings rule it out."""
 
-    __slots__ = ("path", "text", "article", "ruled_out", "linked", "named")
+    __slots__ = ("path", "text", "article", "ruled_out", "linked", "named", "at")
 
-    def __init__(self, path: str, text: str, article: int, ruled_out: bool, linked: int, named: tuple[tuple[int, int], ...]):
+    def __init__(self, path: str, text: str, article: int, ruled_out: bool, linked: int, named: tuple[tuple[int, int], ...], at: int):
         self.path, self.text, self.article, self.ruled_out, self.linked = path, text, article, ruled_out, linked
         self.named = named  # (number, article around it) of each element above that is named like boilerplate
+        self.at = at  # number of tag tokens before its end
 
 
 @functools.lru_cache(4096)
@@ -123,7 +128,7 @@ def parse(page: str | None) -> tuple[list[Block], list[str]]:
             top = next((s for s in reversed(stack) if s[0] not in INLINE and s[0] not in SKIPPED), None)
             where = next((s for s in reversed(stack) if s[0] not in SKIPPED), None)
             blocks.append(Block(top[1] if top else "", text, where[3] if where else 0, bool(where and where[2]), state["linked"],
-                                where[4] if where else ()))
+                                where[4] if where else (), len(tokens)))
         state["linked"] = 0
 
     def close_to(i: int) -> None:
@@ -158,8 +163,9 @@ def parse(page: str | None) -> tuple[list[Block], list[str]]:
                 if tag in CLOSES_P:
                     flush()
             elif not (tag in INLINE and any(s[0] not in INLINE for s in stack[i + 1:])):
-                tokens.append(f"/{stack[i][1]}")
+                closed = f"/{stack[i][1]}"
                 close_to(i)
+                tokens.append(closed)
             continue
         if tag in ("br", "hr"):
             parts.append(" ")
@@ -223,54 +229,185 @@ def _hash(text: str) -> int:
     return zlib.crc32(raw) << 32 | zlib.adler32(raw)
 
 
-def page_tokens(blocks: list[Block], tokens: list[str]) -> dict[int, int]:
-    """Count of every token of a page: tags at their paths, block texts at their paths."""
-    out: dict[int, int] = {}
-    for t in tokens:
-        k = _hash(f"tag {t}")
-        out[k] = out.get(k, 0) + 1
+def page_sequence(blocks: list[Block], tokens: list[str]) -> list[int]:
+    """The tokens of a page in page order: tags at their paths, block texts at their paths."""
+    out: list[int] = []
+    done = 0
     for b in blocks:
-        k = _hash(f"text {b.path} {b.text}")
-        out[k] = out.get(k, 0) + 1
-        k = _hash(f"slot {b.path}")
-        out[k] = out.get(k, 0) + len(b.text)
+        out += [_hash(f"tag {t}") for t in tokens[done:b.at]]
+        out.append(_hash(f"text {b.path} {b.text}"))
+        done = b.at
+    return out + [_hash(f"tag {t}") for t in tokens[done:]]
+
+
+def places(sequence: list[int], class_of: dict[int, int]) -> dict[int, int]:
+    """Place of each token of the page in its class: 0, 1, ... if the page repeats the class in one order, else -1."""
+    found: dict[int, list[int]] = {}
+    for t in sequence:
+        if t in class_of:
+            found.setdefault(class_of[t], []).append(t)
+    out: dict[int, int] = {}
+    for held in found.values():
+        order = list(dict.fromkeys(held))
+        ordered = held == order * (len(held) // len(order))
+        out.update((t, i if ordered else -1) for i, t in enumerate(order))
     return out
 
 
-def deduce_templates(pages: DataFrame, min_pages: int = 2, support: float = 0.5) -> DataFrame:
-    """(host, token, class_size, total, pages): the tokens of each host's template.
+def nesting(sequence: list[int], place: dict[int, tuple[int, int, int]]) -> tuple[set[tuple[int, int, int, int]], set[tuple[int, int]]]:
+    """({(class, class around it or 0, its gap or -1, hash of all gaps around it)}, {two classes that cross}) of a page.
 
-    A class is valid on at least two pages and a share of ``support`` of the host's pages. Pages
-    without tokens (null, empty, no markup and no text) are no pages of the host here.
+    ``place`` gives the class of a token, its place there, and the size of the class.
     """
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            held: dict[tuple[str, int], list[int]] = {}
-            for number, (url, page) in enumerate(zip(pdf["url"], pdf["html"])):
-                host = host_of(url)
+    inside: set[tuple[int, int, int, int]] = set()
+    crossed: set[tuple[int, int]] = set()
+    begun: list[tuple[int, int, int]] = []  # (class, gap, hash of the gaps around) of the instances that have not ended
+    for t in sequence:
+        if t not in place:
+            continue
+        c, at, size = place[t]
+        if at == 0:
+            around, gap, above = begun[-1] if begun else (0, -1, 0)
+            role = _hash(f"{above} {around} {gap}") >> 1 if begun else 0
+            inside.add((c, around, gap, role))
+            if size > 1:
+                begun.append((c, 0, role))
+            continue
+        i = next(k for k in range(len(begun) - 1, -1, -1) if begun[k][0] == c)
+        crossed.update((min(c, e), max(c, e)) for e, _, _ in begun[i + 1:])
+        if at < size - 1:
+            begun[i] = c, at, begun[i][2]
+        else:
+            del begun[i]
+    return inside, crossed
+
+
+def _signed(x: int) -> int:
+    return x if x < 1 << 63 else x - (1 << 64)
+
+
+def _sequences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(host, page, tokens): a row per page that has tokens; ``page`` is a hash that tells pages apart."""
+    for pdf in batches:
+        rows = []
+        for number, (url, page) in enumerate(zip(pdf["url"], pdf["html"])):
+            tokens = page_sequence(*parse(page))
+            if tokens:
                 seed = _hash(f"{url} {number}") ^ zlib.crc32((page or "").encode("utf-8", "surrogatepass"))
-                found = page_tokens(*parse(page))
-                if not found:
-                    continue
-                found |= {0: 1}
-                keys = np.fromiter(found.values(), np.uint64, len(found)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
-                prints = mix64(keys)
-                for t, f, n in zip(found, prints.tolist(), found.values()):
-                    entry = held.setdefault((host, t), [0, 0, 0])
-                    entry[0] += 1
-                    entry[1] = (entry[1] + (f >> 8)) & (1 << 62) - 1
-                    entry[2] += n
-            yield pd.DataFrame([(h, t if t < 1 << 63 else t - (1 << 64), *v) for (h, t), v in held.items()],
-                               columns=["host", "token", "pages", "vector", "total"])
-
-    counted = pages.select("url", "html").mapInPandas(count, "host string, token long, pages long, vector long, total long") \
+                rows.append((host_of(url), _signed(seed), np.asarray(tokens, np.uint64).view(np.int64)))
+        yield pd.DataFrame(rows, columns=["host", "page", "tokens"])
+
+
+def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        held: dict[tuple[str, int], list[int]] = {}
+        for host, seed, tokens in zip(pdf["host"], pdf["page"], pdf["tokens"]):
+            found = {0: 1}
+            for t in tokens.tolist():
+                found[t] = found.get(t, 0) + 1
+            keys = np.fromiter(found.values(), np.uint64, len(found)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed % (1 << 64))
+            for t, f, n in zip(found, mix64(keys).tolist(), found.values()):
+                entry = held.setdefault((host, t), [0, 0, 0])
+                entry[0] += 1
+                entry[1] = (entry[1] + (f >> 8)) & (1 << 62) - 1
+                entry[2] += n
+        yield pd.DataFrame([(*k, *v) for k, v in held.items()], columns=["host", "token", "pages", "vector", "total"])
+
+
+def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        held: dict[tuple[str, int], tuple[int, int]] = {}
+        for host, tokens, known, classes in zip(pdf["host"], pdf["tokens"], pdf["known"], pdf["classes"]):
+            for t, at in places(tokens.tolist(), dict(zip(known.tolist(), classes.tolist()))).items():
+                low, high = held.get((host, t), (at, at))
+                held[host, t] = min(low, at), max(high, at)
+        yield pd.DataFrame([(*k, *v) for k, v in held.items()], columns=["host", "token", "first", "last"])
+
+
+def _nesting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(host, class, around, gap, role, pages); the gap is -2 where the two classes cross."""
+    for pdf in batches:
+        held: dict[tuple[str, int, int, int, int], int] = {}
+        for host, tokens, known, classes, at, sizes in zip(*(pdf[c] for c in ("host", "tokens", "known", "classes", "places", "sizes"))):
+            inside, crossed = nesting(tokens.tolist(), dict(zip(known.tolist(), zip(classes.tolist(), at.tolist(), sizes.tolist()))))
+            for key in inside | {(a, b, -2, 0) for a, b in crossed}:
+                held[host, *key] = held.get((host, *key), 0) + 1
+        yield pd.DataFrame([(*k, v) for k, v in held.items()], columns=["host", "class", "around", "gap", "role", "pages"])
+
+
+def _taken_apart(pairs: pd.DataFrame) -> pd.DataFrame:
+    """The classes of a host that go, so that no two of the others cross: those on fewer pages, then the smaller ones."""
+    rank = {c: (-n, -size, c) for side in "ab" for c, n, size in zip(*(pairs[f"{side}{x}"] for x in ("", "_pages", "_size")))}
+    crossing: dict[int, set[int]] = {c: set() for c in rank}
+    for a, b in zip(pairs["a"], pairs["b"]):
+        crossing[a].add(b)
+        crossing[b].add(a)
+    stay: set[int] = set()
+    for c in sorted(rank, key=rank.__getitem__):
+        if not crossing[c] & stay:
+            stay.add(c)
+    return pd.DataFrame([(pairs["host"].iloc[0], c) for c in rank if c not in stay], columns=["host", "class"])
+
+
+def _sized(tokens: DataFrame) -> DataFrame:
+    """``tokens`` with the places in each class numbered from 0, and class_size."""
+    of_class = Window.partitionBy("host", "class")
+    return tokens.withColumn("place", F.row_number().over(of_class.orderBy("place", "token")) - 1) \
+        .withColumn("class_size", F.count("*").over(of_class))
+
+
+def _beside(sequences: DataFrame, tokens: DataFrame, hosts_at_once: int, **columns: str) -> DataFrame:
+    """The pages of ``sequences`` with their host's tokens as arrays, which a page's length bounds, not the number of pages."""
+    arrays = tokens.groupBy("host").agg(F.collect_list(F.struct("token", *columns.values())).alias("all")) \
+        .select("host", F.col("all.token").alias("known"), *[F.col(f"all.{c}").alias(name) for name, c in columns.items()])
+    return sequences.join(bounded_broadcast(materialize(arrays, "html-classes"), hosts_at_once), "host")
+
+
+def deduce_templates(pages: DataFrame, min_pages: int = 2, support: float = 0.5, hosts_at_once: int = 4_000) -> DataFrame:
+    """(host, token, class, place, class_size, around, gap, total, pages): the tokens of each host's template.
+
+    A class is valid on at least two pages and a share of ``support`` of the host's pages, and in the template if
+    it has one role, that is, stands in the same gaps of the classes around it, on that share. ``place`` is the token's place in its class; ``around`` and
+    ``gap`` tell the class around it and after which place there it stands (0 and -1: none). Pages
+    without tokens (null, empty, no markup and no text) are no pages of the host here.
+    """
+    sequences = materialize(pages.select("url", "html").mapInPandas(_sequences, "host string, page long, tokens array<long>"), "html-sequences")
+    counted = sequences.mapInPandas(_counts, "host string, token long, pages long, vector long, total long") \
         .groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum(F.expr("vector & 281474976710655")).alias("low"),
                                       F.sum(F.expr("shiftright(vector, 48)")).alias("high"), F.sum("total").alias("total"))
     counted = materialize(counted.where("pages > 1 or token = 0"), "html-tokens")
     hosts = counted.where("token = 0").select("host", F.col("pages").alias("all_pages")).where(F.col("all_pages") >= min_pages)
-    supported = counted.where("token <> 0").join(hosts, "host").where(F.col("pages") >= support * F.col("all_pages"))
-    classes = supported.groupBy("host", "pages", "low", "high").agg(F.count("*").alias("class_size"))
-    return supported.join(classes, ["host", "pages", "low", "high"]).select("host", "token", "class_size", "total", "pages")
+    supported = materialize(counted.where("token <> 0").join(hosts, "host").where(F.col("pages") >= support * F.col("all_pages"))
+                            .withColumn("class", F.xxhash64("pages", "low", "high")), "html-supported")
+
+    # in order: what has the same place in its class on all pages stays together
+    order = _beside(sequences, supported, hosts_at_once, classes="class") \
+        .mapInPandas(_places, "host string, token long, first long, last long") \
+        .groupBy("host", "token").agg(F.min("first").alias("place"), F.max("last").alias("last"))
+    ordered = materialize(_sized(supported.join(order, ["host", "token"]).withColumn(
+        "class", F.when(F.expr("place = last and place >= 0"), F.col("class")).otherwise(F.col("token")))
+        .select("host", "token", "class", "place", "total", "pages", "all_pages")), "html-ordered")
+
+    # nested: no two classes cross
+    def nested(tokens: DataFrame) -> DataFrame:
+        found = _beside(sequences, tokens, hosts_at_once, classes="class", places="place", sizes="class_size") \
+            .mapInPandas(_nesting, "host string, class long, around long, gap long, role long, pages long")
+        return materialize(found.groupBy("host", "class", "around", "gap", "role").agg(F.sum("pages").alias("held")), "html-nesting")
+
+    inside = nested(ordered)
+    crossing = inside.where("gap = -2").select("host", F.col("class").alias("a"), F.col("around").alias("b"))
+    if not crossing.isEmpty():
+        known = ordered.where("place = 0").select("host", "class", "pages", "class_size")
+        for side in "ab":
+            crossing = crossing.join(known.select("host", F.col("class").alias(side), F.col("pages").alias(f"{side}_pages"),
+                                                  F.col("class_size").alias(f"{side}_size")), ["host", side])
+        gone = materialize(crossing.groupBy("host").applyInPandas(_taken_apart, "host string, class long"), "html-crossing")
+        ordered = materialize(_sized(ordered.drop("class_size").join(gone.withColumn("gone", F.lit(True)), ["host", "class"], "left").withColumn(
+            "class", F.when(F.col("gone"), F.col("token")).otherwise(F.col("class"))).drop("gone")), "html-ordered")
+        inside = nested(ordered)
+    roles = inside.groupBy("host", "class").agg(F.max(F.struct("held", "around", "gap", "role")).alias("role"))
+    return ordered.join(roles, ["host", "class"]).where(F.col("role.held") >= support * F.col("all_pages")) \
+        .select("host", "token", "class", "place", "class_size", "role.around", "role.gap", "total", "pages")
 
 
 def main_text(page: str | None, template: dict[int, int]) -> str:
@@ -340,7 +477,7 @@ def extract_main_text(pages: DataFrame, min_pages: int = 2, broadcast_rows: int
     without any block of main text. Null and odd urls share the host "". Repeated rows give a row
     each. Other columns are ignored; an empty table gives an empty result.
     """
-    template = materialize(deduce_templates(pages, min_pages).groupBy("host").agg(
+    template = materialize(deduce_templates(pages, min_pages, hosts_at_once=broadcast_rows // 50).groupBy("host").agg(
         F.sort_array(F.collect_set("token")).alias("tokens"),
         F.sort_array(F.collect_set(F.when(F.col("pages") < FIRM_PAGES, F.col("token")))).alias("weak")), "html-templates")
     keyed = pages.select("page_id", "url", "html", F.lower(F.coalesce(F.regexp_extract(
