@@ -1,10 +1,12 @@
 """Line deduplication: every near copy of a hot template, edits of one character, rows without a key."""
 
+import random
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import SF, frame, sentence
-from tripdemand.llm.line_dedup import WIDTH, dedup_lines, shingles
+from tripdemand.llm.line_dedup import WIDTH, _likely, _links, _prefix_pairs, dedup_lines, shingles
 
 
 def removed(spark, texts, **options):
@@ -83,3 +85,39 @@ def test_lines_are_shingled_once(spark, monkeypatch):
     monkeypatch.setattr("tripdemand.llm.line_dedup.shingles", counted)
     got = removed(spark, ["the same line in every row"] * 50 + ["the same line in every raw", "other"], width=WIDTH)
     assert len(got) == 50 and seen[0] == (3, 3) and all(n == distinct for n, distinct in seen)
+
+
+def test_bitmaps_drop_pairs_far_below_the_threshold_only(spark):
+    """Pairs of 5-character shingle sets, against brute force: none at 0.8 goes, nearly all below 0.5 go. Repeats count once."""
+    texts = []
+    for i in range(60):
+        words = sentence(400 + i, 40).split()
+        other = sentence(900 + i, 40).split()
+        n = i % 20  # words that differ
+        texts += [" ".join(words), " ".join(words[:40 - n] + other[:n])]
+    texts += ["ab" * 200, "ab" * 200 + "c", "z" * 50, "z" * 300]
+
+    def shingle_set(x):
+        return {x[k:k + 5] for k in range(max(len(x) - 4, 1))}
+
+    lines = spark.createDataFrame(list(enumerate(texts)), "key long, line string")
+    pairs = spark.createDataFrame([(k, k + 1) for k in range(0, len(texts), 2)], "a long, b long")
+    jaccard = {k: len(shingle_set(texts[k]) & shingle_set(texts[k + 1])) / len(shingle_set(texts[k]) | shingle_set(texts[k + 1]))
+               for k in range(0, len(texts), 2)}
+    got = {r.a for r in _likely(pairs, lines, 0.8, WIDTH).collect()}
+    assert {k for k, j in jaccard.items() if j >= 0.8} <= got
+    low = {k for k, j in jaccard.items() if j < 0.5}
+    assert len(low) >= 10 and len(got & low) <= 0.1 * len(low)
+    assert {r.a for r in _links(pairs, lines, 0.8, WIDTH).collect()} == {k for k, j in jaccard.items() if j >= 0.8}
+
+
+def test_prefix_join_makes_few_pairs(spark):
+    """Lines that share their rarest shingles but are far below the threshold are not paired; near copies are."""
+    texts = []
+    for i in range(40):  # 20 of 60 words each, apart so that all shingles but those of the label are common
+        words = "-----".join(f"w{k:02d}{chr(97 + k % 26) * 4}" for k in random.Random(i).sample(range(60), 20))
+        texts += [f"label{i // 2:03d}x-----{words}", f"label{i // 2:03d}x-----{words}#"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "key long, line string")
+    member = rows.select("key", F.col("key").alias("component"))
+    got = {(r.a, r.b) for r in _prefix_pairs(member, rows, 0.8, WIDTH).distinct().collect()}
+    assert got == {(2 * i, 2 * i + 1) for i in range(40)}

@@ -15,6 +15,10 @@ comparison inside; the lines of a bucket that are in different components after
 are paired with each other, directly where few lines are outside the bucket's largest
 component, and else by an exact prefix filter (rarest shingles first, bounded
 by position), which finds every pair at the threshold.
+
+Before shingle sets are compared, and in the join of the prefix filter, pairs are held against
+bitmaps of the sets: the bits in which two differ are at most the shingles that only one
+has, so a pair that differs in too many cannot be at the threshold.
 """
 
 from __future__ import annotations
@@ -31,6 +35,9 @@ WIDTH = 5
 CHUNK = 16
 #: Words of the fixed-size filter of candidate lines: 2**18 rows of 64 bits, whatever the corpus.
 FILTER_WORDS = 1 << 18
+#: Words of 64 bits of a line's bitmap: a bit is set if a shingle falls on it; and, in the prefix filter, if an odd number does.
+BITMAP_WORDS = 16
+PARITY_WORDS = 4
 
 
 def shingle_hashes(line: Column) -> Column:
@@ -84,11 +91,35 @@ def shingle_set(line: Column, width: int | None) -> Column:
         F.sequence(F.lit(1), F.greatest(F.length(c) - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.substring(c, i, F.lit(width)))))))
 
 
+def _words(shingle: str, n: int, aggregate) -> list[Column]:
+    """Bitmap of the hashes in the column ``shingle`` in n words b0, b1, ..., a power of two, by ``aggregate``."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.expr(f"cast(shiftright({shingle}, {n.bit_length() - 1}) & 63 as int)"))
+    return [F.coalesce(aggregate(F.when(F.expr(f"{shingle} & {n - 1}") == w, bit)), F.lit(0).cast("long")).alias(f"b{w}") for w in range(n)]
+
+
+def _alike(left: str, right: str, n: int, threshold: float) -> str:
+    """SQL condition that all pairs at the threshold t meet: the shingles of only one are at most (1 - t) / (1 + t) (|A| + |B|)."""
+    differ = " + ".join(f"bit_count({left}.b{w} ^ {right}.b{w})" for w in range(n))
+    return f"{differ} <= {(1 - threshold) / (1 + threshold)} * ({left}.size + {right}.size) + 1e-6"
+
+
+def _likely(pairs: DataFrame, lines: DataFrame, threshold: float, width: int | None) -> DataFrame:
+    """The rows of ``pairs`` (a, b) less those whose bitmaps show that they are below ``threshold``."""
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
+    # repeats of a shingle make the size larger, which lets more pairs pass
+    bitmaps = shingles(_wanted(keys, lines), width).groupBy("key").agg(F.count("*").alias("size"), *_words("h", BITMAP_WORDS, F.bit_or))
+    bitmaps = materialize(bitmaps, "line-bitmaps")
+    p, l, r = pairs.alias("p"), bitmaps.alias("l"), bitmaps.alias("r")
+    return materialize(p.join(l, F.col("p.a") == F.col("l.key")).join(r, F.col("p.b") == F.col("r.key"))
+                       .where(_alike("l", "r", BITMAP_WORDS, threshold)).select("a", "b"), "line-likely")
+
+
 def _links(pairs: DataFrame, lines: DataFrame, threshold: float, width: int | None) -> DataFrame:
     """The rows of ``pairs`` (a, b) whose shingle sets have at least the Jaccard similarity ``threshold``.
 
     The texts travel, not the sets, which are several times as large.
     """
+    pairs = _likely(pairs, lines, threshold, width)
     held = _wanted(pairs.select(F.col("a").alias("key")).union(pairs.select("b")), lines)
     both = pairs.join(held.select(F.col("key").alias("a"), F.col("line").alias("la")), "a") \
         .join(held.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b")
@@ -146,15 +177,18 @@ def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float, width:
         .select("key", "component", F.size("h").alias("size"), F.explode("h").alias("shingle"))
     counts = held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     ranked = held.join(counts, "shingle", "left").groupBy("key", "component", "size").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("order"))
-    probe = materialize(ranked.select("key", "component", "size", F.posexplode(F.slice(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("order"),
+        *_words("shingle", PARITY_WORDS, F.bit_xor))
+    words = [f"b{w}" for w in range(PARITY_WORDS)]
+    probe = materialize(ranked.select("key", "component", "size", *words, F.posexplode(F.slice(
         "order", 1, F.expr(f"cast(size - ceil({t} * size - 1e-9) + 1 as int)"))).alias("place", "at"))
-        .where("at.n > 1").select("key", "component", "size", "place", F.col("at.shingle").alias("shingle")), "line-prefixes")
+        .where("at.n > 1").select("key", "component", "size", *words, "place", F.col("at.shingle").alias("shingle")), "line-prefixes")
     index = probe.where(f"place <= size - ceil({least} * size - 1e-9)")
     main = _main_components(probe, "shingle").select("shingle", "main")
     index, probe = index.join(main, "shingle"), probe.join(main, "shingle")
     enough = f"l.size <= r.size and l.size >= {t} * r.size - 1e-9 and " \
-        f"least(l.size - l.place, r.size - r.place) >= {least / 2} * (l.size + r.size) - 1e-9"
+        f"least(l.size - l.place, r.size - r.place) >= {least / 2} * (l.size + r.size) - 1e-9 and " \
+        f"{_alike('l', 'r', PARITY_WORDS, t)}"
     return _across(index.where("component <> main"), probe, "shingle", enough).union(
         _across(index.where("component = main"), probe.where("component <> main"), "shingle", enough))
 
