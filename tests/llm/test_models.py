@@ -44,6 +44,19 @@ def test_unigram_viterbi_is_the_best_path():
         assert abs(model.scores[got].sum() - best[len(word)]) < 1e-9
 
 
+def test_encoder_holds_few_words_at_a_time(monkeypatch):
+    """A batch of many long texts is cut into words in slices; rare characters and runs of spaces among them; the ids are the library's."""
+    model = load_model(queries.PIECE_MODEL)
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL)
+    texts = [" ".join(f"w{k}x{i}é" for k in range(10_000)) + f"  你{i}🤖 \u0378 end" for i in range(8)]
+    texts += [None, "", "你" * 40 + " \u0378\u0379", texts[0]]
+    seen, whole = [], model.encode_words
+    monkeypatch.setattr(model, "encode_words", lambda words: seen.append(sum(map(len, words))) or whole(words))
+    for text, ids in zip(texts, Encoder(model).encode(texts), strict=True):
+        assert ids.tolist() == library.encode(text or "")
+    assert sum(seen) > 600_000 and max(seen) <= 1 << 19
+
+
 def test_encode_frames(spark):
     rows = awkward()
     out = encode_texts(frame(spark, rows), queries.PIECE_MODEL)

@@ -40,7 +40,11 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Words are padded to the next of these lengths (then to powers of two).
 LENGTHS = (4, 6, 8, 10, 12, 16, 24, 32, 48, 64)
-CACHE_WORDS = 1 << 19
+#: Words that an encoder keeps, and characters of texts that it cuts into words at a time: what a worker holds beside its batch.
+CACHE_WORDS = 1 << 18
+SLICE_CHARS = 1 << 19
+#: Slots of the marks by which most substrings that are no piece are passed over before the search.
+MARK_SLOTS = 1 << 20
 #: Slots of the table of pairs already decided, and the mark of an empty one.
 PAIR_SLOTS = 1 << 20
 NO_PAIR = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -68,6 +72,15 @@ def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
         yield tag >> 3, value
 
 
+def in_order(places: np.ndarray, flat: np.ndarray, sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``flat``, of these sizes, put in the order of their places (of one place: as they come), and the size of each of n places."""
+    order = np.argsort(places, kind="stable")
+    size = sizes[order]
+    starts = (np.cumsum(sizes) - sizes)[order]
+    at = np.repeat(starts - np.cumsum(size) + size, size) + np.arange(size.sum())
+    return flat[at], np.bincount(places, weights=sizes, minlength=n).astype(np.int64)
+
+
 class PieceModel:
     """Arrays of a SentencePiece model: what the Viterbi pass and decoding need.
 
@@ -111,6 +124,7 @@ class PieceModel:
         keys = np.array([self.hash_of(p) for p in text_of], np.uint64)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.fromiter(text_of.values(), np.int64, len(text_of))[order]
+        self.marks = np.zeros(1, bool)
         self.asked, self.answers = np.full(1, NO_PAIR), np.zeros(1, bool)
         self.bigrams = np.unique(np.array(
             [ord(a) << 32 | ord(b) for p in text_of for a, b in zip(p, p[1:])] or [0], np.uint64))
@@ -212,9 +226,9 @@ class PieceModel:
         cuts = [0, *(np.flatnonzero(self.bigrams[at] != key) + 1).tolist(), len(word)]
         return [word[x:y] for x, y in zip(cuts, cuts[1:])]
 
-    def _viterbi(self, words: list[str]) -> list[np.ndarray]:
-        """Best pieces of words (escaped, none empty), batched by padded length."""
-        out: list[np.ndarray] = [np.empty(0, np.int32)] * len(words)
+    def _viterbi(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Best pieces of words (escaped, none empty), batched by padded length: one after the other, and their numbers."""
+        places, flats, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.int64)]
         groups: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             n = len(w)
@@ -224,11 +238,13 @@ class PieceModel:
             step = max(1, (1 << 19) // (size * self.longest))
             for k in range(0, len(at), step):
                 part = at[k:k + step]
-                for i, ids in zip(part, self._advance([words[i] for i in part], size)):
-                    out[i] = ids
-        return out
+                flat, number = self._advance([words[i] for i in part], size)
+                places.append(np.array(part, np.int64))
+                flats.append(flat)
+                sizes.append(number)
+        return in_order(np.concatenate(places), np.concatenate(flats), np.concatenate(sizes), len(words))
 
-    def _advance(self, words: list[str], size: int) -> list[np.ndarray]:
+    def _advance(self, words: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
         n, longest = len(words), min(self.longest, size)
         cp = np.frombuffer("".join(w.ljust(size, "\0") for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size)
         code = mix64(cp.astype(np.uint64) + np.uint64(1))
@@ -244,8 +260,7 @@ class PieceModel:
         for i in range(1, size + 1):
             reach = np.arange(1, min(i, longest) + 1)
             key = prefix[:, i:i + 1] - prefix[:, i - reach] * power[reach]
-            at = np.minimum(np.searchsorted(self.keys, key.ravel()), len(self.keys) - 1).reshape(key.shape)
-            piece = np.where(self.keys[at] == key, self.ids[at], empty)
+            piece = self._lookup(key.ravel(), empty).reshape(key.shape)
             piece[:, 0] = np.where(piece[:, 0] < 0, unknown, piece[:, 0])
             before = last[:, i - reach]
             if self.kind == UNIGRAM:
@@ -258,7 +273,6 @@ class PieceModel:
             pick = score.argmax(axis=1)
             rows = np.arange(n)
             best[:, i], back[:, i], last[:, i] = score[rows, pick], reach[pick], piece[rows, pick]
-        found: list[list[int]] = [[] for _ in range(n)]
         end = lengths.copy()
         live = np.arange(n)
         steps = []
@@ -267,13 +281,27 @@ class PieceModel:
             steps.append((live, last[live, e], e))
             end[live] = e - back[live, e]
             live = live[end[live] > 0]
-        for rows, ids, e in reversed(steps):
-            for r, i, x in zip(rows.tolist(), ids.tolist(), e.tolist()):
-                if i == unknown:
-                    found[r].extend(self._bytes(words[r][x - 1]))
-                else:
-                    found[r].append(i)
-        return [np.array(f, np.int32) for f in found]
+        rows, ids, ends = (np.concatenate([s[k] for s in reversed(steps)]) for k in range(3))
+        sizes = np.ones(len(ids), np.int64)
+        strange = np.flatnonzero(ids == unknown)
+        if len(strange):
+            spelt = [self._bytes(words[r][x - 1]) for r, x in zip(rows[strange].tolist(), ends[strange].tolist())]
+            sizes[strange] = [len(b) for b in spelt]
+            ids = np.repeat(ids, sizes)
+            ids[ids == unknown] = [i for b in spelt for i in b]
+        return in_order(rows, ids.astype(np.int32), sizes, n)
+
+    def _lookup(self, keys: np.ndarray, empty: int) -> np.ndarray:
+        """Ids of the pieces with these hashes, ``empty`` where there is none."""
+        if len(self.marks) != MARK_SLOTS:
+            self.marks = np.zeros(MARK_SLOTS, bool)
+            self.marks[self.keys & np.uint64(MARK_SLOTS - 1)] = True
+        out = np.full(len(keys), empty, np.int64)
+        marked = np.flatnonzero(self.marks[keys & np.uint64(MARK_SLOTS - 1)])
+        asked = keys[marked]
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        out[marked] = np.where(self.keys[at] == asked, self.ids[at], empty)
+        return out
 
     def _bytes(self, char: str) -> list[int]:
         ids = self.byte_ids[list(char.encode("utf-8", "surrogatepass"))]
@@ -310,30 +338,30 @@ class PieceModel:
                 ids.extend([self.text_of[p]] if p in self.text_of else self._bytes(p))
         return np.array(ids, np.int32)
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Pieces of raw words (spaces not yet escaped)."""
-        out: list[np.ndarray | None] = [None] * len(words)
-        cut, owner = [], []
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of raw words (spaces not yet escaped), one after the other, and their numbers."""
+        merged: list[np.ndarray] = []
+        apart, cut, owner = [], [], []
         for i, w in enumerate(words):
             w = w.replace(" ", MARK)
             if self.kind == BPE and MARK + MARK in w:
                 head = len(w) - len(w.lstrip(MARK)) + 2 * self.longest
                 parts = self._cut(w[head:]) if len(w) > 4 * self.longest else []
+                apart.append(i)
                 if len(parts) > 1:  # only the run and what follows it up to a safe cut goes pair by pair
-                    ids = [self._merge(w[:head] + parts[0]), *self._viterbi(parts[1:])]
-                    out[i] = np.concatenate(ids)
+                    merged.append(np.concatenate([self._merge(w[:head] + parts[0]), self._viterbi(parts[1:])[0]]))
                 else:
-                    out[i] = self._merge(w)
-                continue
-            for p in self._cut(w) if len(w) > 24 else [w]:
-                cut.append(p)
+                    merged.append(self._merge(w))
+            elif len(w) > 24:
+                parts = self._cut(w)
+                cut += parts
+                owner += [i] * len(parts)
+            else:
+                cut.append(w)
                 owner.append(i)
-        found: dict[int, list[np.ndarray]] = {}
-        for i, ids in zip(owner, self._viterbi(cut)):
-            found.setdefault(i, []).append(ids)
-        for i, parts in found.items():
-            out[i] = parts[0] if len(parts) == 1 else np.concatenate(parts)
-        return out
+        flat, sizes = self._viterbi(cut)
+        return in_order(np.array(owner + apart, np.int64), np.concatenate([flat, *merged]),
+                        np.concatenate([sizes, np.array([len(m) for m in merged], np.int64)]), len(words))
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of pieces; byte pieces join to UTF-8 (broken sequences become U+FFFD)."""
@@ -358,6 +386,19 @@ class Encoder:
         self.flat, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Token ids of each text, in slices of ``SLICE_CHARS`` characters (a longer text is one of its own)."""
+        out: list[np.ndarray] = []
+        part: list[str | None] = []
+        chars = 0
+        for t in texts:
+            if part and chars + len(t or "") > SLICE_CHARS:
+                out += self._encode(part)
+                part, chars = [], 0
+            part.append(t)
+            chars += len(t or "")
+        return out + self._encode(part)
+
+    def _encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.index) > CACHE_WORDS:
             self._clear()
         lead = " " if self.model.prefix else ""
@@ -365,10 +406,10 @@ class Encoder:
         index = self.index
         new = list(dict.fromkeys(w for ws in split for w in ws if w not in index))
         if new:
-            parts = self.model.encode_words(new)
+            flat, sizes = self.model.encode_words(new)
             index.update(zip(new, range(len(index), len(index) + len(new))))
-            self.flat = np.concatenate([self.flat, *parts])
-            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, parts), np.int64, len(parts))])
+            self.flat = np.concatenate([self.flat, flat])
+            self.sizes = np.concatenate([self.sizes, sizes])
         starts = np.cumsum(self.sizes) - self.sizes
         out = []
         for ws in split:
