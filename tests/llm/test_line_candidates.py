@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import SF, frame, sentence
-from tripdemand.llm.line_dedup import WIDTH, _likely, _links, _prefix_pairs, dedup_lines, shingles
+from tripdemand.llm import line_dedup
+from tripdemand.llm.line_dedup import WIDTH, _buckets, _likely, _links, _prefix_pairs, dedup_lines, shingles
 
 
 def removed(spark, texts, **options):
@@ -121,3 +122,45 @@ def test_prefix_join_makes_few_pairs(spark):
     member = rows.select("key", F.col("key").alias("component"))
     got = {(r.a, r.b) for r in _prefix_pairs(member, rows, 0.8, WIDTH).distinct().collect()}
     assert got == {(2 * i, 2 * i + 1) for i in range(40)}
+
+
+def test_buckets_of_plain_and_crowded_bands(spark, monkeypatch):
+    """Every row of a band that several lines share, with the band's number, first and last key; the same where its cell is crowded."""
+    rows = [(k, k % 7) for k in range(5_000)] + [(k, 10_000 + k // 2) for k in range(60)] + [(k, -k - 1) for k in range(3_000)]
+    banded = spark.createDataFrame(rows, "key long, band long")
+    groups = {}
+    for k, b in rows:
+        groups.setdefault(b, []).append(k)
+    want = sorted((b, k, len(ks), min(ks), max(ks)) for b, ks in groups.items() if len(ks) > 1 for k in ks)
+    got = _buckets(banded)
+    assert got.columns == ["band", "key", "n", "low", "high"] and sorted(map(tuple, got.collect())) == want
+    monkeypatch.setattr(line_dedup, "CROWD_LEAST", 10)
+    assert sorted(map(tuple, _buckets(banded).collect())) == want
+    assert _buckets(banded.limit(0)).count() == 0
+
+
+def exchanged(frame) -> int:
+    """Rows that went through shuffles in the run of ``frame``."""
+    def walk(node):
+        name, children = node.nodeName(), node.children()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        own = node.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    frame.collect()
+    return walk(frame._jdf.queryExecution().executedPlan())
+
+
+def test_texts_that_lose_nothing_are_not_shuffled(spark):
+    """Of 2,000 texts two share a line: no text but theirs goes through a shuffle, whatever reads the result."""
+    texts = [(i, sentence(i, 12), "en") for i in range(2_000)] + [(5_000, sentence(7, 12) + "\nmore of this", "en"), (5_001, None, "en"), (5_002, "", "de")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    out = dedup_lines(docs, width=WIDTH)
+    assert exchanged(out) < 200
+    got = {r.doc_id: r for r in out.collect()}
+    assert out.columns == ["doc_id", "text", "lang", "n_lines", "n_removed"] and len(got) == 2_003
+    assert got[5_000].text == "more of this" and got[5_000].n_removed == 1 and got[5_000].n_lines == 2
+    assert got[5_001].text is None and got[5_002].text == "" and all(got[i].text == t for i, t, _ in texts[:2_000])

@@ -35,6 +35,9 @@ WIDTH = 5
 CHUNK = 16
 #: Words of the fixed-size filter of candidate lines: 2**18 rows of 64 bits, whatever the corpus.
 FILTER_WORDS = 1 << 18
+#: Cells of band hashes by which crowded bands are found: a cell is crowded beyond CROWD times the mean and CROWD_LEAST rows.
+CELLS = 1 << 12
+CROWD, CROWD_LEAST = 4, 100_000
 #: Words of 64 bits of a line's bitmap: a bit is set if a shingle falls on it; and, in the prefix filter, if an odd number does.
 BITMAP_WORDS = 16
 PARITY_WORDS = 4
@@ -130,13 +133,13 @@ def _links(pairs: DataFrame, lines: DataFrame, threshold: float, width: int | No
     return materialize(both.where(F.get(alike, F.lit(0))).select("a", "b"), "line-links")
 
 
-def _flagged(keys: DataFrame, lines: DataFrame) -> DataFrame:
-    """``lines`` (key, line) and flag: true for those of ``keys`` and, by a fixed-size filter, for some others."""
+def _flagged(keys: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` (key and others) and flag: true for those of ``keys`` and, by a fixed-size filter, for some others."""
     bits = keys.groupBy(F.expr(f"key & {FILTER_WORDS - 1}").alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.expr("cast(shiftright(key, 32) & 63 as int)"))).alias("bits"))
     bits = materialize(bits, "line-filter")
-    return lines.join(F.broadcast(bits), F.expr(f"key & {FILTER_WORDS - 1}") == F.col("word"), "left") \
-        .select("key", "line", F.coalesce(F.expr("getbit(bits, cast(shiftright(key, 32) & 63 as int)) = 1"), F.lit(False)).alias("flag"))
+    return rows.join(F.broadcast(bits), F.expr(f"key & {FILTER_WORDS - 1}") == F.col("word"), "left") \
+        .select(*rows.columns, F.coalesce(F.expr("getbit(bits, cast(shiftright(key, 32) & 63 as int)) = 1"), F.lit(False)).alias("flag"))
 
 
 def _wanted(keys: DataFrame, lines: DataFrame) -> DataFrame:
@@ -151,6 +154,29 @@ def _distinct(counted: DataFrame, lines: DataFrame) -> DataFrame:
         flagged.where("flag").groupBy("key").agg(F.first("line").alias("line")))
 
 
+def _shared(banded: DataFrame, hint: str | None = None) -> DataFrame:
+    """(band, key, n, low, high): the rows of ``banded`` (key, band) whose band several lines share, their number, first and last key."""
+    bucket = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
+    return banded.join(bucket.hint(hint) if hint else bucket, "band")
+
+
+def _buckets(banded: DataFrame) -> DataFrame:
+    """The rows of all buckets, as ``_shared`` has them.
+
+    Nearly all bands have one line, so partial sums would only make the rows longer: rows are dealt out by band
+    once, and counted and kept where they are. The bands of crowded cells are summed in part first and joined anew.
+    """
+    cell = F.expr(f"band & {CELLS - 1}")
+    cells = materialize(banded.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")), "line-cells")
+    most = max(CROWD * (cells.agg(F.sum("n")).first()[0] or 0) // CELLS, CROWD_LEAST)
+    crowded = cells.where(F.col("n") > most).select("cell")
+    if crowded.isEmpty():
+        return materialize(_shared(banded.repartition("band"), "shuffle_hash"), "line-met")
+    crowded = F.broadcast(crowded)
+    return materialize(_shared(banded.join(crowded, cell == F.col("cell"), "left_anti").repartition("band"), "shuffle_hash")
+                       .union(_shared(banded.join(crowded, cell == F.col("cell"), "left_semi"))), "line-met")
+
+
 def _main_components(member: DataFrame, group: str) -> DataFrame:
     """(group, n, others, main): groups of several components, their largest one and the lines outside it."""
     each = member.groupBy(group, "component").agg(F.count("*").alias("n"))
@@ -208,19 +234,15 @@ def line_components(documents: DataFrame, threshold: float = 0.8, rows: int = 5,
         .groupBy("key").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks(rows * rows))])
     bands = materialize(minima.select("key", F.array(*[
         F.xxhash64(F.lit(b), *[f"m{i}" for i in t]) for b, t in enumerate(band_sets(rows))]).alias("bands")), "line-bands")
-    banded = bands.select("key", F.explode("bands").alias("band"))
     # a bucket's leaders are its first and its last key; keys are hashes, so these are any two lines
-    bucket = materialize(banded.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
-                         .where("low <> high"), "line-buckets")
-    met = materialize(banded.join(bucket.where("n > 2"), "band"), "line-met")
-    pairs = materialize(bucket.select(F.col("low").alias("a"), F.col("high").alias("b"))
-                        .union(met.where("key <> low").select("low", "key")).union(met.where("key <> high").select("key", "high"))
-                        .distinct(), "line-pairs")
+    met = _buckets(bands.select("key", F.explode("bands").alias("band")))
+    pairs = materialize(met.where("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b"))
+                        .union(met.where("key <> high").select("key", "high")).distinct(), "line-pairs")
     links = _links(pairs, lines, threshold, width)
     component = connected_components(links)
 
     # lines of a bucket that the leaders left in different components
-    member = materialize(met.select("band", "key").join(component.withColumnRenamed("node", "key"), "key", "left")
+    member = materialize(met.where("n > 2").select("band", "key").join(component.withColumnRenamed("node", "key"), "key", "left")
                          .withColumn("component", F.coalesce("component", "key")), "line-members")
     open_buckets = _main_components(member, "band").where("n > 2")
     direct = member.join(open_buckets.where(F.col("others") <= few).select("band", "main"), "band")
@@ -259,9 +281,14 @@ def dedup_lines(documents: DataFrame, **options) -> DataFrame:
         .where(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("text_hash") == F.col("first_text"))
                  & (F.col("line_no") == F.col("first_line")))) \
         .groupBy(F.col("doc_id").alias("__drop_doc"), F.col("text_hash").alias("__drop_text")).agg(F.collect_set("line_no").alias("__drop_lines"))
+    drop = materialize(drop, "line-drop")
     base = documents.drop("n_lines", "n_removed")
-    joined = base.join(drop, base["doc_id"].eqNullSafe(F.col("__drop_doc"))
-                       & (F.xxhash64(base["text"]) == F.col("__drop_text")), "left") \
+    # texts that lose nothing stay where they are
+    flagged = _flagged(drop.select(F.col("__drop_text").alias("key")), base.select(F.struct(*base.columns).alias("row"), F.xxhash64("text").alias("key")))
+    held = flagged.where("flag").select("row.*", F.col("key").alias("__text"))
+    joined = held.join(drop, F.col("doc_id").eqNullSafe(F.col("__drop_doc")) & (F.col("__text") == F.col("__drop_text")), "left") \
+        .select(*base.columns, "__drop_lines") \
+        .union(flagged.where("not flag").select("row.*", F.lit(None).cast("array<int>").alias("__drop_lines"))) \
         .withColumn("__all_lines", F.split("text", "\n"))
     lines = F.col("__all_lines")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__drop_lines")
