@@ -1,5 +1,6 @@
 """Line deduplication: every near copy of a hot template, edits of one character, rows without a key."""
 
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -7,7 +8,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.helpers import SF, frame, sentence
 from tripdemand.llm import line_dedup
-from tripdemand.llm.line_dedup import WIDTH, _buckets, _likely, _links, _prefix_pairs, dedup_lines, shingles
+from tripdemand.llm.common import discard, materialize
+from tripdemand.llm.line_dedup import WIDTH, _bitmaps, _bucket_pairs, _buckets, _likely, _links, _prefix_pairs, dedup_lines, shingles
 
 
 def removed(spark, texts, **options):
@@ -124,6 +126,67 @@ def test_prefix_join_makes_few_pairs(spark):
     assert got == {(2 * i, 2 * i + 1) for i in range(40)}
 
 
+def test_crowded_buckets_are_not_exploded(spark, monkeypatch):
+    """Lines far from each other in shared buckets: no table has more rows than the lines have bands, and every near copy goes."""
+    written = []
+
+    def counted(frame, label):
+        out = materialize(frame, label)
+        written.append((out.count(), label))
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    def letters(seed, n):
+        return "".join(random.Random(seed).choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+
+    far = [letters(-1, 300) + letters(i, 200) for i in range(400)]
+    got = removed(spark, far + [f"{t} end" for t in far], width=WIDTH)
+    assert got <= set(range(400, 800)) and len(got) >= 0.97 * 400
+    assert max(written)[0] <= 15 * 800 and {label for _, label in written} >= {"line-members", "line-links"}
+
+
+def test_pairs_of_a_bucket(spark, monkeypatch):
+    """Every pair at the threshold in different components, once a band, of small and of classed buckets and at the edges of classes."""
+    texts = []
+    for i in range(30):
+        words = sentence(700 + i, 60).split()[:4 + 2 * i]
+        texts += [" ".join(words), " ".join(words) + " x", " ".join(words[1:]), " ".join(words[:len(words) * 4 // 5 + 1])]
+    texts += [chr(97 + i) * 4 + "".join(chr(0x4E00 + 40 * i + k) for k in range(n - 4)) for i in range(3) for n in (8, 9)]  # 4 and 5 shingles
+
+    def shingle_set(x):
+        return {x[k:k + 5] for k in range(max(len(x) - 4, 1))}
+
+    sets = [shingle_set(t) for t in texts]
+    assert {len(s) for s in sets} >= {4, 5}
+    component = [k // 2 if k % 8 == 1 else k for k in range(len(texts))]  # some near copies are linked already
+    main = component[5]
+    alike = {(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))
+             if component[a] != component[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    far = {(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if len(sets[a] & sets[b]) < 0.3 * len(sets[a] | sets[b])}
+    lines = spark.createDataFrame(list(enumerate(texts)), "key long, line string")
+    bitmaps = _bitmaps(lines, WIDTH)
+    assert sorted((r.key, r.size) for r in bitmaps.collect()) == [(k, len(s)) for k, s in enumerate(sets)]
+    member = spark.createDataFrame([(band, len(texts), main, k, component[k]) for band in (1, 2) for k in range(len(texts))],
+                                   "band long, n long, main long, key long, component long")
+    for most in (10, 10 ** 6):
+        monkeypatch.setattr(line_dedup, "CLASSED", most)
+        got = [(r.a, r.b) for r in _bucket_pairs(member, bitmaps, 0.8).collect()]
+        assert len(alike) >= 60 and alike <= set(got) and all(component[a] != component[b] for a, b in got)
+        assert len(got) == 2 * len(set(got)) and len(far & set(got)) <= 0.02 * len(far)
+
+
+def test_discarded_tables(spark, tmp_path):
+    """A table of the scratch folder goes, with its files; one that is elsewhere stays."""
+    table = materialize(spark.range(10), "gone")
+    folder = os.path.dirname(table.inputFiles()[0]).removeprefix("file://")
+    assert os.path.isdir(folder)
+    discard(table)
+    assert not os.path.exists(folder)
+    spark.range(10).write.parquet(f"{tmp_path}/kept")
+    discard(spark.read.parquet(f"{tmp_path}/kept"))
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 10
+
+
 def test_buckets_of_plain_and_crowded_bands(spark, monkeypatch):
     """Every row of a band that several lines share, with the band's number, first and last key; the same where its cell is crowded."""
     rows = [(k, k % 7) for k in range(5_000)] + [(k, 10_000 + k // 2) for k in range(60)] + [(k, -k - 1) for k in range(3_000)]

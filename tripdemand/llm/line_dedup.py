@@ -12,21 +12,25 @@ stays: the one of the smallest (doc_id, line number).
 All lines of a bucket are compared, but not twice over: first each with a few
 leaders, which are aggregates of the bucket. What that links needs no further
 comparison inside; the lines of a bucket that are in different components after it
-are paired with each other, directly where few lines are outside the bucket's largest
-component, and else by an exact prefix filter (rarest shingles first, bounded
-by position), which finds every pair at the threshold.
-
-Before shingle sets are compared, and in the join of the prefix filter, pairs are held against
-bitmaps of the sets: the bits in which two differ are at most the shingles that only one
-has, so a pair that differs in too many cannot be at the threshold.
+are paired with each other, inside the join of the bucket with itself where no more than ``few`` lines are
+outside the bucket's largest component, and else by an exact prefix filter (rarest shingles
+first, bounded by position). Both find every pair at the threshold.
+
+Before shingle sets are compared, and in both joins, pairs are held against the sizes of the sets and
+parity bitmaps of them: the bits in which two differ are at most the shingles that only one
+has, so a pair that differs in too many cannot be at the threshold. Bands that lines share by chance
+grow with the square of the corpus; what of them is written are rows of buckets, a line at most once a band, and
+the pairs that their bitmaps let pass, not the shingles nor the pairs of these buckets.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripdemand.llm.common import connected_components, materialize
+from tripdemand.llm.common import connected_components, discard, free_shuffles, materialize
 
 PIECE = r"\S{1,8}"
 #: Characters of a shingle in op5 and the pipeline.
@@ -38,9 +42,11 @@ FILTER_WORDS = 1 << 18
 #: Cells of band hashes by which crowded bands are found: a cell is crowded beyond CROWD times the mean and CROWD_LEAST rows.
 CELLS = 1 << 12
 CROWD, CROWD_LEAST = 4, 100_000
-#: Words of 64 bits of a line's bitmap: a bit is set if a shingle falls on it; and, in the prefix filter, if an odd number does.
+#: Words of 64 bits of a line's bitmap, and in the prefix filter: a bit is set if an odd number of shingles falls on it.
 BITMAP_WORDS = 16
 PARITY_WORDS = 4
+#: Lines of a bucket beyond which it is joined with itself by classes of size.
+CLASSED = 256
 
 
 def shingle_hashes(line: Column) -> Column:
@@ -94,10 +100,15 @@ def shingle_set(line: Column, width: int | None) -> Column:
         F.sequence(F.lit(1), F.greatest(F.length(c) - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.substring(c, i, F.lit(width)))))))
 
 
-def _words(shingle: str, n: int, aggregate) -> list[Column]:
-    """Bitmap of the hashes in the column ``shingle`` in n words b0, b1, ..., a power of two, by ``aggregate``."""
+def _words(shingle: str, n: int) -> list[Column]:
+    """Parity bitmap of the distinct hashes in the column ``shingle`` in n words b0, b1, ..., a power of two."""
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.expr(f"cast(shiftright({shingle}, {n.bit_length() - 1}) & 63 as int)"))
-    return [F.coalesce(aggregate(F.when(F.expr(f"{shingle} & {n - 1}") == w, bit)), F.lit(0).cast("long")).alias(f"b{w}") for w in range(n)]
+    return [F.coalesce(F.bit_xor(F.when(F.expr(f"{shingle} & {n - 1}") == w, bit)), F.lit(0).cast("long")).alias(f"b{w}") for w in range(n)]
+
+
+def _sized(left: str, right: str, threshold: float) -> str:
+    """SQL condition that all pairs at the threshold t meet: |A| >= t |B| and the other way round."""
+    return f"least({left}.size, {right}.size) >= {threshold} * greatest({left}.size, {right}.size) - 1e-6"
 
 
 def _alike(left: str, right: str, n: int, threshold: float) -> str:
@@ -106,23 +117,36 @@ def _alike(left: str, right: str, n: int, threshold: float) -> str:
     return f"{differ} <= {(1 - threshold) / (1 + threshold)} * ({left}.size + {right}.size) + 1e-6"
 
 
+def _bitmaps(lines: DataFrame, width: int | None) -> DataFrame:
+    """(key, size, b0, b1, ...): number and parity bitmap of the distinct shingles of ``lines`` (key, line), each key once."""
+    return materialize(lines.select("key", F.explode(shingle_set(F.col("line"), width)).alias("shingle"))
+                       .groupBy("key").agg(F.count("*").cast("int").alias("size"), *_words("shingle", BITMAP_WORDS)), "line-bitmaps")
+
+
+def _passing(pairs: DataFrame, bitmaps: DataFrame, threshold: float) -> DataFrame:
+    """The rows of ``pairs`` (a, b) less those whose sizes or ``bitmaps`` show that they are below ``threshold``."""
+    def both(rows: DataFrame, held: DataFrame, condition: str) -> DataFrame:
+        p, l, r = rows.alias("p"), held.alias("l"), held.alias("r")
+        return p.join(l, F.col("p.a") == F.col("l.key")).join(r, F.col("p.b") == F.col("r.key")).where(condition).select("a", "b")
+
+    # by sizes first, so that fewer pairs take a bitmap along
+    pairs = both(pairs, bitmaps.select("key", "size"), _sized("l", "r", threshold))
+    return materialize(both(pairs, bitmaps, _alike("l", "r", BITMAP_WORDS, threshold)), "line-likely")
+
+
 def _likely(pairs: DataFrame, lines: DataFrame, threshold: float, width: int | None) -> DataFrame:
-    """The rows of ``pairs`` (a, b) less those whose bitmaps show that they are below ``threshold``."""
+    """``_passing`` by the bitmaps of ``lines``."""
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
-    # repeats of a shingle make the size larger, which lets more pairs pass
-    bitmaps = shingles(_wanted(keys, lines), width).groupBy("key").agg(F.count("*").alias("size"), *_words("h", BITMAP_WORDS, F.bit_or))
-    bitmaps = materialize(bitmaps, "line-bitmaps")
-    p, l, r = pairs.alias("p"), bitmaps.alias("l"), bitmaps.alias("r")
-    return materialize(p.join(l, F.col("p.a") == F.col("l.key")).join(r, F.col("p.b") == F.col("r.key"))
-                       .where(_alike("l", "r", BITMAP_WORDS, threshold)).select("a", "b"), "line-likely")
+    return _passing(pairs, _bitmaps(_wanted(keys, lines), width), threshold)
 
 
 def _links(pairs: DataFrame, lines: DataFrame, threshold: float, width: int | None) -> DataFrame:
-    """The rows of ``pairs`` (a, b) whose shingle sets have at least the Jaccard similarity ``threshold``.
+    """The rows of ``pairs`` (a, b) whose shingle sets have at least the Jaccard similarity ``threshold``."""
+    return _exact(_likely(pairs, lines, threshold, width), lines, threshold, width)
 
-    The texts travel, not the sets, which are several times as large.
-    """
-    pairs = _likely(pairs, lines, threshold, width)
+
+def _exact(pairs: DataFrame, lines: DataFrame, threshold: float, width: int | None) -> DataFrame:
+    """``_links`` of all ``pairs``, a written table. The texts travel, not the sets, which are several times as large."""
     held = _wanted(pairs.select(F.col("a").alias("key")).union(pairs.select("b")), lines)
     both = pairs.join(held.select(F.col("key").alias("a"), F.col("line").alias("la")), "a") \
         .join(held.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b")
@@ -190,6 +214,24 @@ def _across(left: DataFrame, right: DataFrame, group: str, condition: str = "tru
         .select(F.expr("least(l.key, r.key)").alias("a"), F.expr("greatest(l.key, r.key)").alias("b"))
 
 
+def _bucket_pairs(member: DataFrame, bitmaps: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of lines of ``member`` (band, n, main, key, component) that share a band, are in different components and pass
+    as in ``_passing``. At least one of a pair is outside ``main``. Sizes of a pair at the threshold are in one class or in neighbouring ones.
+    """
+    size_class = F.floor(F.log("size") / F.lit(math.log((1 + 1e-6) / threshold))).cast("long")
+    classed = F.col("n") > CLASSED
+    rows = member.join(bitmaps, "key").withColumn("inside", F.expr("component = main"))
+    words = [f"b{w}" for w in range(BITMAP_WORDS)]
+    held = ["band", "key", "component", "size", "inside", *words]
+    left = rows.where("not inside").select(*held, F.explode(F.when(
+        classed, F.sequence(size_class - 1, size_class + 1)).otherwise(F.array(F.lit(0).cast("long")))).alias("class"))
+    right = rows.select(*held, F.when(classed, size_class).otherwise(F.lit(0).cast("long")).alias("class"))
+    return left.alias("l").join(right.alias("r"), ["band", "class"]) \
+        .where(f"l.component <> r.component and (r.inside or l.key < r.key) and {_sized('l', 'r', threshold)}"
+               f" and {_alike('l', 'r', BITMAP_WORDS, threshold)}") \
+        .select(F.expr("least(l.key, r.key)").alias("a"), F.expr("greatest(l.key, r.key)").alias("b"))
+
+
 def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float, width: int | None) -> DataFrame:
     """Every pair of ``member`` (key, component) in different components that can reach ``threshold``.
 
@@ -204,7 +246,7 @@ def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float, width:
     counts = held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     ranked = held.join(counts, "shingle", "left").groupBy("key", "component", "size").agg(
         F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("order"),
-        *_words("shingle", PARITY_WORDS, F.bit_xor))
+        *_words("shingle", PARITY_WORDS))
     words = [f"b{w}" for w in range(PARITY_WORDS)]
     probe = materialize(ranked.select("key", "component", "size", *words, F.posexplode(F.slice(
         "order", 1, F.expr(f"cast(size - ceil({t} * size - 1e-9) + 1 as int)"))).alias("place", "at"))
@@ -219,12 +261,12 @@ def _prefix_pairs(member: DataFrame, lines: DataFrame, threshold: float, width:
         _across(index.where("component = main"), probe.where("component <> main"), "shingle", enough))
 
 
-def line_components(documents: DataFrame, threshold: float = 0.8, rows: int = 5, few: int = 16, width: int | None = None) -> DataFrame:
+def line_components(documents: DataFrame, threshold: float = 0.8, rows: int = 5, few: int = 1 << 16, width: int | None = None) -> DataFrame:
     """(key, first_doc, first_text, first_line): for every line content that is not alone, the place of its
     component's first line (``first_text`` is the hash of its text). ``key`` is the 64-bit hash of the line.
 
-    ``few`` is the number of lines outside a bucket's largest component up to which its lines
-    are paired directly; it changes the way, not the result.
+    ``few`` is the number of lines outside a bucket's largest component up to which the bucket is
+    joined with itself; it changes the way, not the result.
     """
     lines = _lines(documents).select("key", "line")
     counted = materialize(_lines(documents).groupBy("key").agg(
@@ -234,27 +276,32 @@ def line_components(documents: DataFrame, threshold: float = 0.8, rows: int = 5,
         .groupBy("key").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks(rows * rows))])
     bands = materialize(minima.select("key", F.array(*[
         F.xxhash64(F.lit(b), *[f"m{i}" for i in t]) for b, t in enumerate(band_sets(rows))]).alias("bands")), "line-bands")
+    free_shuffles(documents.sparkSession)
     # a bucket's leaders are its first and its last key; keys are hashes, so these are any two lines
     met = _buckets(bands.select("key", F.explode("bands").alias("band")))
     pairs = materialize(met.where("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b"))
                         .union(met.where("key <> high").select("key", "high")).distinct(), "line-pairs")
-    links = _links(pairs, lines, threshold, width)
-    component = connected_components(links)
+    discard(bands)
+    bitmaps = _bitmaps(_distinct(counted, _flagged(met.select("key"), lines).where("flag").select("key", "line")), width)
+    likely = _passing(pairs, bitmaps, threshold)
+    component = connected_components(_exact(likely, lines, threshold, width))
 
     # lines of a bucket that the leaders left in different components
     member = materialize(met.where("n > 2").select("band", "key").join(component.withColumnRenamed("node", "key"), "key", "left")
                          .withColumn("component", F.coalesce("component", "key")), "line-members")
+    discard(met)
     open_buckets = _main_components(member, "band").where("n > 2")
-    direct = member.join(open_buckets.where(F.col("others") <= few).select("band", "main"), "band")
-    more = _across(direct.where("component <> main"), direct, "band")
+    direct = member.join(open_buckets.where(F.col("others") <= few).select("band", "n", "main"), "band")
+    more = _bucket_pairs(direct, bitmaps, threshold)
     large = materialize(member.join(open_buckets.where(F.col("others") > few), "band", "left_semi")
                         .select("key", "component").distinct(), "line-large")
     if not large.isEmpty():
-        more = more.union(_prefix_pairs(large, lines, threshold, width))
-    more = materialize(more.distinct().join(pairs, ["a", "b"], "left_anti"), "line-pairs")
+        more = more.union(_passing(_prefix_pairs(large, lines, threshold, width).distinct(), bitmaps, threshold))
+    more = materialize(more.distinct().join(likely, ["a", "b"], "left_anti"), "line-pairs")
+    discard(bitmaps)
     if not more.isEmpty():
         component = connected_components(component.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                                         .union(_links(more, lines, threshold, width)))
+                                         .union(_exact(more, lines, threshold, width)))
 
     known = counted.join(component.withColumnRenamed("node", "key"), "key", "left").where("n > 1 or component is not null") \
         .withColumn("component", F.coalesce("component", "key"))
